@@ -90,5 +90,6 @@ def keyword_containment(df: DataFrame, terms: DataFrame, limit: int = 50) -> Dat
               # More terms than the bound would silently change the result: fail instead.
               .select(F.when(F.size("t") <= limit, F.col("t")).otherwise(
                   F.raise_error(F.lit(f"more than {limit} terms"))).alias("t")).scalar())
-    found = F.filter(listed, lambda t: F.contains(F.col("clean_text"), t))
-    return df.select("id", F.explode(found).alias("term"))
+    found = F.filter("_terms", lambda t: F.contains(F.col("clean_text"), t))
+    return (df.select("id", "clean_text", listed.alias("_terms"))
+            .select("id", F.explode(found).alias("term")))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from textpulse.functions.plan import compute_once
 from textpulse.functions.text import strip
 from textpulse.functions.timestamps import parse_text, parse_variant
-from textpulse.schemas import COMMENT
+from textpulse.schemas import COMMENT, JSON_OPTIONS
 
 _NODE = ("struct<path:array<int>,parent_id:string,id:string,body:string,createdAt:variant,"
          "upVotes:bigint,downVotes:bigint,url:string,author:string,replies:string>")
@@ -24,7 +24,7 @@ def _children(json: Column, parent_id: Column, path: Column) -> Column:
     """Comments of one JSON array that carry an id, with parent and path."""
     # A lone object would be read as a one-element list; only arrays count.
     level = F.when(F.substr(F.btrim(json), F.lit(1), F.lit(1)) == "[",
-                   F.from_json(json, f"array<{COMMENT.simpleString()}>"))
+                   F.from_json(json, f"array<{COMMENT.simpleString()}>", JSON_OPTIONS))
     nodes = F.transform(level, lambda c, i: F.struct(
         F.concat(path, F.array(i)).alias("path"), parent_id.alias("parent_id"),
         *[c[name].alias(name) for name in COMMENT.fieldNames()]))

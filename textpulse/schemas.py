@@ -2,6 +2,9 @@
 
 from pyspark.sql import types as T
 
+# The JSON reader turns text nested deeper than 1000 levels into NULL unless told otherwise.
+JSON_OPTIONS = {"maxNestingDepth": "1000000"}
+
 # ``createdAt`` stays VARIANT: a JSON number means epoch seconds, a JSON string is parsed.
 ITEM = T.StructType([
     T.StructField("id", T.StringType()),

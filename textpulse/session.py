@@ -41,3 +41,13 @@ def work_dir(spark: SparkSession) -> str:
 @functools.cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="textpulse-")
+
+
+def utc(function):
+    """``function(spark, ...)`` with the session in the time zone the operators require."""
+    @functools.wraps(function)
+    def run(spark: SparkSession, *args):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return function(spark, *args)
+
+    return run

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textpulse.schemas import ITEM, PROCESSED
+from textpulse.schemas import ITEM, JSON_OPTIONS, PROCESSED
 
 # Input order: file, split within the file, row within the split. A split is read by one
 # task in file order, so the growing row number is right within it.
@@ -24,7 +24,7 @@ def read_items(spark: SparkSession, path: str, multi_line: bool = False) -> Data
     array each; such a file is one task, so large loads should use lines. Comments stay
     JSON text until they are flattened.
     """
-    return with_input_order(spark.read.schema(ITEM).json(path, multiLine=multi_line))
+    return with_input_order(spark.read.schema(ITEM).options(**JSON_OPTIONS).json(path, multiLine=multi_line))
 
 
 def read_processed_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from textpulse.config import DEFAULT, Settings
 from textpulse.plans.batch import enrich, messages
-from textpulse.schemas import ITEM
+from textpulse.schemas import ITEM, JSON_OPTIONS
 from textpulse.session import work_dir
 from textpulse.sources.sinks import public_columns, with_month_partition
 
@@ -18,7 +18,7 @@ from textpulse.sources.sinks import public_columns, with_month_partition
 def read_item_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """Items of new landing files (JSON lines). The checkpoint replaces the run-time mark, so
     a message that arrives late is not lost."""
-    reader = spark.readStream.schema(ITEM)
+    reader = spark.readStream.schema(ITEM).options(**JSON_OPTIONS)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.json(path)
