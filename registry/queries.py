@@ -19,7 +19,7 @@ from textpulse.functions.spans import is_whitelisted
 from textpulse.operators import (
     insights, joins, keywords, monthly, pii, preprocess, sentiment, stats, tfidf, threads, topics)
 from textpulse.schemas import PROCESSED
-from textpulse.session import work_dir
+from textpulse.session import stage, work_dir
 from textpulse.sources import items as item_source, runs, sinks
 from textpulse.streaming import incremental as stream
 
@@ -322,7 +322,8 @@ def topic_assign(spark, sf):
 
 @query
 def topic_assign_text(spark, sf):
-    return topics.assign_topics(data.preprocessed(spark, sf), SETTINGS, max_iter=10).select("id", "dominant_topic")
+    df = stage(data.preprocessed(spark, sf).select("id", "clean_text"))
+    return topics.assign_topics(df, SETTINGS, max_iter=10).select("id", "dominant_topic")
 
 
 @query
@@ -343,20 +344,21 @@ def _topic_words(df):
 
 @query
 def topic_keywords(spark, sf):
-    df = data.with_topics(data.preprocessed(spark, sf))
+    df = stage(data.with_topics(data.preprocessed(spark, sf)).select("id", "clean_text", "dominant_topic"))
     return topics.with_topic_keywords(df, _topic_words(df)).select("id", "topic_keywords")
 
 
 @query
 def topic_names(spark, sf):
-    df = data.with_topics(data.preprocessed(spark, sf))
+    df = stage(data.with_topics(data.preprocessed(spark, sf)).select("id", "clean_text", "dominant_topic"))
     return topics.topic_names(_topic_words(df)).select(
         F.col("topic_id").cast("long").alias("topic_id"), "top_words")
 
 
 @query
 def topic_summary(spark, sf):
-    df = data.with_topics(data.scored(spark, sf))
+    df = stage(data.with_topics(data.scored(spark, sf)).select(
+        "id", "clean_text", "dominant_topic", "sentiment_score"))
     return topics.topic_summary(df, _topic_words(df)).select(
         F.col("topic_id").cast("long").alias("topic_id"), "topic_name", "top_words", "post_count",
         rounded("avg_sentiment").alias("avg_sentiment"))
@@ -434,7 +436,8 @@ def complete_months(spark, sf):
 
 @query
 def negative_keywords(spark, sf):
-    return tfidf.negative_keywords(data.scored(spark, sf), SETTINGS).select(
+    df = stage(data.scored(spark, sf).select("clean_text", "sentiment_label"))
+    return tfidf.negative_keywords(df, SETTINGS).select(
         "keyword", rounded("tfidf_score", 4).alias("tfidf_score"), "frequency", "category")
 
 
@@ -529,7 +532,7 @@ def complaint_counts(spark, sf):
 
 @query
 def insight_summary(spark, sf):
-    rows = insights.parse_insights(_responses(spark, sf), "response", "doc_id")
+    rows = stage(insights.parse_insights(_responses(spark, sf), "response", "doc_id"))
     return insights.insight_summary(rows, ("doc_id",)).withColumn(
         "avg_severity", rounded("avg_severity")).withColumn("top_quotes", F.array_join("top_quotes", "|"))
 
@@ -538,27 +541,29 @@ def insight_summary(spark, sf):
 
 @query
 def join_audit(spark, sf):
-    df = data.protected(spark, sf)
+    df = stage(data.protected(spark, sf).select("id", "pii_spans", "pii_count"))
     joined = joins.join_audit(df, pii.pii_audit(df, RUN_TS))
     return joined.select("id", "entity_type", F.col("start_position").cast("long").alias("start_position"))
 
 
 @query
 def join_audit_without(spark, sf):
-    df = data.protected(spark, sf)
+    df = stage(data.protected(spark, sf).select("id", "pii_spans"))
     return joins.messages_with_audit(df, pii.pii_audit(df, RUN_TS), found=False).select("id")
 
 
 @query
 def join_monthly(spark, sf):
-    df = data.flagged(spark, sf)
+    df = stage(data.flagged(spark, sf).select(
+        "id", "year_month", "sentiment_score", "sentiment_label", "mentions_oregon", "mentions_partner"))
     joined = joins.join_monthly(df, monthly.monthly_sentiment(df, SETTINGS))
     return joined.select("id", "year_month", rounded("difference").alias("difference"))
 
 
 @query
 def join_topic(spark, sf):
-    df = data.with_topics(data.scored(spark, sf))
+    df = stage(data.with_topics(data.scored(spark, sf)).select(
+        "id", "clean_text", "dominant_topic", "sentiment_score"))
     summary = topics.topic_summary(df, _topic_words(df))
     return joins.join_topic(df, summary).select("id", "topic_name", "post_count")
 

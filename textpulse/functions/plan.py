@@ -18,8 +18,40 @@ def compute_once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*keep, F.inline(F.array(row)))
 
 
+def keep_columns(df: DataFrame) -> DataFrame:
+    """``df`` protected from column pruning.
+
+    Two branches of a plan share a shuffle only if they read the same columns from it;
+    pruning each branch by itself would compute its input twice.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+
+
+def sql_string(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _listed(values) -> str:
+    return ", ".join(map(sql_string, values))
+
+
+# Lists are passed as one SQL text each: building them from a column object per element
+# takes a call to the JVM per element, seconds for a query with many lists.
+
 def literals(values) -> Column:
     """Array literal of strings, typed even when empty."""
+    return F.expr(f"CAST(array({_listed(values)}) AS array<string>)")
+
+
+def keep_listed(array: Column, values) -> Column:
+    """Elements of ``array`` that are in the list, repetitions included."""
+    if not values:
+        return literals(())
+    return F.call_function("filter", array, F.expr(f"x -> x IN ({_listed(values)})"))
+
+
+def drop_listed(array: Column, values) -> Column:
+    """Elements of ``array`` that are not in the list."""
     if not values:
-        return F.array().cast("array<string>")
-    return F.array(*[F.lit(v) for v in values])
+        return array
+    return F.call_function("filter", array, F.expr(f"x -> NOT x IN ({_listed(values)})"))

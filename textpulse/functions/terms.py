@@ -13,7 +13,7 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-from textpulse.functions.plan import literals
+from textpulse.functions.plan import keep_listed, literals, sql_string
 
 _RUN = re.compile(r"\w+")
 
@@ -42,6 +42,16 @@ def _may_occur(tokens: Column, terms) -> Column:
     return F.arrays_overlap(tokens, literals(sorted(set(anchors))))
 
 
+def relevant_words(tokens: Column, terms) -> Column:
+    """Distinct tokens that occur in any of the terms.
+
+    For the functions below this short array is as good as the full one, so many lists can
+    be matched after a single pass over the words.
+    """
+    vocabulary = sorted({run for t in terms for run in _RUN.findall(t)})
+    return F.array_distinct(keep_listed(tokens, vocabulary))
+
+
 def has_term(text: Column, tokens: Column, terms) -> Column:
     """True if any term occurs. ``tokens`` is ``words(text)``."""
     single = [t for t in terms if _single(t)]
@@ -59,9 +69,12 @@ def matched_terms(text: Column, tokens: Column, terms) -> Column:
     longer = [t for t in terms if not _single(t)]
     hits = tokens
     if longer:
-        found = F.array_compact(F.array(*[
-            F.when(text.contains(t) & text.rlike(_boundary(escape(t))), F.lit(t))
-            for t in longer]))
+        # A substring test comes first: patterns are compiled only for terms that pass it.
+        pairs = ", ".join(
+            f"struct({sql_string(t)} AS term, {sql_string(_boundary(escape(t)))} AS pattern)" for t in longer)
+        found = F.transform(
+            F.filter(F.expr(f"array({pairs})"), lambda p: (
+                F.contains(text, p["term"]) & F.rlike(text, p["pattern"]))), lambda p: p["term"])
         hits = F.when(_may_occur(tokens, longer), F.concat(tokens, found)).otherwise(tokens)
     return F.array_intersect(literals(terms), hits)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from textpulse.functions.plan import drop_listed, keep_listed
+
 # The characters a Unicode-aware strip removes; SQL ``trim`` alone knows only U+0020.
 SPACE_CHARS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
@@ -62,17 +64,13 @@ def sentiment_tokens(text: Column) -> Column:
 
 def count_in(tokens: Column, vocabulary) -> Column:
     """How many tokens belong to a list (repetitions count)."""
-    vocabulary = list(vocabulary)
-    if not vocabulary:
-        return F.lit(0)
-    return F.size(F.filter(tokens, lambda t: t.isin(vocabulary)))
+    return F.size(keep_listed(tokens, list(vocabulary)))
 
 
 def remove_stop_words(text: Column, stop_words) -> Column:
     """Whitespace-separated words that are not in ``stop_words``, joined by one space."""
-    stops = list(stop_words)
     parts = F.split(strip(F.coalesce(text, F.lit(""))), SPACES)
-    return F.array_join(F.filter(parts, lambda w: (w != "") & ~w.isin(stops)), " ")
+    return F.array_join(drop_listed(parts, ["", *stop_words]), " ")
 
 
 def title_case(text: Column) -> Column:

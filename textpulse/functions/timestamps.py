@@ -11,9 +11,15 @@ EARLIEST = datetime(1677, 9, 21, 0, 12, 44, tzinfo=timezone.utc)
 LATEST = datetime(2262, 4, 11, 23, 47, 16, tzinfo=timezone.utc)
 _SECONDS = 9223372036.0
 
-# Text dates beyond ISO 8601.
+# Text dates beyond ISO 8601: shape and format. The shape is tested first because a failed
+# parse is far dearer than a regex.
 TEXT_FORMATS = (
-    "MMMM d, yyyy", "MMM d, yyyy", "M/d/yyyy", "d MMM yyyy HH:mm:ss z", "yyyyMMdd'T'HHmmss")
+    ("^[A-Z][a-z]{3,8} [0-9]{1,2}, [0-9]{4}$", "MMMM d, yyyy"),
+    ("^[A-Z][a-z]{2} [0-9]{1,2}, [0-9]{4}$", "MMM d, yyyy"),
+    ("^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "M/d/yyyy"),
+    ("^[0-9]{1,2} [A-Z][a-z]{2} [0-9]{4} [0-9:]{8} [A-Z]{3}$", "d MMM yyyy HH:mm:ss z"),
+    ("^[0-9]{8}T[0-9]{6}$", "yyyyMMdd'T'HHmmss"),
+)
 
 
 def epoch_seconds(seconds: Column) -> Column:
@@ -31,7 +37,7 @@ def parse_text(text: Column, formats=TEXT_FORMATS) -> Column:
     # A cast alone would also read times without a date.
     parsed = F.coalesce(
         F.when(bare.rlike(r"^[0-9]{4}-"), bare.try_cast("timestamp")),
-        *[F.try_to_timestamp(undated, F.lit(f)) for f in formats])
+        *[F.when(undated.rlike(shape), F.try_to_timestamp(undated, F.lit(f))) for shape, f in formats])
     parsed = F.when(parsed.between(F.lit(EARLIEST), F.lit(LATEST)), parsed)
     return (F.when(text.rlike(r"^[0-9.]*[0-9][0-9.]*$"), epoch_seconds(text.try_cast("double")))
             .otherwise(parsed))

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from textpulse.config import DEFAULT, Settings
 from textpulse.functions.plan import compute_once
-from textpulse.functions.terms import has_term, matched_terms, normalize_terms
+from textpulse.functions.terms import (
+    has_term, matched_terms, normalize_terms, relevant_words)
 from textpulse.functions.text import words
 
 
@@ -63,7 +64,6 @@ def flag_keywords(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     keep_words = "_words" in df.columns
     if not keep_words:
         df = compute_once(df, _words=words(F.col("clean_text")))
-    text, tokens = F.col("clean_text"), F.col("_words")
     partner = _terms(settings, settings.partner_terms, settings.partner_extra_terms)
     faculty = _terms(settings, settings.faculty_terms, settings.faculty_extra_terms)
     region = _terms(settings, settings.region_terms)
@@ -72,18 +72,21 @@ def flag_keywords(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
         _terms(settings, settings.region_terms, settings.partner_terms, settings.faculty_terms,
                settings.attrition_terms)
         + _terms(settings, settings.partner_extra_terms, settings.faculty_extra_terms))
-    df = compute_once(
-        df,
-        mentions_oregon=has_term(text, tokens, region),
-        mentions_partner=has_term(text, tokens, partner),
-        mentions_faculty=has_term(text, tokens, faculty),
-        mentions_attrition=has_term(text, tokens, attrition),
-        search_category=category_column(text, tokens, settings),
-        keyword_matches=F.array_join(matched_terms(text, tokens, everything), ","))
+    categories = tuple(t for terms in settings.search_terms.values() for t in _terms(settings, terms))
+    df = df.withColumn("_hits", relevant_words(F.col("_words"), everything + categories))
+    text, tokens = F.col("clean_text"), F.col("_hits")
+    # A plain projection: flags nobody reads are pruned.
+    df = df.withColumns({
+        "mentions_oregon": has_term(text, tokens, region),
+        "mentions_partner": has_term(text, tokens, partner),
+        "mentions_faculty": has_term(text, tokens, faculty),
+        "mentions_attrition": has_term(text, tokens, attrition),
+        "search_category": category_column(text, tokens, settings),
+        "keyword_matches": F.array_join(matched_terms(text, tokens, everything), ",")})
     df = df.withColumn("search_category", F.when(
         F.col("search_category") == "", "other").otherwise(F.col("search_category")))
     df = lifecycle_stage(df)
-    ordered = [c for c in df.columns if c not in ("keyword_matches", "_words")]
+    ordered = [c for c in df.columns if c not in ("keyword_matches", "_words", "_hits")]
     return df.select(*ordered, "keyword_matches", *(["_words"] if keep_words else []))
 
 

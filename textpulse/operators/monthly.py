@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from textpulse.config import DEFAULT, Settings
+from textpulse.functions.plan import keep_columns
 
 # Score bins for the median: scores lie in [-1, 1], other values fall into the end bins.
 _BINS = 2000
@@ -21,63 +22,49 @@ def with_calendar(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
             "day_of_week": F.date_format(local, "EEEE")})
 
 
-def _month_stats(values: DataFrame) -> DataFrame:
-    """One row per month from (month, score, label) counts.
+def _score_counts(df: DataFrame) -> DataFrame:
+    """(month, score, label) with row counts; ``_bin`` is -1 for rows without a score."""
+    position = f"least({_BINS - 1}, greatest(0, cast(floor((sentiment_score + 1) * {_BINS / 2}) as int)))"
+    counts = (df.where("year_month is not null")
+              .groupBy("year_month", "sentiment_score", "sentiment_label").agg(
+                  F.expr("count(1) as _n"), F.expr("count(id) as _ids"),
+                  F.expr("count_if(mentions_oregon) as _region"),
+                  F.expr("count_if(mentions_partner) as _partner")))
+    # Both readers of the counts must ask for the same columns to share one shuffle.
+    return keep_columns(counts).withColumn("_bin", F.expr(f"coalesce({position}, -1)"))
+
 
-    Sums are taken around the bin centres and then moved to the mean, which keeps the
-    deviation exact to rounding. ``low_*`` and ``high_*`` locate the middle ranks.
+def _month_stats(counts: DataFrame) -> DataFrame:
+    """One row per month: sums, mean, squared deviation and where the middle ranks lie.
+
+    Deviations are summed around the bin centres and then moved to the mean, which keeps
+    them exact to rounding. Scores of rank ``_low`` and ``_high`` are the middle ones;
+    ``_low_bin`` and ``_low_rank`` say in which bin, and where in it, the first one is.
     """
-    centre = (F.col("_bin") + 0.5) / (_BINS / 2) - 1
-    offset = F.col("sentiment_score") - centre
-    n = F.col("_n")
-    scored = F.when(F.col("sentiment_score").isNotNull(), n).otherwise(0)
-    label = lambda name: F.sum(F.when(F.col("sentiment_label") == name, n).otherwise(0))
-    bins = values.groupBy("year_month", "_bin").agg(
-        F.sum("_ids").alias("_ids"), F.sum("_region").alias("_region"),
-        F.sum("_partner").alias("_partner"), label("Positive").alias("_pos"),
-        label("Negative").alias("_neg"), label("Neutral").alias("_neu"),
-        F.sum(scored).alias("_count"),
-        F.sum(n * offset).alias("_sum"), F.sum(n * offset * offset).alias("_square"))
-    month = Window.partitionBy("year_month")
-    upto = month.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bins = bins.withColumn("_centre", centre).withColumns({
-        "_total": F.sum("_count").over(month),
-        "_mean": (F.sum(F.col("_count") * F.col("_centre") + F.col("_sum")).over(month)
-                  / F.nullif(F.sum("_count").over(month), F.lit(0))),
-        "_before": F.sum("_count").over(upto) - F.col("_count")})
-    to_mean = F.col("_centre") - F.col("_mean")
-    holds = lambda rank: F.col("_bin").isNotNull() & (rank > F.col("_before")) & (
-        rank <= F.col("_before") + F.col("_count"))
-    low_rank, high_rank = F.expr("(_total + 1) div 2"), F.expr("_total div 2 + 1")
-    return bins.groupBy("year_month").agg(
-        F.sum("_ids").alias("total_posts"), F.first("_mean").alias("avg_sentiment"),
-        (F.sum(F.col("_square") + 2 * to_mean * F.col("_sum") + F.col("_count") * to_mean * to_mean)
-         ).alias("_deviation"),
-        F.first("_total").alias("_total"),
-        F.max(F.when(holds(low_rank), F.col("_bin"))).alias("_low_bin"),
-        F.max(F.when(holds(low_rank), low_rank - F.col("_before"))).alias("_low_rank"),
-        F.max(F.when(holds(high_rank), F.col("_bin"))).alias("_high_bin"),
-        F.max(F.when(holds(high_rank), high_rank - F.col("_before"))).alias("_high_rank"),
-        F.sum("_region").alias("oregon_mentions"), F.sum("_partner").alias("partner_mentions"),
-        F.sum("_pos").alias("positive_count"), F.sum("_neg").alias("negative_count"),
-        F.sum("_neu").alias("neutral_count"))
-
-
-def _medians(values: DataFrame, stats: DataFrame) -> DataFrame:
-    """Median per month: the value counts of the one or two bins that hold the middle ranks."""
-    picks = F.broadcast(stats.select("year_month", "_low_bin", "_low_rank", "_high_bin", "_high_rank"))
-    middle = (values.where(F.col("_bin").isNotNull()).join(picks, "year_month")
-              .where(F.col("_bin").isin(F.col("_low_bin"), F.col("_high_bin")))
-              .groupBy("year_month", "_bin", "sentiment_score", "_low_bin", "_low_rank",
-                       "_high_bin", "_high_rank").agg(F.sum("_n").alias("_n")))
-    upto = (Window.partitionBy("year_month", "_bin").orderBy("sentiment_score")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    middle = middle.withColumn("_upto", F.sum("_n").over(upto))
-    value_at = lambda which: F.min(F.when(
-        (F.col("_bin") == F.col(f"_{which}_bin")) & (F.col("_upto") >= F.col(f"_{which}_rank")),
-        F.col("sentiment_score")))
-    return middle.groupBy("year_month").agg(
-        ((value_at("low") + value_at("high")) / 2).alias("median_sentiment"))
+    centre = f"((_bin + 0.5D) / {_BINS / 2} - 1)"
+    offset = f"(sentiment_score - {centre})"
+    label = lambda name: f"sum(if(sentiment_label = '{name}', _n, 0))"
+    bins = counts.groupBy("year_month", "_bin").agg(*map(F.expr, (
+        "sum(_ids) as _ids", "sum(_region) as _region", "sum(_partner) as _partner",
+        f"{label('Positive')} as _pos", f"{label('Negative')} as _neg", f"{label('Neutral')} as _neu",
+        "sum(if(_bin < 0, 0, _n)) as _count", f"sum(_n * {offset}) as _sum",
+        f"sum(_n * {offset} * {offset}) as _square")))
+    month = "over (partition by year_month)"
+    bins = bins.selectExpr(
+        "*", f"{centre} as _centre", f"sum(_count) {month} as _total",
+        f"sum(_count * {centre} + _sum) {month} / nullif(sum(_count) {month}, 0) as _mean",
+        "sum(_count) over (partition by year_month order by _bin) - _count as _before")
+    holds = lambda rank: f"{rank} > _before and {rank} <= _before + _count"
+    low, high = "((_total + 1) div 2)", "(_total div 2 + 1)"
+    return bins.groupBy("year_month").agg(*map(F.expr, (
+        "sum(_ids) as total_posts", "first(_mean) as avg_sentiment", "first(_total) as _total",
+        "sum(_square + 2 * (_centre - _mean) * _sum + _count * pow(_centre - _mean, 2)) as _deviation",
+        f"coalesce(max(if({holds(low)}, _bin, null)), -1) as _low_bin",
+        f"max(if({holds(low)}, {low} - _before, null)) as _low_rank",
+        f"coalesce(max(if({holds(high)}, _bin, null)), -1) as _high_bin",
+        f"max(if({holds(high)}, {high} - _before, null)) as _high_rank",
+        "sum(_region) as oregon_mentions", "sum(_partner) as partner_mentions",
+        "sum(_pos) as positive_count", "sum(_neg) as negative_count", "sum(_neu) as neutral_count")))
 
 
 def monthly_sentiment(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
@@ -86,30 +73,32 @@ def monthly_sentiment(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     The input is read once and reduced in the map tasks to one row per (month, score,
     label); everything else works on that. A month that holds most of the data is spread
     over all tasks, and no task holds the values of a month: the median is found by
-    counting, exactly, in the score bin of the middle rank. The result has one row per
-    calendar month, at most some thousand given the range of timestamps.
+    counting, exactly, among the scores of the one or two bins with the middle ranks. The
+    result has one row per calendar month, at most some thousand given the range of
+    timestamps, so its rows may be broadcast.
     """
-    score = F.col("sentiment_score")
-    values = (df.where(F.col("year_month").isNotNull())
-              .groupBy("year_month", "sentiment_score", "sentiment_label").agg(
-                  F.count(F.lit(1)).alias("_n"), F.count("id").alias("_ids"),
-                  F.count_if("mentions_oregon").alias("_region"),
-                  F.count_if("mentions_partner").alias("_partner"))
-              .withColumn("_bin", F.greatest(F.lit(0), F.least(
-                  F.lit(_BINS - 1), F.floor((score + 1) * (_BINS / 2)).cast("int"))))
-              .withColumn("_bin", F.when(score.isNotNull(), F.col("_bin"))))
-    stats = _month_stats(values)
-    out = stats.join(F.broadcast(_medians(values, stats)), "year_month", "left")
-    out = out.select(
-        "year_month", F.substr("year_month", F.lit(1), F.lit(4)).cast("int").alias("year"),
-        F.substr("year_month", F.lit(6), F.lit(2)).cast("int").alias("month"),
-        "total_posts", "avg_sentiment", "median_sentiment",
-        F.when(F.col("_total") > 1, F.sqrt(F.greatest(F.col("_deviation"), F.lit(0.0))
-                                           / (F.col("_total") - 1))).alias("std_sentiment"),
+    counts = _score_counts(df)
+    stats = _month_stats(counts)
+    middle = (counts.select("year_month", "_bin", "sentiment_score", "_n")
+              .join(F.broadcast(stats), "year_month").where("_bin in (_low_bin, _high_bin)")
+              .repartition("year_month")
+              .withColumn("_upto", F.expr(
+                  "sum(_n) over (partition by year_month, _bin order by sentiment_score)")))
+    score_at = lambda end: (
+        f"min(if(_bin = _{end}_bin and _upto >= _{end}_rank, sentiment_score, null))")
+    keep = [c for c in stats.columns if c not in (
+        "year_month", "_low_bin", "_low_rank", "_high_bin", "_high_rank")]
+    monthly = middle.groupBy("year_month").agg(
+        F.expr(f"({score_at('low')} + {score_at('high')}) / 2 as median_sentiment"),
+        *[F.first(c).alias(c) for c in keep])
+    monthly = monthly.selectExpr(
+        "year_month", "cast(substr(year_month, 1, 4) as int) as year",
+        "cast(substr(year_month, 6, 2) as int) as month", "total_posts", "avg_sentiment",
+        "median_sentiment",
+        "if(_total > 1, sqrt(greatest(_deviation, 0.0D) / (_total - 1)), null) as std_sentiment",
         "oregon_mentions", "partner_mentions", "positive_count", "negative_count",
-        "neutral_count",
-        (F.try_divide("negative_count", "total_posts") * 100).alias("pct_negative"))
-    return with_rolling(out, settings.enable_rolling)
+        "neutral_count", "try_divide(negative_count, total_posts) * 100 as pct_negative")
+    return with_rolling(monthly, settings.enable_rolling)
 
 
 def with_rolling(monthly: DataFrame, enabled: bool = True) -> DataFrame:

@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textpulse.config import DEFAULT, Settings
-from textpulse.functions.plan import compute_once
+from textpulse.functions.plan import compute_once, drop_listed
 
 
 def term_tokens(text: Column, stop_words) -> Column:
     """Runs of two or more word characters, lower-cased, without stop words."""
-    stops = list(stop_words)
     runs = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"(?U)\w\w+"), F.lit(0))
-    return F.filter(runs, lambda t: ~t.isin(stops)) if stops else runs
+    return drop_listed(runs, list(stop_words))
 
 
 def _occurrences(tokens: Column) -> Column:
@@ -36,6 +35,24 @@ def term_statistics(texts: DataFrame, stop_words) -> DataFrame:
             .groupBy("term").agg(F.count(F.lit(1)).alias("total"), F.count_if("first").alias("docs")))
 
 
+def _vocabulary(texts: DataFrame, settings: Settings) -> DataFrame:
+    """One row: array of (term, idf), empty for too few texts. Reads the texts once."""
+    top = (term_statistics(texts, settings.stop_words)
+           # The row that counts the texts comes first, then the most frequent terms.
+           .orderBy(F.col("term") != "", F.desc("total"), "term")
+           .limit(settings.negative_max_terms + 1)
+           .agg(F.collect_list(F.struct("term", "total", "docs")).alias("terms")))
+    counted = top.select(
+        F.filter("terms", lambda t: t["term"] != "").alias("terms"),
+        F.get(F.filter("terms", lambda t: t["term"] == ""), F.lit(0)).alias("texts"))
+    idf = F.transform("terms", lambda t: F.struct(
+        t["term"].alias("term"),
+        (F.log((1 + F.col("texts")["docs"]) / (1 + t["docs"])) + 1).alias("idf")))
+    enough = F.coalesce(F.col("texts")["total"] >= settings.negative_min_rows, F.lit(False))
+    return counted.select(F.array_sort(F.when(enough, idf).otherwise(F.filter(
+        idf, lambda _: F.lit(False)))).alias("vocabulary"))
+
+
 def negative_keywords(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Top terms of Negative messages by summed, length-normalised TF-IDF.
 
@@ -47,16 +64,7 @@ def negative_keywords(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     counts and norms are worked out inside each row, without a join or a shuffle of texts.
     """
     texts = df.where(F.col("sentiment_label") == "Negative").select("clean_text")
-    stats = term_statistics(texts, settings.stop_words)
-    corpus = stats.where(F.col("term") == "")
-    documents = corpus.select("docs").scalar()
-    enough = corpus.select(F.col("total") >= settings.negative_min_rows).scalar()
-    vocabulary = (
-        stats.where((F.col("term") != "") & enough)
-        .orderBy(F.desc("total"), "term").limit(settings.negative_max_terms)
-        .select("term", (F.log((1 + documents) / (1 + F.col("docs"))) + 1).alias("idf"))
-        .agg(F.array_sort(F.collect_list(F.struct("term", "idf"))).alias("vocabulary")).scalar())
-
+    vocabulary = _vocabulary(texts, settings).scalar()
     rows = texts.where(F.col("clean_text").isNotNull()).select(
         "clean_text", vocabulary.alias("_vocabulary"), vocabulary["term"].alias("_terms"))
     known = F.filter(term_tokens(F.col("clean_text"), settings.stop_words),

@@ -22,8 +22,8 @@ class InsufficientData(RuntimeError):
 
 def _children(json: Column, parent_id: Column, path: Column) -> Column:
     """Comments of one JSON array that carry an id, with parent and path."""
-    # A lone object would be read as a one-element list; only arrays count.
-    level = F.when(F.substr(F.btrim(json), F.lit(1), F.lit(1)) == "[",
+    # A lone object would be read as a one-element list; only arrays with content count.
+    level = F.when(F.ltrim(json).startswith("[") & (F.length(json) > 2),
                    F.from_json(json, f"array<{COMMENT.simpleString()}>", JSON_OPTIONS))
     nodes = F.transform(level, lambda c, i: F.struct(
         F.concat(path, F.array(i)).alias("path"), parent_id.alias("parent_id"),

@@ -9,6 +9,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window, functions as F
 
 from textpulse.config import DEFAULT, Settings
+from textpulse.functions.plan import keep_columns
 from textpulse.functions.text import title_case
 from textpulse.operators.tfidf import term_tokens
 
@@ -72,8 +73,9 @@ def topic_top_words(df: DataFrame, settings: Settings = DEFAULT, min_topics: int
                       F.explode(term_tokens(F.col("clean_text"), settings.stop_words)).alias("term"))
               .groupBy("topic_id", "term").agg(F.count(F.lit(1)).alias("tf")))
     by_term = Window.partitionBy("term")  # at most one row per topic
-    counts = (counts.withColumns({"f": F.sum("tf").over(by_term), "topics": F.count(F.lit(1)).over(by_term)})
-              .where(F.col("topics") >= min_topics))
+    counts = keep_columns(
+        counts.withColumns({"f": F.sum("tf").over(by_term), "topics": F.count(F.lit(1)).over(by_term)})
+        .where(F.col("topics") >= min_topics))
     words_per_topic = counts.groupBy("topic_id").agg(F.sum("tf").alias("words"))
     mean_words = words_per_topic.agg(F.floor(F.avg("words"))).scalar()
     weighted = counts.join(F.broadcast(words_per_topic), "topic_id").withColumn(

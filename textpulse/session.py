@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import functools
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # UTC everywhere: local calendar columns are derived explicitly.
 SESSION_CONF = {
@@ -13,6 +14,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call-site capture adds several JVM calls to every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -38,6 +41,17 @@ def work_dir(spark: SparkSession) -> str:
     return _local_folder()
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """``df`` written once to the work folder and read back.
+
+    For results that several branches of a job read: the work runs once, lineage ends at
+    the files, and every reader prunes columns.
+    """
+    path = f"{work_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @functools.cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="textpulse-")
