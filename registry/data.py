@@ -80,7 +80,7 @@ def with_topics(df: DataFrame) -> DataFrame:
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as nested items: first line = title, other lines = comments, each sentence of
-    a line = a reply to the one before."""
+    a line = a reply to the one before, in chains of eight."""
     def node(key: Column, body: Column, votes: Column, replies: Column) -> Column:
         own = F.to_json(F.struct(
             key.alias("id"), body.alias("body"),
@@ -88,14 +88,16 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
             votes.alias("upVotes"), F.lit(1).alias("downVotes")))
         return F.concat(F.left(own, F.length(own) - 1), F.lit(',"replies":['), replies, F.lit("]}"))
 
-    def comment(line: Column, i: Column) -> Column:
+    def chains(line: Column, i: Column) -> Column:
         key = F.concat(F.col("doc_id").cast("string"), F.lit("_"), i.cast("string"))
         sentences = F.transform(F.split(line, r"\. "), lambda s, j: F.struct(s.alias("s"), j.alias("j")))
-        return F.aggregate(F.reverse(sentences), F.lit(""), lambda acc, x: node(
-            F.concat(key, F.lit("_"), x["j"].cast("string")), x["s"], x["j"], acc))
+        starts = F.sequence(F.lit(1), F.size(sentences), F.lit(8))
+        return F.transform(starts, lambda at: F.aggregate(
+            F.reverse(F.slice(sentences, at, F.lit(8))), F.lit(""), lambda acc, x: node(
+                F.concat(key, F.lit("_"), x["j"].cast("string")), x["s"], x["j"], acc)))
 
     lines = F.split("text", "\n")
-    comments = F.transform(F.slice(lines, F.lit(2), F.size(lines)), lambda line, i: comment(line, i))
+    comments = F.flatten(F.transform(F.slice(lines, F.lit(2), F.size(lines)), chains))
     return table(spark, sf_dir, "documents").select(
         F.col("doc_id").cast("string").alias("id"), F.get(lines, F.lit(0)).alias("title"),
         F.lit(None).cast("string").alias("body"), F.parse_json(F.col("doc_id").cast("string")).alias("createdAt"),

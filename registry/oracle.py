@@ -241,7 +241,7 @@ every AS (
          n_chars - 2 AS score, source, 'Post' AS type, doc_id AS created_at FROM lines WHERE i = 0
   UNION ALL
   SELECT doc_id, i, j, doc_id || '_' || i || '_' || j,
-         CASE WHEN j = 0 THEN CAST(doc_id AS VARCHAR) ELSE doc_id || '_' || i || '_' || (j - 1) END,
+         CASE WHEN j % 8 = 0 THEN CAST(doc_id AS VARCHAR) ELSE doc_id || '_' || i || '_' || (j - 1) END,
          body, j - 1, source, 'Comment', 1577836800 + j * 86400 FROM sentences)
 SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i, j) AS position, id, parent_id,
        trim(text, {SPACE_TEXT}) AS text, CAST(score AS BIGINT) AS score, source AS subreddit, type,

@@ -16,6 +16,9 @@ _NODE = ("struct<path:array<int>,parent_id:string,id:string,body:string,createdA
 _NODES = f"array<{_NODE}>"
 
 
+MAX_DEPTH = 450
+
+
 class InsufficientData(RuntimeError):
     """A run has too few rows to replace existing results."""
 
@@ -31,15 +34,31 @@ def _children(json: Column, parent_id: Column, path: Column) -> Column:
     return F.coalesce(F.filter(nodes, lambda n: n["id"] != ""), F.array().cast(_NODES))
 
 
+def _array_depth(json: Column) -> Column:
+    """Deepest nesting of arrays in a JSON text."""
+    no_escapes = F.regexp_replace(json, r"(?s)\\.", "")
+    brackets = F.regexp_replace(no_escapes, r'"[^"]*"|[^\[\]"]+', "")
+
+    def step(acc, bracket):
+        level = acc["level"] + F.when(bracket == "[", 1).when(bracket == "]", -1).otherwise(0)
+        return F.struct(level.alias("level"), F.greatest(acc["deepest"], level).alias("deepest"))
+
+    return F.aggregate(F.split(brackets, ""), F.struct(F.lit(0).alias("level"), F.lit(0).alias("deepest")),
+                       step, lambda acc: acc["deepest"])
+
+
 def comment_nodes(comments: Column, post_id: Column) -> Column:
     """All comments below a post, at any depth, each with its path from the post.
 
-    A fold within the row: every step parses the replies of the nodes found by the
-    step before. A level of nesting needs an opening brace, so the number of braces
-    bounds the steps; after the deepest level the remaining steps do nothing.
-    One scan and no shuffle, whatever the depth.
+    A fold within the row: every step parses the replies of the nodes found by the step
+    before, as many steps as arrays are nested. One scan and no shuffle, whatever the depth.
+
+    The JSON writer behind ``from_json`` stops at 1000 nested brackets and would leave the
+    rest out, so deeper threads fail the job instead of losing comments.
     """
-    braces = F.length(comments) - F.length(F.replace(comments, F.lit("{"), F.lit("")))
+    nested = _array_depth(comments)
+    steps = F.when(nested <= MAX_DEPTH, nested).otherwise(F.raise_error(F.concat(
+        F.lit(f"more than {MAX_DEPTH} levels of comments below post "), post_id)).cast("int"))
     start = F.struct(F.array().cast(_NODES).alias("done"),
                      _children(comments, post_id, F.array().cast("array<int>")).alias("todo"))
 
@@ -50,7 +69,7 @@ def comment_nodes(comments: Column, post_id: Column) -> Column:
                            deeper.alias("todo"))
         return F.when(F.size(state["todo"]) == 0, state).otherwise(stepped)
 
-    return F.aggregate(F.sequence(F.lit(0), braces), start, descend, lambda s: s["done"])
+    return F.aggregate(F.sequence(F.lit(0), steps), start, descend, lambda s: s["done"])
 
 
 def flatten_threads(items: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
