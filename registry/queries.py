@@ -18,7 +18,6 @@ from textpulse.functions import text
 from textpulse.functions.spans import is_whitelisted
 from textpulse.operators import (
     insights, joins, keywords, monthly, pii, preprocess, sentiment, stats, tfidf, threads, topics)
-from textpulse.schemas import PROCESSED
 from textpulse.session import stage, work_dir
 from textpulse.sources import items as item_source, runs, sinks
 from textpulse.streaming import incremental as stream
@@ -64,9 +63,7 @@ def src_processed(spark, sf):
     df = pii.redact_pii(data.flagged(spark, sf), SETTINGS)
     path = _folder(spark, "processed")
     public = sinks.public_columns(df)
-    missing = [f for f in PROCESSED if f.name not in public.columns]
-    public = public.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
-    sinks.write_csv(public.select(*PROCESSED.fieldNames()), path)
+    sinks.write_csv(public, path)
     return item_source.read_processed_csv(spark, path).select(
         "id", "clean_text", rounded("sentiment_score").alias("sentiment_score"), "sentiment_label",
         "search_category", "year_month", as_text("timestamp").alias("ts"))
@@ -484,18 +481,20 @@ def prompt_batches(spark, sf):
         F.col("batch").cast("long").alias("batch"), "posts", "prompt")
 
 
-def _answer(prompt: str) -> str:
-    """A stand-in for a model: one object per post of the prompt."""
-    import json
-    import re
-    ids = re.findall(r"POST_ID: (\S+)", prompt)
-    return json.dumps([{"post_id": i, "primary_complaint": "other", "severity": 1 + int(i) % 5} for i in ids])
-
-
 @query
 def model_calls(spark, sf):
+    def connect():
+        """A stand-in for a model: one object per post of the prompt."""
+        import json
+        import re
+
+        def answer(prompt):
+            ids = re.findall(r"POST_ID: (\S+)", prompt)
+            return json.dumps([{"post_id": i, "primary_complaint": "other", "severity": 1 + int(i) % 5} for i in ids])
+        return answer
+
     top = insights.number_batches(insights.top_negative(data.scored(spark, sf), 100, settings=SETTINGS))
-    answers = insights.call_model(insights.prompt_batches(top, SETTINGS), lambda: _answer, 2)
+    answers = insights.call_model(insights.prompt_batches(top, SETTINGS), connect, 2)
     return insights.parse_insights(answers).select(
         "post_id", "primary_complaint", F.col("severity").cast("long").alias("severity"))
 

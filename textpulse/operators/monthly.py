@@ -31,7 +31,8 @@ def _score_counts(df: DataFrame) -> DataFrame:
                   F.expr("count_if(mentions_oregon) as _region"),
                   F.expr("count_if(mentions_partner) as _partner")))
     # Both readers of the counts must ask for the same columns to share one shuffle.
-    return keep_columns(counts).withColumn("_bin", F.expr(f"coalesce({position}, -1)"))
+    return keep_columns(counts).withColumn("_bin", F.expr(
+        f"if(sentiment_score is null, -1, {position})"))
 
 
 def _month_stats(counts: DataFrame) -> DataFrame:

@@ -28,8 +28,11 @@ def read_items(spark: SparkSession, path: str, multi_line: bool = False) -> Data
 
 
 def read_processed_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The main dataset from CSV, with its fixed schema."""
-    return spark.read.schema(PROCESSED).csv(path, header=True, multiLine=True, escape='"')
+    """The main dataset from CSV: columns found by header name, cast to their fixed types."""
+    raw = spark.read.csv(path, header=True, multiLine=True, escape='"')
+    return raw.select(*[
+        (F.col(f.name).try_cast(f.dataType) if f.name in raw.columns else F.lit(None).cast(f.dataType))
+        .alias(f.name) for f in PROCESSED.fields])
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
