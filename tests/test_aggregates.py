@@ -152,6 +152,8 @@ def test_topics(spark):
     few = topics.assign_topics(df.limit(49), config)
     assert few.where("dominant_topic is not null").isEmpty()
     assert topics.topic_summary(few, found).isEmpty()
+    blank = topics.assign_topics(df.withColumn("clean_text", F.lit("")), config)
+    assert blank.count() == 120 and blank.where("dominant_topic is not null").isEmpty()
 
 
 def test_run_stats_round_half_even_and_empty(spark):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import CountVectorizer, IDF, Normalizer
 from pyspark.ml.functions import array_to_vector
@@ -34,14 +35,19 @@ def assign_topics(df: DataFrame, settings: Settings = DEFAULT, embedding: str |
 
     Vectors are TF-IDF of ``clean_text`` or a column of precomputed embeddings. Clusters of
     fewer than ``max(10, rows / 100)`` messages are outliers, so there are at most 100
-    topics. Fewer than ``topic_min_rows`` messages, or topics switched off, give NULL.
+    topics. Fewer than ``topic_min_rows`` messages, texts without a common term, or topics
+    switched off give NULL.
     Fits a seeded k-means model, which runs Spark jobs.
     """
+    unassigned = df.withColumn("dominant_topic", F.lit(None).cast("int"))
     enough = settings.enable_topics and (
         df.limit(settings.topic_min_rows).count() >= settings.topic_min_rows)
     if not enough:
-        return df.withColumn("dominant_topic", F.lit(None).cast("int"))
-    features = _features(df, settings, embedding, vocabulary)
+        return unassigned
+    try:
+        features = _features(df, settings, embedding, vocabulary)
+    except IllegalArgumentException:  # no term occurs in two messages
+        return unassigned
     method = BisectingKMeans if bisecting else KMeans
     training = features.select("_features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
