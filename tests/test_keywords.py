@@ -2,7 +2,6 @@ import re
 from dataclasses import replace
 
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from textpulse.config import DEFAULT, SEARCH_TERMS
 from textpulse.functions import terms, text

@@ -4,7 +4,6 @@ from dataclasses import replace
 from datetime import datetime, timezone
 
 import pytest
-from pyspark.sql import functions as F
 
 from textpulse.__main__ import main
 from textpulse.config import DEFAULT
