@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from textpulse.llm import simhash
+from textpulse.llm import packing, simhash, tokenfile
 
 QUERIES = {f.__name__: f for f in (
-    simhash.op2_simhash_near_dedup,
+    simhash.op2_simhash_near_dedup, packing.op3_mixture_packing, tokenfile.op4_arrow_token_files,
 )}
 ORACLE_SQL: dict[str, str] = {}
