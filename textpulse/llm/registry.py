@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from textpulse.llm import langid, licenses, packing, simhash, tokenfile, toxicity
+from textpulse.llm import chunks, langid, licenses, packing, simhash, tokenfile, toxicity
 
 QUERIES = {f.__name__: f for f in (
     simhash.op2_simhash_near_dedup, packing.op3_mixture_packing, tokenfile.op4_arrow_token_files,
-    langid.op8_language_id, licenses.op9_license_scan, toxicity.op10_toxicity,
+    chunks.op7_substring_dedup, langid.op8_language_id, licenses.op9_license_scan, toxicity.op10_toxicity,
 )}
 ORACLE_SQL = {"op9_license_scan": licenses.OP9_SQL}
