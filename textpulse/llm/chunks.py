@@ -217,7 +217,7 @@ def cut_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     whole = docs.select(F.monotonically_increasing_id().alias("row"), *[F.col(f"`{c}`").alias(n) for c, n in where.items()])
     text = where["text"]
     spans = (repeated_spans(whole.select("row", F.col(text).cast("string").alias("text")), least_words)
-             .groupBy("row").agg(F.collect_list(F.struct(F.col("first").cast("int"), F.col("last").cast("int"))).alias("spans")))  # disjoint, bounded by the text
+             .groupBy("row").agg(F.collect_list(F.struct(F.col("first").cast("int").alias("first"), F.col("last").cast("int").alias("last"))).alias("spans")))  # disjoint, bounded by the text
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from textpulse.llm import ann, chunks, langid, licenses, packing, simhash, tokenfile, topk, toxicity
+from textpulse.llm import ann, chunks, langid, licenses, mixing, packing, simhash, tokenfile, topk, toxicity
 
 QUERIES = {f.__name__: f for f in (
     topk.op1_exact_topk, simhash.op2_simhash_near_dedup, packing.op3_mixture_packing,
     tokenfile.op4_arrow_token_files, ann.op5_adaptive_ann,
-    chunks.op7_substring_dedup, langid.op8_language_id, licenses.op9_license_scan, toxicity.op10_toxicity,
+    mixing.op6_mixture_raking, chunks.op7_substring_dedup, langid.op8_language_id, licenses.op9_license_scan, toxicity.op10_toxicity,
 )}
 ORACLE_SQL = {"op1_exact_topk": topk.OP1_SQL, "op9_license_scan": licenses.OP9_SQL}
