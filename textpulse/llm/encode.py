@@ -7,29 +7,40 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: What the tokenizers' own patterns call white space (it is not what str.split() means by it).
 SPACE = "\t-\r \x85\xa0  -     　"
+#: White space at which a piece between blanks cannot be cut by line ends alone.
+IRREGULAR = re.compile("^\n|\n$|\n\n|[" + SPACE.replace("\t-\r ", "\t\x0b-\r ") + "]|^$")
 UNITS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-KEPT_UNITS = 500_000  # encoded units that a worker keeps; beyond it starts anew
+KEPT_UNITS = 200_000  # encoded units of a generation; a worker keeps two
+KEPT_PIECES = 800_000  # encoded pieces between blanks that a worker keeps; beyond it those of the last slice
+SLICE_BYTES = 8 << 20  # text that is encoded at a time
 LONG_UNIT = 64  # longer units are encoded each time
+#: Byte-level vocabularies write printable bytes as themselves and the others, in order, from U+0100 on.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
 
 
 class _Units(dict):
-    """Ids of a unit, encoded when first asked for."""
+    """Ids of a unit, encoded when first asked for; what two generations did not ask for is dropped."""
 
     def __init__(self, owner: Encoder, lead: str):
-        self.owner, self.lead = owner, lead
+        self.owner, self.lead, self.older = owner, lead, {}
 
     def __missing__(self, unit: str) -> bytes:
-        if len(unit) > 1 and unit[-1] in ".,;:!?" and unit[-2].isalpha():
-            # A letter run ends before punctuation, so both parts are encoded by themselves.
-            ids = self[unit[:-1]] + self.owner.inner[unit[-1]]
-        else:
-            ids = self.owner.direct(self.lead + unit)
+        if len(unit) > 1 and unit[-1] in ".,;:!?" and unit[-2].isalpha() and unit[-2].isascii():
+            # A letter run ends before punctuation, so both parts are encoded by themselves. (Lower
+            # case can turn other letters into a letter and a mark, which would join the punctuation.)
+            return self[unit[:-1]] + self.owner.inner[unit[-1]]
+        ids = self.older.get(unit)
+        if ids is None:
+            ids = self.owner.word(self.lead, unit) if unit.isalpha() else self.owner.direct(self.lead + unit)
         if len(unit) <= LONG_UNIT:
             if len(self) >= KEPT_UNITS:
+                self.older = dict(self)
                 self.clear()
             self[unit] = ids
         return ids
@@ -47,29 +58,85 @@ class Encoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.inner = _Units(self, "")
         #: White space is part of the ids, or only parts the words.
         self.spaced = bool(self.direct(" "))
+        self.pieces: dict[str, bytes] = {}
         self.led = _Units(self, " ") if self.spaced else self.inner
 
     def direct(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def word(self, lead: str, word: str) -> bytes:
+        """Ids of a run of letters, which the patterns keep whole: straight from the vocabulary's merges."""
+        if self.normalizer:
+            whole, word = word, self.normalizer.normalize_str(word)
+            if not word.isalpha():  # a letter that is written in lower case with a mark
+                return self.direct(lead + whole)
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(BYTE_CHARACTERS)
+        if lead:
+            word = chr(BYTE_CHARACTERS[32]) + word
+        return np.array([token.id for token in self.model.tokenize(word)], self.dtype).tobytes()
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        words = text.split()
-        if not self.spaced:
-            if any(map(text.__contains__, "\x1c\x1d\x1e\x1f")):
-                words = UNITS.findall(text)
-            return b"".join(map(self.inner.__getitem__, words))
-        lines = [line.split(" ") for line in text.split("\n")]
-        if sum(map(len, lines)) != len(words):
-            # Some other white space than single spaces and line ends between words.
+        if self.spaced or any(map(text.__contains__, "\x1c\x1d\x1e\x1f")):
             return b"".join(map(self.inner.__getitem__, UNITS.findall(text)))
-        led = self.led.__getitem__
-        return self.inner["\n"].join([self.inner[line[0]] + b"".join(map(led, line[1:])) for line in lines])
+        return b"".join(map(self.inner.__getitem__, text.split()))
+
+    def _piece(self, piece: str, led: bool) -> bytes | None:
+        """Ids of what stands between two blanks; None if its white space needs the whole text."""
+        if not self.spaced:
+            return self.encode(piece)
+        if IRREGULAR.search(piece):
+            return None
+        lines = piece.split("\n")
+        first = (self.led if led else self.inner)[lines[0]]
+        return first if len(lines) == 1 else self.inner["\n"].join([first, *map(self.inner.__getitem__, lines[1:])])
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text. Distinct pieces of a slice are looked up once; the rest is array work."""
+        out, at = [], 0
+        texts = texts.fill_null("")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
+        while at < len(texts):
+            reach = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE_BYTES, "right")))
+            out += self._encode_slice(texts.slice(at, reach - at))
+            at = reach
+        return out
+
+    def _encode_slice(self, texts: pa.Array) -> list[bytes]:
+        split = pc.split_pattern(texts, " ")
+        begins = split.offsets.to_numpy().astype(np.int64)
+        coded = split.values.dictionary_encode()
+        codes, pieces = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        ids = list(map(self.pieces.get, pieces))
+        for i in [i for i, known in enumerate(ids) if known is None]:
+            ids[i] = self._piece(pieces[i], True)
+            if ids[i] is not None:
+                self.pieces[pieces[i]] = ids[i]
+        if len(self.pieces) > KEPT_PIECES:
+            self.pieces = dict(zip(pieces, ids))
+        irregular = np.fromiter((x is None for x in ids), bool, len(ids))
+        ids = [x or b"" for x in ids]
+        width = self.dtype.itemsize
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // width
+        starts = np.cumsum(sizes) - sizes
+        counts = sizes[codes]
+        after = np.concatenate([[0], np.cumsum(counts)])
+        source = np.repeat(starts[codes] - after[:-1], counts) + np.arange(after[-1])
+        stream = np.frombuffer(b"".join(ids), self.dtype)[source].tobytes()
+        odd = np.concatenate([[0], np.cumsum(irregular[codes])])[begins]
+        # The first piece has no blank before it.
+        edges = (after * width)[begins].tolist()
+        seconds = (after * width)[np.minimum(begins[:-1] + 1, begins[1:])].tolist()
+        firsts = [pieces[c] for c in codes[begins[:-1]]]
+        return [self.encode(texts[i].as_py()) if strange else self._piece(firsts[i], False) + stream[seconds[i]:edges[i + 1]]
+                for i, strange in enumerate((np.diff(odd) > 0).tolist())]
 
 
 @functools.cache
@@ -82,4 +149,4 @@ def encoded(texts: pa.Array, path: str, end_id: int) -> tuple[list[bytes], np.dt
     """Ids of each text and ``end_id`` behind them; a null text counts as empty."""
     coder = encoder(path)
     end = np.array([end_id], coder.dtype).tobytes()
-    return [coder.encode(t) + end for t in texts.to_pylist()], coder.dtype
+    return [ids + end for ids in coder.encode_all(texts)], coder.dtype
