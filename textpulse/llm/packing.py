@@ -68,7 +68,7 @@ class Schedule:
         first.append(at)
         sent.append(list(totals))
         zero = [0] * len(totals)
-        table_of = lambda rows: np.array(rows, np.int64).reshape(-1, len(totals))
+        table_of = lambda rows: np.array(rows, np.int64).reshape(len(rows), len(totals))
         return cls(np.array(totals, np.int64), np.array(first, np.int64), table_of(sent), table_of([*whole, zero]),
                    table_of([*part, zero]), np.array([*over, 1], np.int64), at)
 
