@@ -125,7 +125,7 @@ class Scorer:
     """Document features from hits and a logistic model over them."""
 
     terms: dict[str, float]
-    coefficients: np.ndarray = field(default_factory=lambda: np.array([-3.0, 3.0, 0.5, 0.5, 0.0]))
+    coefficients: np.ndarray = field(default_factory=lambda: np.array([-3.0, 3.0, 0.0, 0.5, 0.0]))
 
     def __post_init__(self):
         self.lexicon = Lexicon(self.terms)
@@ -176,18 +176,20 @@ class Scorer:
         return min(1.25, factor)
 
     def features(self, text: str | None) -> list[float]:
-        exact = fuzzy = quoted = 0.0
+        """Of the text: one, all evidence, what of it is misspelled, differing terms, what context took away.
+
+        A misspelling counts half of its term for each edit; as the second feature is its own, the
+        model can still learn that near misses mean less than that, or nothing.
+        """
+        plain = fuzzy = quoted = 0.0
         distinct = set()
         for term, edits, factor in self.hits(text or ""):
-            weight = self.terms[term] * factor
-            if factor < 1:
-                quoted += self.terms[term] - weight
-            if edits:
-                fuzzy += weight / 2 ** edits
-            else:
-                exact += weight
-                distinct.add(term)
-        return [1.0, math.log1p(exact), math.log1p(fuzzy), math.log1p(len(distinct)), math.log1p(quoted)]
+            weight = self.terms[term] * factor / 2 ** edits
+            plain += weight
+            fuzzy += weight if edits else 0.0
+            quoted += self.terms[term] * (1 - factor) if factor < 1 else 0.0
+            distinct.add(term)
+        return [1.0, math.log1p(plain), math.log1p(fuzzy), math.log1p(len(distinct)), math.log1p(quoted)]
 
     def scores(self, rows: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(rows @ self.coefficients, -30, 30)))
