@@ -39,12 +39,12 @@ def test_nothing_gives_no_ids(text):
 
 
 def test_generations(monkeypatch):
-    monkeypatch.setattr("textpulse.llm.encode.KEPT_UNITS", 3)
-    coder = Encoder(public_tokenizers.path(FILES[0]))
-    whole = CODERS[FILES[0]][1]
-    text = "one two three four five six one two three four one. two, six"
-    assert np.frombuffer(coder.encode(text), coder.dtype).tolist() == whole.encode(text).ids
-    assert len(coder.led) <= 3
+    monkeypatch.setattr("textpulse.llm.encode.KEPT_PIECES", 3)
+    for name in FILES:
+        coder, whole = Encoder(public_tokenizers.path(name)), CODERS[name][1]
+        for text in ("one two three four. five six", "one two, three four", "six seven two three. one", "four five\nsix two"):
+            got = coder.encode_all(pa.array([text, text.upper()]))
+            assert [np.frombuffer(ids, coder.dtype).tolist() for ids in got] == [whole.encode(t).ids for t in (text, text.upper())]
 
 
 @settings(max_examples=200, deadline=None)

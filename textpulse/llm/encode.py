@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -15,37 +16,14 @@ SPACE = "\t-\r \x85\xa0  -     　"
 #: White space at which a piece between blanks cannot be cut by line ends alone.
 IRREGULAR = re.compile("^\n|\n$|\n\n|[" + SPACE.replace("\t-\r ", "\t\x0b-\r ") + "]|^$")
 UNITS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-KEPT_UNITS = 200_000  # encoded units of a generation; a worker keeps two
-KEPT_PIECES = 800_000  # encoded pieces between blanks that a worker keeps; beyond it those of the last slice
-SLICE_BYTES = 8 << 20  # text that is encoded at a time
-LONG_UNIT = 64  # longer units are encoded each time
+KEPT_PIECES = 400_000  # encoded pieces between blanks of a generation; a worker keeps two
+SLICE_BYTES = 4 << 20  # text that is encoded at a time
+MARKS = ".,;:!?"
 #: Byte-level vocabularies write printable bytes as themselves and the others, in order, from U+0100 on.
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
 
 
-class _Units(dict):
-    """Ids of a unit, encoded when first asked for; what two generations did not ask for is dropped."""
-
-    def __init__(self, owner: Encoder, lead: str):
-        self.owner, self.lead, self.older = owner, lead, {}
-
-    def __missing__(self, unit: str) -> bytes:
-        if len(unit) > 1 and unit[-1] in ".,;:!?" and unit[-2].isalpha() and unit[-2].isascii():
-            # A letter run ends before punctuation, so both parts are encoded by themselves. (Lower
-            # case can turn other letters into a letter and a mark, which would join the punctuation.)
-            return self[unit[:-1]] + self.owner.inner[unit[-1]]
-        ids = self.older.get(unit)
-        if ids is None:
-            ids = self.owner.word(self.lead, unit) if unit.isalpha() else self.owner.direct(self.lead + unit)
-        if len(unit) <= LONG_UNIT:
-            if len(self) >= KEPT_UNITS:
-                self.older = dict(self)
-                self.clear()
-            self[unit] = ids
-        return ids
-
-
 class Encoder:
     """Ids as little-endian integers of the smallest of 2 or 4 bytes that holds the vocabulary.
 
@@ -60,14 +38,18 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.inner = _Units(self, "")
+        self.form = "H" if self.dtype.itemsize == 2 else "I"
         #: White space is part of the ids, or only parts the words.
         self.spaced = bool(self.direct(" "))
+        self.marks = {mark: self.direct(mark) for mark in MARKS + "\n"}
         self.pieces: dict[str, bytes] = {}
-        self.led = _Units(self, " ") if self.spaced else self.inner
+        self.older: dict[str, bytes] = {}
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.form}", *ids)
 
     def direct(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        return self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def word(self, lead: str, word: str) -> bytes:
         """Ids of a run of letters, which the patterns keep whole: straight from the vocabulary's merges."""
@@ -79,24 +61,36 @@ class Encoder:
             word = word.encode().decode("latin-1").translate(BYTE_CHARACTERS)
         if lead:
             word = chr(BYTE_CHARACTERS[32]) + word
-        return np.array([token.id for token in self.model.tokenize(word)], self.dtype).tobytes()
+        return self._bytes([token.id for token in self.model.tokenize(word)])
+
+    def unit(self, lead: str, unit: str) -> bytes:
+        if unit.isalpha():
+            return self.word(lead, unit)
+        head = unit[:-1]
+        if unit[-1:] in self.marks and head.isascii() and head.isalpha():
+            # A letter run ends before punctuation, so both parts are encoded by themselves. (Lower
+            # case can turn other letters into a letter and a mark, which would join the punctuation.)
+            return (lead and self.pieces.get(head) or self.word(lead, head)) + self.marks[unit[-1]]
+        return self.direct(lead + unit)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if self.spaced or any(map(text.__contains__, "\x1c\x1d\x1e\x1f")):
-            return b"".join(map(self.inner.__getitem__, UNITS.findall(text)))
-        return b"".join(map(self.inner.__getitem__, text.split()))
+            return b"".join([self.unit("", u) for u in UNITS.findall(text)])
+        return b"".join([self.unit("", u) for u in text.split()])
 
     def _piece(self, piece: str, led: bool) -> bytes | None:
         """Ids of what stands between two blanks; None if its white space needs the whole text."""
         if not self.spaced:
             return self.encode(piece)
+        lead = " " if led else ""
+        if piece.isalpha():
+            return self.word(lead, piece)
         if IRREGULAR.search(piece):
             return None
-        lines = piece.split("\n")
-        first = (self.led if led else self.inner)[lines[0]]
-        return first if len(lines) == 1 else self.inner["\n"].join([first, *map(self.inner.__getitem__, lines[1:])])
+        first, *others = piece.split("\n")
+        return self.marks["\n"].join([self.unit(lead, first), *[self.unit("", line) for line in others]])
 
     def encode_all(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text. Distinct pieces of a slice are looked up once; the rest is array work."""
@@ -115,12 +109,14 @@ class Encoder:
         coded = split.values.dictionary_encode()
         codes, pieces = coded.indices.to_numpy(), coded.dictionary.to_pylist()
         ids = list(map(self.pieces.get, pieces))
-        for i in [i for i, known in enumerate(ids) if known is None]:
-            ids[i] = self._piece(pieces[i], True)
-            if ids[i] is not None:
-                self.pieces[pieces[i]] = ids[i]
+        for i, known in enumerate(ids):
+            if known is None:
+                piece = pieces[i]
+                ids[i] = known = self.older.get(piece) or self._piece(piece, True)
+                if known is not None:
+                    self.pieces[piece] = known
         if len(self.pieces) > KEPT_PIECES:
-            self.pieces = dict(zip(pieces, ids))
+            self.older, self.pieces = self.pieces, {}
         irregular = np.fromiter((x is None for x in ids), bool, len(ids))
         ids = [x or b"" for x in ids]
         width = self.dtype.itemsize
