@@ -43,8 +43,10 @@ def features(text: bytes, dimensions: int = DIMENSIONS) -> np.ndarray:
 
 def normalised(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """TF-IDF rows of length one; term frequency enters as its logarithm."""
-    weighted = np.log1p(counts) * idf
-    return weighted / np.maximum(np.linalg.norm(weighted, axis=1, keepdims=True), 1e-12)
+    weighted = np.log1p(counts)
+    weighted *= idf
+    weighted /= np.maximum(np.linalg.norm(weighted, axis=1, keepdims=True), 1e-12)
+    return weighted
 
 
 @dataclass
