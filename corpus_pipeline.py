@@ -40,7 +40,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     least = grouped.groupBy("group").agg(F.min("id").alias("id"))
     first = grouped.join(least, ["group", "id"]).groupBy("group").agg(F.min("row").alias("row"))
     kept = stage(first.select("row"))
-    return whole.join(kept, "row", "left_semi").select(*[F.col(n).alias(c) for c, n in where.items()])
+    # The same plan at every size: whether one side is small must not decide what is moved.
+    return whole.join(kept.hint("merge"), "row", "left_semi").select(*[F.col(n).alias(c) for c, n in where.items()])
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -127,7 +127,8 @@ def _contexts(docs: DataFrame, runs: DataFrame) -> DataFrame:
         return pa.record_batch([pa.array(rows, pa.int64()), pa.array(at, pa.int32()), pa.array(after), pa.array(words, pa.list_(pa.int64()))],
                                ["row", "at", "after", "words"])
 
-    joined = docs.select("row", raw("text").alias("text")).join(wanted, "row").select("row", "text", "places")
+    # The same plan at every size: whether one side is small must not decide what is moved.
+    joined = docs.select("row", raw("text").alias("text")).join(wanted.hint("merge"), "row").select("row", "text", "places")
     return map_batches(joined, run, "row long, at int, after boolean, words array<long>")
 
 
@@ -224,7 +225,7 @@ def cut_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
         return pd.Series([t if own is None or t is None else without_spans(t.encode(), [(s["first"], s["last"]) for s in own]).decode()
                           for t, own in zip(texts, spans)])
 
-    changed = whole.join(stage(spans), "row", "left").withColumn(text, cut(text, "spans"))
+    changed = whole.join(stage(spans).hint("merge"), "row", "left").withColumn(text, cut(text, "spans"))
     if "n_chars" in where:
         changed = changed.withColumn(where["n_chars"], F.when(F.col("spans").isNull(), F.col(where["n_chars"]))
                                      .otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType))

@@ -133,7 +133,8 @@ def sample(docs: DataFrame, targets: Mapping[str, Mapping | float] | None = None
     whole = docs.select(F.monotonically_increasing_id().alias("row"), *[F.col(f"`{c}`").alias(n) for c, n in where.items()])
     needed = whole.select("row", *[F.col(where[c]).alias(c) for c in ("doc_id", "source", "lang", "text")])
     kept = stage(calibrated(needed, targets).filter("kept").select("row"))
-    return whole.join(kept, "row", "left_semi").select(*[F.col(n).alias(c) for c, n in where.items()])
+    # The same plan at every size: whether one side is small must not decide what is moved.
+    return whole.join(kept.hint("merge"), "row", "left_semi").select(*[F.col(n).alias(c) for c, n in where.items()])
 
 
 def op6_mixture_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
