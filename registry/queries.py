@@ -320,7 +320,7 @@ def topic_assign(spark, sf):
 @query
 def topic_assign_text(spark, sf):
     df = stage(data.preprocessed(spark, sf).select("id", "clean_text"))
-    return topics.assign_topics(df, SETTINGS, max_iter=10).select("id", "dominant_topic")
+    return topics.assign_topics(df, SETTINGS).select("id", "dominant_topic")
 
 
 @query

@@ -10,17 +10,10 @@ _AUDIT = ("entity_type", "start_position", "end_position", "confidence")
 def join_audit(messages: DataFrame, audit: DataFrame) -> DataFrame:
     """Every message with its audit rows (left join on ``id = post_id``).
 
-    Messages without personal data need no partner, and ``pii_count`` tells which they are:
-    only the others enter the shuffle join. That one is an inner join, whose hot keys
-    adaptive execution splits on either side.
+    The audit table alone decides who has partners, whatever ``pii_count`` says; adaptive
+    execution splits hot keys on the message side.
     """
-    entities = audit.select(F.col("post_id").alias("id"), *_AUDIT)
-    hit = F.coalesce(F.col("pii_count"), F.lit(0)) > 0
-    joined = messages.where(hit).join(entities, "id")
-    types = dict(entities.dtypes)
-    rest = messages.where(~hit).withColumns(
-        {c: F.lit(None).cast(types[c]) for c in _AUDIT})
-    return joined.select(*messages.columns, *_AUDIT).unionByName(rest)
+    return messages.join(audit.select(F.col("post_id").alias("id"), *_AUDIT), "id", "left")
 
 
 def messages_with_audit(messages: DataFrame, audit: DataFrame, found: bool = True) -> DataFrame:
