@@ -35,6 +35,8 @@ SETTINGS = replace(
     custom_stop_words=("er", "es", "th", "nd"),
 )
 
+ALUMNI_PHRASES = ("moved back", "after years", "left a rural town", "after", "years", "left", "rural", "moved")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")

@@ -6,7 +6,7 @@ steps are common table expressions that each statement lists first.
 
 from __future__ import annotations
 
-from registry.data import SETTINGS
+from registry.data import ALUMNI_PHRASES, SETTINGS
 from textpulse.functions.spans import END, START, default_patterns
 from textpulse.operators.insights import COMPLAINTS
 
@@ -267,7 +267,7 @@ ORACLE_SQL["volume_gate"] = "SELECT count(*) AS rows FROM documents HAVING count
 
 ORACLE_SQL["filter_deleted"] = """
 SELECT CAST(doc_id AS VARCHAR) AS id, length(text) AS chars FROM documents
-WHERE coalesce(text, '') NOT IN ('[deleted]', '[removed]', '')"""
+WHERE doc_id % 7 <> 0 AND doc_id % 11 <> 0 AND coalesce(text, '') NOT IN ('[deleted]', '[removed]', '')"""
 ORACLE_SQL["clean_text"] = f"WITH {CLEANED} SELECT id, whole_text AS clean_text FROM cleaned"
 ORACLE_SQL["clean_html"] = f"SELECT page_id, {clean(chr(40) + 'url || chr(32) || html' + chr(41))} AS clean_text FROM pages"
 ORACLE_SQL["filter_short"] = """
@@ -301,7 +301,10 @@ for _name, _column in {
         "flag_faculty": "mentions_faculty", "flag_attrition": "mentions_attrition",
         "classify_category": "search_category", "keyword_matches": "keyword_matches"}.items():
     ORACLE_SQL[_name] = f"WITH {CLEAN_FLAGS} SELECT id, {_column} FROM flagged"
-ORACLE_SQL["lifecycle_stage"] = f"WITH {CLEAN_FLAGS} SELECT id, is_recruitment, is_retention, is_alumni FROM flagged"
+_ENDED = CLEANED + f""",
+ended AS (SELECT * REPLACE (CASE WHEN doc_id % 5 = 0 THEN whole_text || ' ' ||
+    {array(ALUMNI_PHRASES)}[(doc_id // 5) % {len(ALUMNI_PHRASES)} + 1] ELSE whole_text END AS whole_text) FROM cleaned)"""
+ORACLE_SQL["lifecycle_stage"] = f"WITH {_ENDED}{flags('ended', 'whole_text')} SELECT id, is_recruitment, is_retention, is_alumni FROM flagged"
 ORACLE_SQL["keyword_counts"] = f"""WITH {CLEAN_FLAGS}
 SELECT count(*) FILTER (mentions_oregon) AS oregon_count,
        count(*) FILTER (mentions_partner) AS partner_count FROM flagged"""
@@ -315,9 +318,12 @@ ORACLE_SQL["compound_score"] = f"WITH {SCORED} SELECT id, {rounded('sentiment_sc
 ORACLE_SQL["sentiment_uncertain"] = f"""WITH {SCORED}
 SELECT id, {rounded('sentiment_confidence')} AS sentiment_confidence,
        sentiment_confidence < 0.7 AS sentiment_uncertain FROM scored"""
-ORACLE_SQL["sentiment_blank"] = """
-SELECT CAST(doc_id AS VARCHAR) AS id, CAST(0 AS DOUBLE) AS sentiment_score, 'Neutral' AS sentiment_label,
-       CAST(0 AS DOUBLE) AS sentiment_confidence, true AS sentiment_uncertain FROM documents"""
+ORACLE_SQL["sentiment_blank"] = f"""WITH {CLEANED}{scores('cleaned', 'whole_text')},
+blanked AS (SELECT *, doc_id % 3 = 0 OR whole_text = '' AS blank FROM scored)
+SELECT id, CASE WHEN blank THEN 0.0 ELSE {rounded('sentiment_score')} END AS sentiment_score,
+       CASE WHEN blank THEN 'Neutral' ELSE sentiment_label END AS sentiment_label,
+       CASE WHEN blank THEN 0.0 ELSE {rounded('sentiment_confidence')} END AS sentiment_confidence,
+       blank OR sentiment_confidence < 0.7 AS sentiment_uncertain FROM blanked"""
 
 # --- personal data ---------------------------------------------------------------------------------
 

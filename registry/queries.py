@@ -131,7 +131,10 @@ def volume_gate(spark, sf):
 
 @query
 def filter_deleted(spark, sf):
-    df = preprocess.with_original_text(data.messages(spark, sf))
+    """Every seventh document is a marker of deleted text, every eleventh has none."""
+    marked = data.messages(spark, sf).withColumn("text", F.when(F.col("id").cast("long") % 14 == 0, "[deleted]").when(
+        F.col("id").cast("long") % 7 == 0, "[removed]").when(F.col("id").cast("long") % 11 != 0, F.col("text")))
+    df = preprocess.with_original_text(marked)
     return preprocess.filter_deleted(df, SETTINGS).select("id", F.length("original_text").cast("long").alias("chars"))
 
 
@@ -214,8 +217,12 @@ QUERIES["keyword_matches"] = _flag("keyword_matches")
 
 @query
 def lifecycle_stage(spark, sf):
-    return keywords.flag_keywords(data.cleaned(spark, sf), SETTINGS).select(
-        "id", "is_recruitment", "is_retention", "is_alumni")
+    """Every fifth text ends in a phrase of former members; some hold only half of one."""
+    phrases = F.array(*[F.lit(p) for p in data.ALUMNI_PHRASES])
+    number = F.col("id").cast("long")
+    df = data.cleaned(spark, sf).withColumn("clean_text", F.when(number % 5 == 0, F.concat_ws(
+        " ", "clean_text", F.get(phrases, (number / 5 % len(data.ALUMNI_PHRASES)).cast("int")))).otherwise(F.col("clean_text")))
+    return keywords.flag_keywords(df, SETTINGS).select("id", "is_recruitment", "is_retention", "is_alumni")
 
 
 @query
@@ -250,10 +257,12 @@ def sentiment_uncertain(spark, sf):
 
 @query
 def sentiment_blank(spark, sf):
-    """Scores of the line breaks and spaces of a text alone: blank input is Neutral."""
-    df = data.messages(spark, sf).select("id", F.regexp_replace("text", r"[^ \n]", "").alias("clean_text"))
+    """Every third text keeps its line breaks and spaces alone: blank input is Neutral, the rest is scored."""
+    df = data.cleaned(spark, sf).withColumn("clean_text", F.when(
+        F.col("id").cast("long") % 3 == 0, F.regexp_replace("text", r"[^ \n]", "")).otherwise(F.col("clean_text")))
     return sentiment.analyze_sentiment(df, SETTINGS).select(
-        "id", "sentiment_score", "sentiment_label", "sentiment_confidence", "sentiment_uncertain")
+        "id", rounded("sentiment_score").alias("sentiment_score"), "sentiment_label",
+        rounded("sentiment_confidence").alias("sentiment_confidence"), "sentiment_uncertain")
 
 
 # --- personal data ------------------------------------------------------------------------
@@ -620,19 +629,20 @@ def stream_monthly_counts(spark, sf):
 def stream_dedupe(spark, sf):
     events = _event_stream(spark, sf).select(F.col("user_id").alias("id"), "timestamp")
     out = _folder(spark, "stream")
-    writer = stream.drop_seen(events, "60 days").select("id").writeStream.format("parquet").option("path", f"{out}/table")
+    writer = stream.drop_seen(events).select("id").writeStream.format("parquet").option("path", f"{out}/table")
     return _finish(spark, writer, out)
 
 
 @query
 def stream_merge(spark, sf):
-    """Two versions of overlapping sets merged by id: the newer one stays."""
+    """Two versions of overlapping sets merged by id: the newer one stays, an older one changes nothing."""
     messages = monthly.with_calendar(data.messages(spark, sf), SETTINGS).select(
         "id", "timestamp", "year_month", F.length("text").cast("long").alias("chars"))
     out = _folder(spark, "merge")
     stream.merge_by_id(spark, messages.withColumn("_version", F.lit(1)), out)
     longer = messages.where(F.col("chars") > 1000).withColumns({"chars": F.col("chars") * 2, "_version": F.lit(2)})
     stream.merge_by_id(spark, longer, out)
+    stream.merge_by_id(spark, longer.withColumns({"chars": F.lit(0).cast("long"), "_version": F.lit(0)}), out)
     return spark.read.schema("id string, chars long, _version int, year_month string").parquet(out).select(
         "id", "year_month", "chars", F.col("_version").cast("long").alias("version"))
 

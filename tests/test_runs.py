@@ -10,6 +10,7 @@ from textpulse.config import DEFAULT
 from textpulse.operators.insights import complaint_counts
 from textpulse.plans.batch import run
 from textpulse.plans.deep import run_deep
+from textpulse.session import work_dir
 from textpulse.sources import runs, sinks
 from textpulse.sources.items import read_items, read_processed_csv
 from textpulse.streaming import incremental as stream
@@ -120,6 +121,37 @@ def test_file_hashes(spark, tmp_path):
     assert runs.file_md5(spark, str(tmp_path / "missing")).first().md5 == ""
 
 
+def test_equal_versions_merge_alike_in_any_order(spark, tmp_path):
+    schema = "id string, timestamp string, year_month string, _version long, text string"
+    found = set()
+    for turn, texts in enumerate((("x", "y"), ("y", "x"))):
+        target = str(tmp_path / str(turn))
+        for t in texts:
+            stream.merge_by_id(spark, spark.createDataFrame([("a", "1", "2024-01", 1, t)], schema), target)
+        found.add(spark.read.schema(schema).parquet(target).first().text)
+    assert len(found) == 1
+
+
+def test_job_entry_streams_and_backfills(spark, tmp_path):
+    landing, out = _land(tmp_path / "in", _items(20)), str(tmp_path / "out")
+    assert main(["--items", landing, "--out", out, "--stream", "--drop-raw"]) == 0
+    table = spark.read.parquet(f"{out}/{sinks.STREAMED}.parquet")
+    assert table.count() == 40 and not {"text", "original_text", "author"} & set(table.columns)
+    recent = [dict(i, createdAt=int(datetime.now().timestamp()) - 86400, comments=[]) for i in _items(12, 50)]
+    assert main(["--items", _land(tmp_path / "in", recent, "b.json"), "--out", out, "--backfill-only", "--drop-raw"]) == 0
+    table = spark.read.parquet(f"{out}/{sinks.MAIN}.parquet")
+    assert table.count() == 12 and "text" not in table.columns  # older messages lie before the cut
+
+
+def test_runs_leave_no_staged_tables(spark, tmp_path):
+    before = set(os.listdir(work_dir(spark)))
+    assert run(spark, read_items(spark, _land(tmp_path / "in", _items(12))), str(tmp_path / "out"), run_ts=RUN, csv=False,
+               settings=replace(DEFAULT, enable_topics=False)).success
+    stream.merge_by_id(spark, spark.createDataFrame([("a", "1", "2024-01", 1)], "id string, timestamp string, year_month string, _version int"),
+                       str(tmp_path / "t"))
+    assert not {n for n in set(os.listdir(work_dir(spark))) - before if n.startswith(("run-", "merge-"))}
+
+
 def test_dry_run(capsys):
     assert main(["--dry-run"]) == 0 and "settings valid" in capsys.readouterr().out
 
@@ -140,14 +172,21 @@ def test_stream_equals_batch_and_merges_new_versions(spark, tmp_path):
     go()
     rows = {r.id: r for r in read().collect()}
     assert len(rows) == read().count() == 80
-    assert rows["p15"]._version == 1 and rows["p14"]._version == 0 and "quiet" in rows["p15"].text
+    assert rows["p15"]._version > rows["p14"]._version and "quiet" in rows["p15"].text
     assert str(rows["p16"].year_month) == "2024-02"  # moved to another month, once
+    # A new checkpoint reads every file again: the newest one still wins.
+    _land(landing, _items(1, 15, body="the doctor came back to the clinic and all of us were glad"), "c.json")
+    checkpoint = str(tmp_path / "check2")
+    go()
+    rows = {r.id: r for r in read().collect()}
+    assert len(rows) == read().count() == 80
+    assert "glad" in rows["p15"].text and "quiet" in rows["p16"].text and "terrible" in rows["p14"].text
 
 
 def test_stream_duplicates(spark, tmp_path):
     schema = "id string, timestamp timestamp"
     landing, out = tmp_path / "in", str(tmp_path / "out")
-    rows = lambda ids: [{"id": i, "timestamp": "2024-01-01T00:00:00Z"} for i in ids]
+    rows = lambda ids, year=2024: [{"id": i, "timestamp": f"{year}-01-01T00:00:00Z"} for i in ids]
 
     def go():
         source = spark.readStream.schema(schema).json(str(landing))
@@ -158,7 +197,9 @@ def test_stream_duplicates(spark, tmp_path):
     go()
     _land(landing, rows("bc"), "b.json")
     go()
-    assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
+    _land(landing, rows("abd", 2019), "late.json")  # a new message with an old time is not lost
+    go()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["a", "b", "c", "d"]
 
 
 @pytest.mark.parametrize("emptied", [True, False])

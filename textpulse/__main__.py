@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import importlib
 import sys
+from dataclasses import fields
 
 from textpulse.config import DEFAULT
 from textpulse.operators.insights import complaint_counts, insight_summary
@@ -12,7 +13,8 @@ from textpulse.plans.batch import run
 from textpulse.plans.deep import run_deep
 from textpulse.session import get_session
 from textpulse.sources.items import read_items
-from textpulse.sources.sinks import MAIN
+from textpulse.sources.sinks import MAIN, STREAMED
+from textpulse.streaming.incremental import start_incremental
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -21,15 +23,16 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--out", help="output folder")
     parser.add_argument("--multi-line", action="store_true", help="one JSON array per file")
     parser.add_argument("--incremental", action="store_true", help="only messages after the last run")
-    parser.add_argument("--backfill-only", action="store_true", help="full run")
+    parser.add_argument("--backfill-only", action="store_true", help="full run over the backfill months")
+    parser.add_argument("--stream", action="store_true", help="merge new landing files into the main dataset's stream table")
+    parser.add_argument("--drop-raw", action="store_true", help="leave unredacted text out of the main dataset")
     parser.add_argument("--dry-run", action="store_true", help="check the settings and stop")
     parser.add_argument("--deep-analysis", action="store_true", help="analyse the main dataset")
     parser.add_argument("--deep-n-posts", type=int, default=100)
     parser.add_argument("--client", help="module:function that returns the model client")
     args = parser.parse_args(argv)
     if args.dry_run:
-        print(f"settings valid; output {args.out}; backfill months {DEFAULT.backfill_months}; "
-              f"topics {DEFAULT.enable_topics}")
+        print("settings valid", {f.name: v for f in fields(DEFAULT) if not isinstance(v := getattr(DEFAULT, f.name), (tuple, dict))})
         return 0
     if not args.out:
         parser.error("--out is required")
@@ -48,8 +51,13 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if not args.items:
         parser.error("--items is required")
+    if args.stream:
+        start_incremental(spark, args.items, f"{args.out}/{STREAMED}.parquet", f"{args.out}/{STREAMED}.checkpoint",
+                          drop_raw=args.drop_raw).awaitTermination()
+        return 0
     items = read_items(spark, args.items, args.multi_line)
-    return 0 if run(spark, items, args.out, incremental=args.incremental).success else 1
+    return 0 if run(spark, items, args.out, incremental=args.incremental, drop_raw=args.drop_raw,
+                    backfill=args.backfill_only).success else 1
 
 
 if __name__ == "__main__":

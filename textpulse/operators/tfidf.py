@@ -88,16 +88,13 @@ def negative_keywords(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
             .orderBy(F.desc("tfidf_score"), "keyword"))
 
 
-def keyword_containment(df: DataFrame, terms: DataFrame, limit: int = 50) -> DataFrame:
-    """(id, term) for every message that contains one of at most ``limit`` terms as a substring.
+def keyword_containment(df: DataFrame, terms: DataFrame) -> DataFrame:
+    """(id, term) for every message that contains one of the terms as a substring.
 
-    The terms reach the tasks as one array; rows fan out only for actual matches.
+    The terms are a stated query list of any length, not a table that grows with the messages:
+    they reach the tasks as one array. Rows fan out only for actual matches.
     """
-    listed = (terms.select("term").distinct().orderBy("term").limit(limit + 1)
-              .agg(F.array_sort(F.collect_list("term")).alias("t"))
-              # More terms than the bound would silently change the result: fail instead.
-              .select(F.when(F.size("t") <= limit, F.col("t")).otherwise(
-                  F.raise_error(F.lit(f"more than {limit} terms"))).alias("t")).scalar())
+    listed = terms.agg(F.array_sort(F.collect_set("term")).alias("t")).scalar()
     found = F.filter("_terms", lambda t: F.contains(F.col("clean_text"), t))
     return (df.select("id", "clean_text", listed.alias("_terms"))
             .select("id", F.explode(found).alias("term")))

@@ -105,14 +105,14 @@ def flatten_threads(items: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
                        "timestamp", "score", "subreddit", "type", "reddit_url", "author")
 
 
-def dedupe_first(df: DataFrame, order: tuple[str, ...], key: str = "id") -> DataFrame:
-    """First row of every key in the given order; order columns are dropped.
+def dedupe_first(df: DataFrame, order: tuple[str, ...], key: str = "id", kept: tuple[str, ...] = ()) -> DataFrame:
+    """First row of every key in the given order; order columns are dropped, but for those ``kept``.
 
     ``row_number() = 1`` lets Spark keep one candidate per key in each map task before
     the shuffle, so a key that holds much of the input costs no more than a rare one.
     """
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
-    return ranked.where(F.col("_rank") == 1).drop("_rank", *order)
+    return ranked.where(F.col("_rank") == 1).drop("_rank", *[c for c in order if c not in kept])
 
 
 def parse_timestamps(df: DataFrame, column: str = "timestamp") -> DataFrame:

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.errors import IllegalArgumentException
-from pyspark.ml.clustering import BisectingKMeans, KMeans
-from pyspark.ml.feature import CountVectorizer, IDF, Normalizer
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import HashingTF, IDF, Normalizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -15,28 +14,32 @@ from textpulse.functions.text import title_case
 from textpulse.operators.tfidf import term_tokens
 
 OUTLIER = -1
+HASHED_TERMS = 1 << 16  # positions of a text vector; k centres of so many numbers are held at once
 
 
-def _features(df: DataFrame, settings: Settings, embedding: str | None, vocabulary: int) -> DataFrame:
+def _features(df: DataFrame, settings: Settings, embedding: str | None) -> DataFrame | None:
+    """``df`` with unit vectors; None if no text has a term. All terms count, whatever their number:
+    they are hashed, so no vocabulary is gathered."""
     if embedding:
         vectors = df.withColumn("_raw", array_to_vector(F.col(embedding).cast("array<double>")))
         return Normalizer(inputCol="_raw", outputCol="_features").transform(vectors).drop("_raw")
     tokens = df.withColumn("_tokens", term_tokens(F.col("clean_text"), settings.stop_words))
-    counts = CountVectorizer(inputCol="_tokens", outputCol="_tf", minDF=2.0,
-                             vocabSize=vocabulary).fit(tokens).transform(tokens)
-    weighted = IDF(inputCol="_tf", outputCol="_tfidf").fit(counts).transform(counts)
+    if tokens.where(F.size("_tokens") > 0).isEmpty():
+        return None
+    counts = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=HASHED_TERMS).transform(tokens)
+    weighted = IDF(inputCol="_tf", outputCol="_tfidf", minDocFreq=2).fit(counts).transform(counts)
     return Normalizer(inputCol="_tfidf", outputCol="_features").transform(weighted).drop(
         "_tokens", "_tf", "_tfidf")
 
 
 def assign_topics(df: DataFrame, settings: Settings = DEFAULT, embedding: str | None = None,
-                  bisecting: bool = False, vocabulary: int = 4096, max_iter: int = 20) -> DataFrame:
+                  max_iter: int = 20) -> DataFrame:
     """Adds ``dominant_topic``, numbered from 0 by falling size; -1 marks outliers.
 
     Vectors are TF-IDF of ``clean_text`` or a column of precomputed embeddings. Clusters of
-    fewer than ``max(10, rows / 100)`` messages are outliers, so there are at most 100
-    topics. Fewer than ``topic_min_rows`` messages, texts without a common term, or topics
-    switched off give NULL.
+    fewer than ``max(10, rows / 100)`` messages are outliers; the model looks for
+    ``settings.topic_count`` clusters. Fewer than ``topic_min_rows`` messages, no text with a
+    term, or topics switched off give NULL.
     Fits a seeded k-means model, which runs Spark jobs.
     """
     unassigned = df.withColumn("dominant_topic", F.lit(None).cast("int"))
@@ -44,14 +47,13 @@ def assign_topics(df: DataFrame, settings: Settings = DEFAULT, embedding: str |
         df.limit(settings.topic_min_rows).count() >= settings.topic_min_rows)
     if not enough:
         return unassigned
-    try:
-        features = _features(df, settings, embedding, vocabulary)
-    except IllegalArgumentException:  # no term occurs in two messages
+    features = _features(df, settings, embedding)
+    if features is None:
         return unassigned
-    method = BisectingKMeans if bisecting else KMeans
     training = features.select("_features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = method(k=settings.topic_count, seed=settings.topic_seed, maxIter=max_iter,
+        # The block solver fails where fewer than k vectors are distinct.
+        model = KMeans(k=settings.topic_count, seed=settings.topic_seed, maxIter=max_iter, solver="row",
                        featuresCol="_features", predictionCol="_cluster").fit(training)
         # k rows: the size of every cluster.
         sizes = model.transform(training).groupBy("_cluster").count().collect()

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from textpulse.config import DEFAULT, Settings
 from textpulse.operators import (
     keywords, monthly, pii, preprocess, sentiment, stats, tfidf, threads, topics)
-from textpulse.session import work_dir
+from textpulse.session import delete, work_dir
 from textpulse.sources import items as item_source, runs, sinks
 
 
@@ -24,9 +24,9 @@ class RunResult:
 
 
 def messages(items: DataFrame, run_ts: datetime, since: datetime | None = None,
-             order: tuple[str, ...] = item_source.ORDER) -> DataFrame:
-    """Items to flat, de-duplicated messages with UTC timestamps."""
-    flat = threads.dedupe_first(threads.flatten_threads(items, order), order + ("path",))
+             order: tuple[str, ...] = item_source.ORDER, kept: tuple[str, ...] = ()) -> DataFrame:
+    """Items to flat, de-duplicated messages with UTC timestamps; ``kept`` names order columns that stay."""
+    flat = threads.dedupe_first(threads.flatten_threads(items, order), order + ("path",), kept=kept)
     return threads.since_filter(
         threads.impute_timestamps(threads.parse_timestamps(flat), run_ts), since)
 
@@ -54,6 +54,7 @@ def run(spark: SparkSession, items: DataFrame, out: str, settings: Settings = DE
     """
     run_ts = run_ts or datetime.now(timezone.utc)
     stamp = run_ts.isoformat()
+    stage = f"{work_dir(spark)}/run-{uuid.uuid4().hex}"
     try:
         since = runs.last_run_timestamp(spark, out) if incremental else None
         source = messages(items, run_ts, since)
@@ -61,7 +62,6 @@ def run(spark: SparkSession, items: DataFrame, out: str, settings: Settings = DE
             source = source.where(F.col("timestamp") > F.add_months(
                 F.lit(run_ts), -settings.backfill_months))
         observed = Observation("stages")
-        stage = f"{work_dir(spark)}/run-{uuid.uuid4().hex}"
         enrich(source, settings, scorer, detector, language, observed).write.parquet(f"{stage}/enriched")
         counts = observed.get
         if counts["rows_in"] < settings.min_results:
@@ -74,6 +74,8 @@ def run(spark: SparkSession, items: DataFrame, out: str, settings: Settings = DE
         if isinstance(error, threads.InsufficientData):
             return RunResult(False, 0, {}, str(error))
         raise
+    finally:
+        delete(spark, stage)
     sinks.append_run(spark, out, stamp, True, counts["rows_kept"])
     return RunResult(True, counts["rows_kept"], dict(counts))
 

@@ -52,6 +52,22 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _path(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop, fs = _path(spark, path)
+    return fs.exists(hadoop)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of one's own; nothing happens if there is none."""
+    hadoop, fs = _path(spark, path)
+    fs.delete(hadoop, True)
+
+
 @functools.cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="textpulse-")

@@ -36,17 +36,12 @@ def read_processed_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table, spread over the cores when the input is small.
+    """A Parquet table as its scan splits it.
 
-    A small file often holds a single row group, which leaves all text work to one task.
-    Inputs below 16 MB per core are redistributed; larger ones keep their scan splits, so
-    no large table is ever shuffled here.
+    The session setting ``spark.textpulse.inputPartitions`` redistributes the rows of every
+    table, for files of one row group, which a scan leaves to a single task. Unset, as on a
+    cluster, nothing is moved.
     """
     df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if _plan_bytes(df) < cores * (16 << 20) else df
-
-
-def _plan_bytes(df: DataFrame) -> int:
-    """File size as the optimizer estimates it."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    partitions = spark.conf.get("spark.textpulse.inputPartitions", None)
+    return df.repartition(int(partitions)) if partitions else df

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from textpulse.config import DEFAULT, Settings
 from textpulse.plans.batch import enrich, messages
 from textpulse.schemas import ITEM, JSON_OPTIONS
-from textpulse.session import work_dir
+from textpulse.session import delete, exists, work_dir
 from textpulse.sources.sinks import public_columns, with_month_partition
 
 
@@ -21,14 +21,20 @@ def read_item_stream(spark: SparkSession, path: str, files_per_trigger: int | No
     reader = spark.readStream.schema(ITEM).options(**JSON_OPTIONS)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.json(path)
+    # Negative, so that the newest file comes first in ascending order.
+    age = -F.unix_micros(F.col("_metadata.file_modification_time"))
+    return reader.json(path).withColumn("_age", age)
 
 
-def drop_seen(stream: DataFrame, delay: str = "7 days", key: str = "id",
-              timestamp: str = "timestamp") -> DataFrame:
-    """First message of every key within the delay, across micro-batches. State is bounded by
-    the delay."""
-    return stream.withWatermark(timestamp, delay).dropDuplicatesWithinWatermark([key])
+def drop_seen(stream: DataFrame, delay: str = "7 days", key: str = "id") -> DataFrame:
+    """First message of every key, across micro-batches.
+
+    The delay runs on the time at which a micro-batch starts, which never goes back, so no first
+    message is lost, however old its own timestamp. State is bounded by what arrives within the
+    delay; a repeat that comes later passes again, for ``merge_by_id`` to resolve.
+    """
+    return (stream.withColumn("_seen", F.current_timestamp()).withWatermark("_seen", delay)
+            .dropDuplicatesWithinWatermark([key]).drop("_seen"))
 
 
 def monthly_counts(stream: DataFrame) -> DataFrame:
@@ -43,22 +49,31 @@ def monthly_counts(stream: DataFrame) -> DataFrame:
 def merge_by_id(spark: SparkSession, batch: DataFrame, target: str, version: str = "_version") -> None:
     """Upsert into a Parquet table partitioned by ``year_month``: per id the newest row stays.
 
+    Newest is the largest version, then the latest timestamp; rows that agree in both are told
+    apart by their content, so the outcome does not depend on the order of rows.
     Only months that receive rows or held an older row of a key are rewritten. The merged
     rows are staged before the target is touched, and repeating a batch gives the same table.
     """
     batch = with_month_partition(batch)
     stage = f"{work_dir(spark)}/merge-{uuid.uuid4().hex}"
+    try:
+        _merge(spark, batch, target, version, stage)
+    finally:
+        delete(spark, stage)
+
+
+def _merge(spark: SparkSession, batch: DataFrame, target: str, version: str, stage: str) -> None:
     batch.write.parquet(f"{stage}/batch")
     batch = spark.read.parquet(f"{stage}/batch")
     merged, months = batch, set()
-    if _exists(spark, target):
+    if exists(spark, target):
         # A fixed schema: partition discovery would guess the type of the month.
         current = spark.read.schema(batch.schema).parquet(target)
         held = current.join(batch.select("id").distinct(), "id", "left_semi").select("year_month")
         # One value per calendar month.
         months = {r[0] for r in held.union(batch.select("year_month")).distinct().collect()}
         merged = current.where(F.col("year_month").isin(*months)).unionByName(batch)
-    newest = Window.partitionBy("id").orderBy(F.desc(version), F.desc("timestamp"))
+    newest = Window.partitionBy("id").orderBy(F.desc(version), F.desc("timestamp"), F.xxhash64(*sorted(batch.columns)))
     merged = merged.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
     merged.write.parquet(f"{stage}/merged")
     merged = spark.read.schema(batch.schema).parquet(f"{stage}/merged")
@@ -67,20 +82,25 @@ def merge_by_id(spark: SparkSession, batch: DataFrame, target: str, version: str
     if months:
         left = {r[0] for r in merged.select("year_month").distinct().collect()}
         for month in months - left:  # every row moved to another month
-            _delete(spark, f"{target}/year_month={month}")
+            delete(spark, f"{target}/year_month={month}")
 
 
 def start_incremental(spark: SparkSession, landing: str, target: str, checkpoint: str,
                       settings: Settings = DEFAULT, scorer=None, detector=None,
-                      files_per_trigger: int | None = None) -> StreamingQuery:
-    """Processes all new landing files and merges them into the target, then stops."""
+                      files_per_trigger: int | None = None, drop_raw: bool = False) -> StreamingQuery:
+    """Processes all new landing files and merges them into the target, then stops.
+
+    The version of a row is the modification time of its file in microseconds, which outlives a
+    checkpoint: an edit wins over older files in the same micro-batch, in an earlier one, and
+    after a restart with a new checkpoint.
+    """
     stream = read_item_stream(spark, landing, files_per_trigger)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        rows = messages(with_batch_order(batch), datetime.now(timezone.utc), order=("_row",))
-        rows = enrich(rows, settings, scorer, detector)
-        merge_by_id(session, public_columns(rows).withColumn("_version", F.lit(batch_id)), target)
+        rows = messages(with_batch_order(batch), datetime.now(timezone.utc), order=("_age", "_row"), kept=("_age",))
+        rows = enrich(rows, settings, scorer, detector).withColumn("_version", -F.col("_age"))
+        merge_by_id(session, public_columns(rows, drop_raw).drop("_age"), target)
 
     return (stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -88,18 +108,3 @@ def start_incremental(spark: SparkSession, landing: str, target: str, checkpoint
 
 def with_batch_order(batch: DataFrame) -> DataFrame:
     return batch.withColumn("_row", F.monotonically_increasing_id())
-
-
-def _path(spark: SparkSession, path: str):
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop, fs = _path(spark, path)
-    return fs.exists(hadoop)
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    hadoop, fs = _path(spark, path)
-    fs.delete(hadoop, True)
