@@ -303,7 +303,7 @@ for _name, _column in {
     ORACLE_SQL[_name] = f"WITH {CLEAN_FLAGS} SELECT id, {_column} FROM flagged"
 _ENDED = CLEANED + f""",
 ended AS (SELECT * REPLACE (CASE WHEN doc_id % 5 = 0 THEN whole_text || ' ' ||
-    {array(ALUMNI_PHRASES)}[(doc_id // 5) % {len(ALUMNI_PHRASES)} + 1] ELSE whole_text END AS whole_text) FROM cleaned)"""
+    list_extract({array(ALUMNI_PHRASES)}, (doc_id // 5) % {len(ALUMNI_PHRASES)} + 1) ELSE whole_text END AS whole_text) FROM cleaned)"""
 ORACLE_SQL["lifecycle_stage"] = f"WITH {_ENDED}{flags('ended', 'whole_text')} SELECT id, is_recruitment, is_retention, is_alumni FROM flagged"
 ORACLE_SQL["keyword_counts"] = f"""WITH {CLEAN_FLAGS}
 SELECT count(*) FILTER (mentions_oregon) AS oregon_count,
