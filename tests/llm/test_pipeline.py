@@ -15,7 +15,7 @@ from textpulse.llm.registry import ORACLE_SQL, QUERIES
 def test_all_queries_are_registered():
     names = set(entry.queries())
     assert "pipeline" in names and set(QUERIES) <= names and set(ORACLE_SQL) <= set(QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def staged(spark, docs, tmp_path):
