@@ -10,14 +10,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from textpulse.llm.common import map_batches, raw, stage, table
+from textpulse.llm.common import discard, map_batches, numbered, raw, stage, table
 
 LOOK_BACK = 16  # bytes that the gear hash remembers
 ONE_CUT_IN = 4  # every so many word ends, on average, could end a chunk
 FEWEST_WORDS, MOST_WORDS = 3, 24  # words of a chunk
 LEAST_WORDS = 50  # repeated runs of fewer words stay
-LEAST_RUN = 6  # words of repeated chunks in a row that are looked at; a run of LEAST_WORDS holds so many
-EDGE_WORDS = 2 * MOST_WORDS  # words compared on either side of a run: more than chunks at its ends hide
+LEAST_RUN = 2 * FEWEST_WORDS  # words of repeated chunks in a row that are looked at
+EDGE_WORDS = 2 * MOST_WORDS  # words compared on either side of a piece; what lies farther is settled by hashes
+BESIDE = 2  # chunks beside a region whose words are hashed with it
+PRIME = 0x9E3779B97F4A7C15  # odd
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: One pseudo-random number for each byte value, from a rule.
@@ -92,19 +94,26 @@ def chunked(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("row", raw("text")), run, "digest long, row long, first int, words int, again int")
 
 
-def _runs(found: DataFrame) -> DataFrame:
-    """Neighbouring repeated chunks of a row joined: (row, first, last, kept_row, shift).
+def _adjoining(found: DataFrame, *same: str) -> DataFrame:
+    """``found`` with run: chunks of a row that follow each other without a gap, and agree in ``same``, share one."""
+    inside = Window.partitionBy("row").orderBy("first")
+    follows = F.col("first") == F.lag(F.col("first") + F.col("words")).over(inside)
+    for column in same:
+        follows &= F.col(column) == F.lag(column).over(inside)
+    opens = F.when(follows, 0).otherwise(1)
+    return found.withColumn("opens", opens).withColumn("run", F.sum("opens").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def _pieces(links: DataFrame, least_run: int) -> DataFrame:
+    """(row, first, last, kept_row, shift): repeated chunks in a row that stand in a row at their kept place, too.
 
-    Word w of the run is word w + shift of kept_row, as its longest chunk says: short ones are
-    also met elsewhere by chance.
+    Word w of the piece is word w + shift of kept_row. A piece ends where the kept row or the shift
+    changes, so it never joins texts that stand apart where they come from.
     """
-    inside = Window.partitionBy("row").orderBy("first")
-    opens = F.when(F.col("first") == F.lag(F.col("first") + F.col("words")).over(inside), 0).otherwise(1)
-    numbered = found.withColumn("opens", opens).withColumn("run", F.sum("opens").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    longest = F.max(F.struct("words", (-F.col("first")).alias("before"), "kept_row", (F.col("kept_first") - F.col("first")).alias("shift")))
-    return (numbered.groupBy("row", "run").agg(F.min("first").alias("first"), F.max(F.col("first") + F.col("words")).alias("last"), longest.alias("anchor"))
-            .filter(F.col("last") - F.col("first") >= LEAST_RUN)
-            .select("row", "first", "last", "anchor.kept_row", "anchor.shift"))
+    placed = links.withColumn("shift", F.col("kept_first") - F.col("first"))
+    return (_adjoining(placed, "kept_row", "shift").groupBy("row", "run", "kept_row", "shift")
+            .agg(F.min("first").alias("first"), F.max(F.col("first") + F.col("words")).alias("last"))
+            .filter(F.col("last") - F.col("first") >= least_run).select("row", "first", "last", "kept_row", "shift"))
 
 
 def _contexts(docs: DataFrame, runs: DataFrame) -> DataFrame:
@@ -139,29 +148,21 @@ def _equal_prefix(a: str, b: str):
     return F.when(size == 0, 0).when(differ > 0, (differ - 1).cast("int")).otherwise(size)
 
 
-def repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """(row, first, last, kept_row): runs of at least ``least_words`` words seen before, disjoint within a row.
+def _merged(spans: DataFrame, *same: str) -> DataFrame:
+    """``spans`` numbered by run: those of a row, equal in ``same``, that overlap share one."""
+    inside = Window.partitionBy("row", *same).orderBy("first", "last")
+    reach = F.max("last").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    # Equal places may also touch; texts from different places that only touch stay apart.
+    together = F.col("first") <= reach if same else F.col("first") < reach
+    opens = F.when(together, 0).otherwise(1)
+    return spans.withColumn("opens", opens).withColumn("run", F.sum("opens").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
 
-    ``docs`` has text and row, a number of its own for every row that is the same whenever the
-    table is read. Words are compared with A-Z lower-cased and white space as one blank. Of every
-    repeated chunk the occurrence in the first row is kept; neighbouring later ones form a run. A
-    run is extended on both sides word by word as long as the text beside it equals the text beside
-    the kept occurrence, which recovers what the chunks at its ends hide. ``last`` is behind the
-    last word.
-
-    A chunk is moved as a digest and a place, never as text. The first occurrence is a minimum
-    that is combined in the map tasks, so a passage in a third of all documents is one row per task
-    there, and the join back is one that adaptive execution splits.
-    """
-    chunks = stage(chunked(docs))
-    heads = chunks.filter("again < 0").select("digest", "row", "first", "words")
-    firsts = (heads.groupBy("digest").agg(F.count("*").alias("n"), F.min("row").alias("kept_row"), F.min_by("first", "row").alias("kept_first"))
-              .filter("n > 1").drop("n"))
-    found = heads.join(firsts, "digest").filter("kept_row <> row").select("row", "first", "words", "kept_row", "kept_first")
-    inner = chunks.filter("again >= 0").select("row", "first", "words", F.col("row").alias("kept_row"), F.col("again").alias("kept_first"))
-    runs = stage(_runs(found.union(inner)))
-    beside = stage(_contexts(docs, runs))
-    out = runs
+
+def _verified(docs: DataFrame, links: DataFrame, least_words: int) -> DataFrame:
+    """(row, first, last, kept_row, shift): spans of ``least_words`` or more that equal a run of words at their kept place."""
+    pieces = stage(_pieces(links, min(LEAST_RUN, least_words)))
+    beside = stage(_contexts(docs, pieces))
+    out = pieces
     for after, edge in ((False, "first"), (True, "last")):
         near = beside.filter(F.col("after") == after)
         own = near.select("row", F.col("at").alias("own_at"), F.col("words").alias("own_words"))
@@ -170,13 +171,133 @@ def repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
         grown = placed.join(own, ["row", "own_at"]).join(kept, ["kept_row", "kept_at"])
         more = _equal_prefix("own_words", "kept_words")
         out = grown.withColumn(edge, F.col(edge) + more if after else F.col(edge) - more).select("row", "first", "last", "kept_row", "shift")
-    long = out.filter(F.col("last") - F.col("first") >= least_words)
-    # Extended runs of a row may now touch or overlap.
-    inside = Window.partitionBy("row").orderBy("first", "last")
-    reach = F.max("last").over(inside.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.when(F.col("first") <= reach, 0).otherwise(1)
-    joined = long.withColumn("opens", opens).withColumn("run", F.sum("opens").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-    return joined.groupBy("row", "run").agg(F.min("first").alias("first"), F.max("last").alias("last"), F.min("kept_row").alias("kept_row")).drop("run")
+    spans = stage(_merged(out, "kept_row", "shift").groupBy("row", "kept_row", "shift", "run")
+                  .agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("run")
+                  .filter(F.col("last") - F.col("first") >= least_words))
+    discard(pieces)
+    discard(beside)
+    return spans
+
+
+def _unsettled(links: DataFrame, spans: DataFrame, least_words: int) -> DataFrame:
+    """Digests of repeated chunks that no verified span explains.
+
+    A run of repeated chunks inside one span is settled, and so is a chunk so deep in a span that
+    ``least_words`` words around it are, too. What is left may repeat another place than the chunks'
+    first ones, or be made of parts that do not stand together anywhere.
+    """
+    whole = Window.partitionBy("row", "run")
+    runs = _adjoining(links).select("digest", "row", "first", F.col("first").alias("low"), (F.col("first") + F.col("words")).alias("high"),
+                                    F.min("first").over(whole).alias("run_low"), F.max(F.col("first") + F.col("words")).over(whole).alias("run_high"))
+    long = runs.filter(F.col("run_high") - F.col("run_low") >= min(LEAST_RUN, least_words))
+    known = spans.select("row", F.col("first").alias("f"), F.col("last").alias("l"))
+    covered = ((F.col("f") <= F.col("run_low")) & (F.col("l") >= F.col("run_high"))) | (
+        (F.col("f") <= F.col("low") - least_words) & (F.col("l") >= F.col("high") + least_words))
+    return (long.alias("a").join(known.alias("b"), (F.col("a.row") == F.col("b.row")) & covered, "left_anti")
+            .select("digest").distinct())
+
+
+def _windows(docs: DataFrame, regions: DataFrame, spans: DataFrame, least_words: int) -> DataFrame:
+    """(high, low, row, at): 128-bit hashes of all runs of ``least_words`` words in or beside ``regions``, but not in a span."""
+    def listed(df: DataFrame, name: str) -> DataFrame:  # disjoint, bounded by the row's text
+        return df.groupBy("row").agg(F.collect_list(F.struct(F.col("first").cast("int").alias("first"), F.col("last").cast("int").alias("last"))).alias(name))
+
+    asked = listed(regions, "regions").join(listed(spans, "spans"), "row", "left")
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        out = []
+        for row, text, own, known in zip(*(c.to_pylist() for c in batch.columns)):
+            words = normal_words(text)
+            ends = np.concatenate([[0], chunk_ends(words)])
+            wanted = np.zeros(max(0, len(words) - least_words + 1), bool)
+            for r in own:
+                # Chunks beside the region may hold words of the passage, cut elsewhere.
+                low = ends[max(0, np.searchsorted(ends, r["first"]) - BESIDE)]
+                high = ends[min(len(ends) - 1, np.searchsorted(ends, r["last"]) + BESIDE)]
+                wanted[low:max(low, high - least_words + 1)] = True
+            for s in known or ():
+                wanted[s["first"]:s["last"] - least_words + 1] = False
+            at = np.flatnonzero(wanted)
+            if len(at):
+                out.append((np.full(len(at), row), at, *(window_hashes(words, least_words, seed)[at] for seed in (1, 2))))
+        if not out:
+            return None
+        row, at, high, low = map(np.concatenate, zip(*out))
+        return pa.record_batch([pa.array(high.view(np.int64)), pa.array(low.view(np.int64)), pa.array(row, pa.int64()), pa.array(at, pa.int32())],
+                               ["high", "low", "row", "at"])
+
+    # The same plan at every size: whether one side is small must not decide what is moved.
+    joined = docs.select("row", raw("text").alias("text")).join(asked.hint("merge"), "row").select("row", "text", "regions", "spans")
+    return map_batches(joined, run, "high long, low long, row long, at int")
+
+
+def window_hashes(words: list[bytes], size: int, seed: int) -> np.ndarray:
+    """A polynomial hash, modulo 2^64, of every run of ``size`` words."""
+    if len(words) < size:
+        return np.zeros(0, np.uint64)
+    known = {w: xxhash.xxh64_intdigest(w, seed) for w in set(words)}
+    values = np.fromiter((known[w] for w in words), np.uint64, len(words))
+    out = np.zeros(len(words) - size + 1, np.uint64)
+    for k in range(size):
+        out = out * np.uint64(PRIME) + values[k:k + len(out)]
+    return out
+
+
+def _elsewhere(docs: DataFrame, chunks: DataFrame, links: DataFrame, spans: DataFrame, least_words: int) -> DataFrame:
+    """(row, first, last, kept_row, shift): repeats that the first places of the chunks do not show.
+
+    All runs of ``least_words`` words around unsettled chunks, wherever these stand, are compared by
+    hash. The first of equal runs lies in no verified span, as a span repeats something before it.
+    """
+    digests = stage(_unsettled(links, spans, least_words))
+    met = _adjoining(chunks.join(digests, "digest", "left_semi").select("row", "first", "words"))
+    regions = (met.groupBy("row", "run").agg(F.min("first").alias("first"), F.max(F.col("first") + F.col("words")).alias("last"))
+               .filter(F.col("last") - F.col("first") >= min(LEAST_RUN, least_words)))
+    windows = stage(_windows(docs, regions, spans, least_words))
+    kept = (windows.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(F.struct("row", "at")).alias("kept"))
+            .filter("n > 1").select("high", "low", F.col("kept.row").alias("kept_row"), F.col("kept.at").alias("kept_at")))
+    again = (windows.join(kept, ["high", "low"]).filter((F.col("row") != F.col("kept_row")) | (F.col("at") != F.col("kept_at")))
+             .select("row", F.col("at").alias("first"), (F.col("at") + least_words).alias("last"), "kept_row", (F.col("kept_at") - F.col("at")).alias("shift")))
+    out = stage(_merged(again, "kept_row", "shift").groupBy("row", "kept_row", "shift", "run")
+                .agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("run"))
+    discard(digests)
+    discard(windows)
+    return out
+
+
+def repeated_spans(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """(row, first, last, kept_row): runs of at least ``least_words`` words seen before, disjoint within a row.
+
+    ``docs`` has text and row, a number of its own for every row that is the same whenever the
+    table is read; rows are in the order of these numbers. Words are compared with A-Z lower-cased
+    and white space as one blank. ``last`` is behind the last word. Spans that overlap are one, with
+    the kept row of the longest.
+
+    Of every repeated chunk the occurrence in the first row is kept. Neighbouring later ones whose
+    kept places adjoin, too, form a piece; a piece is extended on both sides word by word as long as
+    the text equals the text beside its kept place. Repeated chunks that are left over, as where a
+    passage is made of others or its chunks were first met in different rows, are settled by hashes
+    of all runs of ``least_words`` words around them.
+
+    A chunk is moved as a digest and a place, never as text. First occurrences are minima that are
+    combined in the map tasks, so a passage in a third of all documents is one row per task there, and
+    the joins back are ones that adaptive execution splits.
+    """
+    chunks = stage(chunked(docs))
+    heads = chunks.filter("again < 0").select("digest", "row", "first", "words")
+    firsts = (heads.groupBy("digest").agg(F.count("*").alias("n"), F.min("row").alias("kept_row"), F.min_by("first", "row").alias("kept_first"))
+              .filter("n > 1").drop("n"))
+    found = heads.join(firsts, "digest").filter("kept_row <> row").select("digest", "row", "first", "words", "kept_row", "kept_first")
+    inner = chunks.filter("again >= 0").select("digest", "row", "first", "words", F.col("row").alias("kept_row"), F.col("again").alias("kept_first"))
+    links = stage(found.union(inner))
+    spans = _verified(docs, links, least_words)
+    others = _elsewhere(docs, chunks, links, spans, least_words)
+    longest = F.max_by("kept_row", F.struct(F.col("last") - F.col("first"), -F.col("kept_row")))
+    out = stage(_merged(spans.union(others.select(spans.columns))).groupBy("row", "run")
+                .agg(F.min("first").alias("first"), F.max("last").alias("last"), longest.alias("kept_row")).drop("run"))
+    for table_of in (chunks, links, spans, others):
+        discard(table_of)
+    return out
 
 
 def find_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -186,9 +307,10 @@ def find_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     texts have no span; repeated rows are copies of the first; null ids stay null; an empty table
     gives no spans.
     """
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    spans = repeated_spans(numbered, least_words)
-    ids = numbered.select("row", "doc_id")
+    whole, where = numbered(docs)
+    rows = whole.select("row", F.col(where["doc_id"]).cast("long").alias("doc_id"), F.col(where["text"]).cast("string").alias("text"))
+    spans = repeated_spans(rows, least_words)
+    ids = rows.select("row", "doc_id")
     kept = ids.select(F.col("row").alias("kept_row"), F.col("doc_id").alias("kept_doc_id"))
     return (spans.join(ids, "row").join(kept, "kept_row")
             .select("doc_id", F.col("first").cast("long").alias("first_word"), (F.col("last") - 1).cast("long").alias("last_word"),
@@ -213,9 +335,7 @@ def cut_repeats(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
 
     Every row stays, also one that is left without a word; nulls stay nulls.
     """
-    names = docs.columns
-    where = {c: f"c{i}" for i, c in enumerate(names)}  # no name can clash with those used here
-    whole = docs.select(F.monotonically_increasing_id().alias("row"), *[F.col(f"`{c}`").alias(n) for c, n in where.items()])
+    whole, where = numbered(docs)
     text = where["text"]
     spans = (repeated_spans(whole.select("row", F.col(text).cast("string").alias("text")), least_words)
              .groupBy("row").agg(F.collect_list(F.struct(F.col("first").cast("int").alias("first"), F.col("last").cast("int").alias("last"))).alias("spans")))  # disjoint, bounded by the text

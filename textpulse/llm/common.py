@@ -6,11 +6,13 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from textpulse.session import stage, work_dir
 
-__all__ = ["discard", "folder", "map_batches", "raw", "stage", "table"]
+__all__ = ["discard", "folder", "map_batches", "numbered", "raw", "stage", "table"]
+ROWS_OF_A_FILE = 40  # bits of a row number that count within a file
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +38,30 @@ def raw(column: str) -> Column:
     return F.col(column).cast("binary")
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with a column row, and safe names for its own columns, by their names.
+
+    row tells the file, in order of names, and the place in it. It does not depend on how a scan is
+    split, so several jobs may read the table and meet by it; later rows of a file have greater numbers.
+    What is no Parquet table is written as one first. The files' names are broadcast: the driver has
+    listed them to plan the scan.
+    """
+    where = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # no name can clash with others
+
+    def placed(df: DataFrame) -> DataFrame:
+        return df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"),
+                         *[F.col(f"`{c}`").alias(n) for c, n in where.items()])
+
+    try:
+        rows = placed(docs)
+    except AnalysisException:
+        rows = placed(stage(docs))
+    files = rows.select("file").distinct()
+    known = stage(files.select("file", F.row_number().over(Window.orderBy("file")).cast("long").alias("number")))
+    number = F.call_function("shiftleft", F.col("number"), F.lit(ROWS_OF_A_FILE))
+    return rows.join(F.broadcast(known), "file").select((number + F.col("place")).alias("row"), *where.values()), where
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None],
                 schema: str) -> DataFrame:
     """``function`` over each Arrow batch of ``df``; only one batch is in memory at a time."""

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textpulse.llm.common import map_batches, raw, stage, table
+from textpulse.llm.common import map_batches, numbered, raw, stage, table
 
 TOPICS = 8
 MARGINS = ("source", "lang", "topic")
@@ -122,15 +122,9 @@ def calibrated(docs: DataFrame, targets: Mapping[str, Mapping | float] | None =
     return (rows.join(F.broadcast(factors), met).drop("s", "l", "t").withColumn("kept", draw < F.col("probability")))
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("row", F.monotonically_increasing_id())
-
-
 def sample(docs: DataFrame, targets: Mapping[str, Mapping | float] | None = None) -> DataFrame:
     """The drawn rows of ``docs``, a stored table, with all their columns."""
-    names = docs.columns
-    where = {c: f"c{i}" for i, c in enumerate(names)}  # no name can clash with those used here
-    whole = docs.select(F.monotonically_increasing_id().alias("row"), *[F.col(f"`{c}`").alias(n) for c, n in where.items()])
+    whole, where = numbered(docs)
     needed = whole.select("row", *[F.col(where[c]).alias(c) for c in ("doc_id", "source", "lang", "text")])
     kept = stage(calibrated(needed, targets).filter("kept").select("row"))
     # The same plan at every size: whether one side is small must not decide what is moved.
@@ -138,6 +132,6 @@ def sample(docs: DataFrame, targets: Mapping[str, Mapping | float] | None = None
 
 
 def op6_mixture_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = numbered(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"))
-    return calibrated(docs).select("doc_id", "source", "lang", "topic", "tokens", F.round("weight", 9).alias("weight"),
+    whole, where = numbered(table(spark, sf_dir, "documents"))
+    return calibrated(whole.select("row", *[F.col(where[c]).alias(c) for c in ("doc_id", "source", "lang", "text")])).select("doc_id", "source", "lang", "topic", "tokens", F.round("weight", 9).alias("weight"),
                                    F.round("probability", 9).alias("probability"), "kept")

@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from textpulse.llm.common import discard, map_batches, raw, stage, table
+from textpulse.llm.common import discard, map_batches, numbered, raw, stage, table
 from textpulse.llm.components import components
 
 BITS = 64
@@ -131,6 +131,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 2) -> Dat
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def first_of_groups(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
+    """One row of ``docs``, a stored table, for each group of near copies, with all its columns.
+
+    It has the group's smallest id; of rows that share that id the first stays; in a group without
+    ids, the first row.
+    """
+    whole, where = numbered(docs)
+    keyed = whole.select("row", F.coalesce(F.col(where["doc_id"]).cast("long"), F.lit(2 ** 63 - 1)).alias("id"))
+    # The row number takes the id's place, so that every group has exactly one first row.
+    found = near_duplicates(whole.select(F.col("row").alias("doc_id"), F.col(where["text"]).alias("text")), shingle, distance)
+    grouped = found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("group")).join(keyed, "row")
+    # The least id, then the first row, in one minimum that is combined in the map tasks.
+    kept = stage(grouped.groupBy("group").agg(F.min(F.struct("id", "row")).alias("least")).select("least.row"))
+    # The same plan at every size: whether one side is small must not decide what is moved.
+    return whole.join(kept.hint("merge"), "row", "left_semi").select(*[F.col(n).alias(c) for c, n in where.items()])
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
