@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from textpulse.llm.common import table
 
@@ -33,8 +33,8 @@ NOTICES = (
 )
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GRAM = 2  # words of a gram
-DRIFT = 3  # diagonals at most so far apart belong to one span: words put in or left out
-COVERED = 0.75  # share of a notice's grams that a span must have in place
+DRIFT = 6  # diagonals of one span: so many words may be put in or left out
+COVERED = 0.75  # share of a notice's grams that a span must have in place, in order
 
 
 def with_words(df: DataFrame) -> DataFrame:
@@ -75,7 +75,9 @@ def templates(spark: SparkSession, phrases=PHRASES, notices=NOTICES) -> DataFram
 
 
 def votes(docs: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Matching grams per document row, template and diagonal; one row without template for each document.
+    """Matching grams per document row, template and diagonal, with their places in the template.
+
+    A document without a match keeps a row without a template.
 
     A gram at word p of a text and at place q of a template votes for the diagonal p - q. The
     counts are combined in the map tasks, so what is moved is a row per document and diagonal hit.
@@ -84,25 +86,45 @@ def votes(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     grams = _grams(with_words(rows), ["row", "doc_id", "n_words"])
     met = grams.join(F.broadcast(patterns), (F.col("hash") == F.col("template_hash")) & (F.col("gram") == F.col("template_gram")), "left")
     return (met.groupBy("row", "doc_id", "n_words", "template", "label", "base", "n_grams", (F.col("pos") - F.col("at")).alias("diagonal"))
-            .agg(F.count("at").alias("votes"), F.max("at").alias("high")))
+            .agg(F.count("at").alias("votes"), F.collect_list("at").alias("places")))
+
+
+def _in_order(diagonals: str) -> Column:
+    """How many places of a template some diagonals hold in order: text and template both go forward.
+
+    A fold over the matches by their word in the text. Element k of the state is the least place at
+    which k + 1 matches in order can end, so its size is the most that can be in order. A place counts
+    once, however often its words stand in the text.
+    """
+    matches = F.flatten(F.transform(diagonals, lambda d: F.transform(
+        d["places"], lambda at: F.struct((d["diagonal"] + at).alias("word"), (-at).alias("back")))))
+
+    def step(ends, match):
+        at = -match["back"]
+        before = F.size(F.filter(ends, lambda end: end < at))
+        return F.concat(F.slice(ends, 1, before), F.array(at), F.slice(ends, before + 2, F.greatest(F.size(ends) - before - 1, F.lit(0))))
+
+    return F.size(F.aggregate(F.array_sort(matches), F.array().cast("array<int>"), step))
 
 
 def spans(voted: DataFrame) -> DataFrame:
-    """Spans of templates: neighbouring diagonals merged, verified by the grams in place.
+    """``voted`` with coverage and verified: what a span that begins with the diagonal holds of its template.
 
-    A base phrase holds on one diagonal with all its grams. Of other templates, diagonals at most
-    ``DRIFT`` apart form a span; it is verified if ``COVERED`` of the template's grams are in it.
-    Documents without a vote keep a row with a null template.
+    A base phrase holds on one diagonal with all its grams. Of other templates, a diagonal and those
+    at most ``DRIFT`` behind it form a span; where their votes suffice, the template's grams that stand
+    in it in order are counted, each once. ``COVERED`` of them verify it. Documents without a vote
+    keep their row.
     """
-    one = Window.partitionBy("row", "template").orderBy("diagonal")
-    opens = F.when(F.col("base") | (F.col("diagonal") - F.lag("diagonal").over(one) > DRIFT), 1).otherwise(0)
-    numbered = voted.withColumn("opens", opens).withColumn("span", F.sum("opens").over(one))
-    coverage = F.least(F.lit(1.0), F.col("votes") / F.col("n_grams"))
-    return (numbered.groupBy("row", "doc_id", "n_words", "template", "label", "base", "n_grams", "span")
-            .agg(F.sum("votes").alias("votes"), F.min("diagonal").alias("start"),
-                 F.max(F.col("diagonal") + F.col("high") + GRAM - 1).alias("last"))
-            .withColumn("coverage", coverage)
-            .withColumn("verified", F.when(F.col("base"), F.col("votes") == F.col("n_grams")).otherwise(coverage >= COVERED)))
+    near = Window.partitionBy("row", "template").orderBy("diagonal").rangeBetween(0, DRIFT)
+    needed = F.col("n_grams") * COVERED
+    enough = ~F.col("base") & (F.sum("votes").over(near) >= needed)
+    own = F.struct("diagonal", "places")
+    # Only few spans have the votes: the others collect nothing.
+    reached = voted.withColumn("enough", enough).withColumn("diagonals", F.collect_list(F.when(~F.col("base"), own)).over(near))
+    held = F.when(F.col("enough"), _in_order("diagonals")).otherwise(0)
+    return (reached.withColumn("held", held).drop("diagonals", "places")
+            .withColumn("verified", F.when(F.col("base"), F.col("votes") == F.col("n_grams")).otherwise(F.col("held") >= needed))
+            .withColumn("coverage", F.col("held") / F.col("n_grams")))
 
 
 def scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES) -> DataFrame:
@@ -110,18 +132,18 @@ def scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES) -> DataFrame:
 
     n_words; n_base, first_word and last_word: number, least and greatest start of base phrases;
     base_labels, labels: distinct, sorted, comma-joined, empty if none; score: 1 with a base phrase,
-    else the greatest share of a notice that some span has in place.
+    else the greatest share of a notice that a verified span has in place, 0 without one.
 
     Null and empty texts have no words and no labels; repeated rows and null ids keep a row each;
     an empty table gives an empty one.
     """
     found = spans(votes(docs, templates(docs.sparkSession, phrases, notices)))
     base, noted = F.col("base") & F.col("verified"), ~F.col("base") & F.col("verified")
-    share = F.when(base, 1.0).when(~F.col("base"), F.col("coverage"))
+    share = F.when(base, 1.0).when(noted, F.col("coverage"))
     joined = lambda met: F.array_join(F.array_sort(F.collect_set(F.when(met, F.col("label")))), ",")
     return (found.groupBy("row", "doc_id", "n_words")
-            .agg(F.count(F.when(base, 1)).alias("n_base"), F.min(F.when(base, F.col("start"))).cast("long").alias("first_word"),
-                 F.max(F.when(base, F.col("start"))).cast("long").alias("last_word"), joined(base).alias("base_labels"),
+            .agg(F.count(F.when(base, 1)).alias("n_base"), F.min(F.when(base, F.col("diagonal"))).cast("long").alias("first_word"),
+                 F.max(F.when(base, F.col("diagonal"))).cast("long").alias("last_word"), joined(base).alias("base_labels"),
                  joined(base | noted).alias("labels"),
                  F.round(F.coalesce(F.max(share), F.lit(0.0)), 6).alias("score"))
             .drop("row"))
@@ -143,22 +165,26 @@ patterns AS (
   SELECT template, label, base, len(w) - 1 AS n_grams, unnest(range(len(w) - 1)) AS q, unnest(w[:-2]) AS a, unnest(w[2:]) AS b
   FROM (SELECT *, string_split(text, ' ') AS w FROM given)),
 voted AS (
-  SELECT doc_id, template, label, base, n_grams, p - q AS diagonal, count(*) AS votes
+  SELECT doc_id, template, label, base, n_grams, p - q AS diagonal, count(*) AS votes, list(q) AS places
   FROM grams JOIN patterns USING (a, b) GROUP BY ALL),
-opened AS (
-  SELECT *, CASE WHEN base OR diagonal - lag(diagonal) OVER one > {DRIFT} THEN 1 ELSE 0 END AS opens
-  FROM voted WINDOW one AS (PARTITION BY doc_id, template ORDER BY diagonal)),
-numbered AS (
-  SELECT *, sum(opens) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM opened),
-spans AS (
-  SELECT doc_id, template, label, base, n_grams, span, sum(votes) AS votes, min(diagonal) AS start,
-         least(1.0::DOUBLE, sum(votes)::DOUBLE / n_grams) AS coverage FROM numbered
-  GROUP BY doc_id, template, label, base, n_grams, span),
+reached AS (
+  SELECT *, sum(votes) OVER (PARTITION BY doc_id, template ORDER BY diagonal RANGE BETWEEN CURRENT ROW AND {DRIFT} FOLLOWING) AS reach FROM voted),
+matched AS (
+  SELECT a.doc_id, a.template, a.diagonal, list([q] ORDER BY b.diagonal + q, -q) AS matches
+  FROM reached a JOIN (SELECT doc_id, template, diagonal, unnest(places) AS q FROM voted) b
+    ON a.doc_id = b.doc_id AND a.template = b.template AND b.diagonal BETWEEN a.diagonal AND a.diagonal + {DRIFT}
+  WHERE NOT a.base AND a.reach >= {COVERED} * a.n_grams GROUP BY a.doc_id, a.template, a.diagonal),
+placed AS (
+  SELECT doc_id, template, diagonal, len(list_reduce(list_prepend([]::BIGINT[], matches), lambda ends, x:
+    list_concat(list_concat(ends[:len(list_filter(ends, lambda e: e < x[1]))], x), ends[len(list_filter(ends, lambda e: e < x[1])) + 2:]))) AS held
+  FROM matched),
 judged AS (
-  SELECT *, base AND votes = n_grams AS met, NOT base AND coverage >= {COVERED} AS noted FROM spans)
+  SELECT v.*, base AND votes = n_grams AS met, NOT base AND coalesce(held, 0) >= {COVERED} * n_grams AS noted,
+    coalesce(held, 0)::DOUBLE / n_grams AS coverage, diagonal AS start
+  FROM voted v LEFT JOIN placed USING (doc_id, template, diagonal))
 SELECT doc_id, len(w)::BIGINT AS n_words, count(*) FILTER (met) AS n_base, min(start) FILTER (met) AS first_word,
   max(start) FILTER (met) AS last_word, coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (met), '') AS base_labels,
   coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (met OR noted), '') AS labels,
-  round(coalesce(max(CASE WHEN met THEN 1.0::DOUBLE WHEN NOT base THEN coverage END), 0), 6) AS score
+  round(coalesce(max(CASE WHEN met THEN 1.0::DOUBLE WHEN noted THEN coverage END), 0), 6) AS score
 FROM words LEFT JOIN judged USING (doc_id) GROUP BY doc_id, w
 """
