@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 import xxhash
 from helpers import SCHEMA, edge_documents, edge_frame, empty_frame, stored
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from textpulse.llm import ann, chunks, langid, licenses, mixing, packing, simhash, tokenfile, topk, toxicity
@@ -273,6 +274,74 @@ def test_repeated_passages_are_found_whole(spark, tmp_path):
             assert found[i].first_word <= first and found[i].last_word >= last - 1 and found[i].n_words <= last - first + 2
 
 
+def brute_cover(texts, least=50):
+    """Word numbers of each text that lie in a run of ``least`` words seen before."""
+    seen, out = set(), []
+    for text in texts:
+        words, own = text.lower().split(), set()
+        for i in range(len(words) - least + 1):
+            gram = tuple(words[i:i + least])
+            if gram in seen:
+                own |= set(range(i, i + least))
+            seen.add(gram)
+        out.append(own)
+    return out
+
+
+def found_cover(spark, texts, tmp_path):
+    rows = [(i, t, "en", "a", 0, "", 0) for i, t in enumerate(texts)]
+    got = chunks.find_repeats(stored(spark.createDataFrame(rows, SCHEMA).coalesce(1), tmp_path)).collect()
+    out = [set() for _ in texts]
+    for r in got:
+        own = set(range(r.first_word, r.last_word + 1))
+        assert not own & out[r.doc_id] and r.n_words == len(own)  # disjoint
+        out[r.doc_id] |= own
+    return out
+
+
+def test_parts_from_different_places_are_no_repeat(spark, tmp_path):
+    draw = random.Random(9)
+    a, b, c = (prose(draw, 40) for _ in range(3))
+    other = lambda n: prose(draw, n)
+    texts = [other(30) + a, other(20) + b, a + b, other(9) + a + b + other(9), c + a, b + c + a + b]
+    texts = [" ".join(t) for t in texts]
+    assert found_cover(spark, texts, tmp_path) == brute_cover(texts)
+    assert brute_cover(texts)[2] == set() and len(brute_cover(texts)[3]) == 80
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_spans_equal_all_grams_of_boilerplate_mixes(spark, tmp_path, seed):
+    draw = random.Random(seed)
+    parts = [prose(draw, draw.randint(5, 70)) for _ in range(14)]
+    texts = [" ".join(sum(([*draw.choice(parts), *prose(draw, draw.choice([0, 0, 1, 30]))] for _ in range(draw.randint(1, 7))), []))
+             for _ in range(150)]
+    got, want = found_cover(spark, texts, tmp_path), brute_cover(texts)
+    assert all(g <= w for g, w in zip(got, want)) or [(g - w) for g, w in zip(got, want) if g - w] == []
+    missed = sum(len(w - g) for g, w in zip(got, want))
+    assert missed <= 0.002 * sum(map(len, want))  # a chunk border may fall out of step beside a passage
+
+
+def test_row_numbers_do_not_depend_on_splits(spark, tmp_path):
+    from textpulse.llm.common import numbered
+    frame = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    path = str(tmp_path / "many.parquet")
+    frame.repartition(5).write.option("parquet.block.size", 4096).option("parquet.page.size", 512).parquet(path)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    found = []
+    try:
+        for size in ("20000", "1000000"):
+            for name in names:
+                spark.conf.set(name, size)
+            rows, where = numbered(spark.read.parquet(path))
+            found.append((rows.rdd.getNumPartitions(), sorted(map(tuple, rows.select("row", where["doc_id"]).collect()))))
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
+    assert found[0][0] > found[1][0] and found[0][1] == found[1][1]
+    assert len({row for row, _ in found[0][1]}) == 20_000
+
+
 def test_cut_repeats_on_edge_cases(spark, tmp_path):
     rows = edge_documents()
     copy = " ".join(prose(random.Random(1), 120))
@@ -303,7 +372,7 @@ def test_raking_meets_the_margins(spark):
     draw = random.Random(8)
     rows = [(i, " ".join(draw.choices(["alpha", "beta", "gamma", "delta", "of"], k=draw.randint(1, 60))), draw.choice(["en", "fr"]),
              draw.choice("aaaabc"), 0, "", 0) for i in range(3000)]
-    docs = mixing.numbered(spark.createDataFrame(rows, SCHEMA).select("doc_id", "text", "lang", "source"))
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("row", F.monotonically_increasing_id())
     got = mixing.calibrated(docs, {"source": {"a": 0.5, "b": 0.25, "c": 0.25}, "lang": {"en": 0.5, "fr": 0.5}, "topic": 1.0}).toPandas()
     assert {r.doc_id: (r.tokens, r.topic) for r in got.itertuples()} == {r[0]: (mixing.topic(r[1].encode())[0] + 1, mixing.topic(r[1].encode())[1]) for r in rows}
     expected = got.tokens * got.probability
@@ -317,7 +386,7 @@ def test_raking_meets_the_margins(spark):
 
 def test_mixing_on_edge_cases(spark, tmp_path):
     docs = stored(edge_frame(spark), tmp_path)
-    got = mixing.calibrated(mixing.numbered(docs.select("doc_id", "text", "lang", "source")))
+    got = mixing.calibrated(docs.withColumn("row", F.monotonically_increasing_id()))
     assert got.count() == len(edge_documents())
     assert mixing.sample(docs).columns == docs.columns
     none = stored(empty_frame(spark), tmp_path, "none")
@@ -440,3 +509,45 @@ def test_checksum_of_fold(spark):
     rows = [(i,) for i in range(50)] + [(None,)]
     got = spark.createDataFrame(rows, "doc_id long").select("doc_id", langid.fold("doc_id", 3).alias("f")).collect()
     assert all(r.f == (None if r.doc_id is None else zlib.crc32(str(r.doc_id).encode()) % 3) for r in got)
+
+
+def brute_noted(text):
+    """Labels of notices that stand in the text in order, each template gram once, within a few diagonals."""
+    words, labels = text.split(), set()
+    grams = list(zip(words, words[1:]))
+    for label, notice in licenses.NOTICES:
+        own = notice.split()
+        met = [(p, q) for p, g in enumerate(grams) for q, h in enumerate(zip(own, own[1:])) if g == h]
+        for start in {p - q for p, q in met}:
+            near = sorted((p, q) for p, q in met if start <= p - q <= start + licenses.DRIFT)
+            longest = [1] * len(near)
+            for i, (p, q) in enumerate(near):
+                longest[i] = 1 + max((longest[j] for j in range(i) if near[j][0] < p and near[j][1] < q), default=0)
+            if max(longest) >= licenses.COVERED * (len(own) - 1):
+                labels.add(label)
+    return labels
+
+
+def test_repeated_words_of_a_notice_are_no_license(spark):
+    draw = random.Random(6)
+    texts = ["this is " * 12, "free software " * 30]
+    for _, notice in licenses.NOTICES:
+        words = notice.split()
+        texts.append(" ".join(reversed(words)))
+        texts.append(" ".join(words[len(words) // 2:] + words[:len(words) // 2]))
+        for k in (1, 3, 9):
+            spoilt = list(words)
+            for _ in range(k):
+                at = draw.randrange(len(spoilt))
+                spoilt[at:at + draw.randint(0, 1)] = draw.choice([["new"], [], [draw.choice(words)]])
+            texts.append("some words before " + " ".join(spoilt) + " and behind")
+        texts.append(" ".join(draw.choice(words) for _ in range(200)))
+        grams = list(zip(words, words[1:]))
+        texts.append(" ".join(" ".join(draw.choice(grams)) for _ in range(150)))
+    rows = [(i, t, "en", "a", 0, "", 0) for i, t in enumerate(texts)]
+    none = (("never", "no such phrase"),)
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, SCHEMA), phrases=none).collect()}
+    want = {i: ",".join(sorted(brute_noted(t))) for i, t in enumerate(texts)}
+    assert {i: r.labels for i, r in got.items()} == want
+    assert want[0] == want[1] == "" and sum(map(bool, want.values())) > 10
+    assert all((r.score >= licenses.COVERED) == bool(r.labels) and (r.score == 0 or r.labels) for r in got.values())

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 from helpers import SCHEMA, edge_documents, edge_frame, empty_frame, stored
 from test_operators import brute_components, brute_fingerprint, check_pieces  # noqa: F401
 
@@ -106,7 +107,7 @@ def test_run_equals_its_stages(spark, tmp_path):
 
 def test_expected_tokens_of_the_mixture(spark, tmp_path):
     docs = stored(spark.createDataFrame(corpus(), SCHEMA), tmp_path)
-    got = mixing.calibrated(mixing.numbered(docs.select("doc_id", "text", "lang", "source"))).toPandas()
+    got = mixing.calibrated(docs.withColumn("row", F.monotonically_increasing_id())).toPandas()
     for margin in mixing.MARGINS:
         present = got.tokens.groupby(got[margin]).sum()
         want = (present / present.sum()) ** mixing.TEMPER
