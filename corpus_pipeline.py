@@ -9,7 +9,7 @@ so repeated rows and null ids are treated row by row, except that near duplicate
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from textpulse.llm import chunks, langid, mixing, packing, simhash
 from textpulse.llm.common import stage
@@ -30,18 +30,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Three-word shingles, links at two or fewer differing bits. Of rows that share that id the
     first stays; in a group without ids, the first row.
     """
-    names = docs.columns
-    where = {c: f"c{i}" for i, c in enumerate(names)}
-    whole = docs.select(F.monotonically_increasing_id().alias("row"), *[F.col(f"`{c}`").alias(n) for c, n in where.items()])
-    # The row number takes the id's place, so that every group has exactly one first row.
-    keyed = whole.select("row", F.coalesce(F.col(where["doc_id"]).cast("long"), F.lit(2 ** 63 - 1)).alias("id"))
-    found = simhash.near_duplicates(whole.select(F.col("row").alias("doc_id"), F.col(where["text"]).alias("text")))
-    grouped = found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("group")).join(keyed, "row")
-    least = grouped.groupBy("group").agg(F.min("id").alias("id"))
-    first = grouped.join(least, ["group", "id"]).groupBy("group").agg(F.min("row").alias("row"))
-    kept = stage(first.select("row"))
-    # The same plan at every size: whether one side is small must not decide what is moved.
-    return whole.join(kept.hint("merge"), "row", "left_semi").select(*[F.col(n).alias(c) for c, n in where.items()])
+    return simhash.first_of_groups(docs, shingle=3, distance=2)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
