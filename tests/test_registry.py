@@ -4,11 +4,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from registry.oracle import ORACLE_SQL as SQL
+from registry.queries import QUERIES as PLAIN
+from textpulse.session import utc
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {name: utc(function) for name, function in PLAIN.items()}
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +27,10 @@ def test_every_sql_has_its_query():
     assert set(QUERIES) - set(SQL) == {"file_md5", "topic_assign", "topic_assign_text"}
 
 
+def test_entry_has_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
 def test_flagship(spark):
     assert entry.entry(spark).columns == [
         "year_month", "total_posts", "avg_sentiment", "pct_negative", "rolling_3mo_sentiment"]
