@@ -80,7 +80,7 @@ def file_md5(spark, sf):
 @query
 def flatten_threads(spark, sf):
     flat = threads.flatten_threads(data.items(spark, sf), ("doc_id",))
-    position = F.row_number().over(Window.partitionBy("doc_id").orderBy("path")).cast("long")
+    position = F.row_number().over(Window.partitionBy("doc_id").orderBy("place")).cast("long")
     return flat.select(
         "doc_id", position.alias("position"), "id", "parent_id", "text", "score", "subreddit", "type",
         F.try_variant_get("timestamp", "$", "bigint").alias("created_at"))

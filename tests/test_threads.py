@@ -1,9 +1,9 @@
 import json
 import random
+import time
 from datetime import datetime, timezone
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from textpulse.operators import threads
@@ -63,7 +63,7 @@ def test_flatten_matches_recursion_in_order(spark, tmp_path, lines):
     text = "\n".join(map(json.dumps, items)) if lines else json.dumps(items)
     (tmp_path / "items.json").write_text(text)
     flat = threads.flatten_threads(read_items(spark, str(tmp_path), multi_line=not lines), ORDER)
-    rows = flat.orderBy(*ORDER, "path").collect()
+    rows = flat.orderBy(*ORDER, "place").collect()
     got = [(r.id, r.parent_id, r.text, r.subreddit, r.type, r.score) for r in rows]
     assert got == _walk(items) and len(got) > 200
 
@@ -75,16 +75,38 @@ def _chain(depth):
     return nested
 
 
-def test_deep_chain_is_whole_and_deeper_fails(spark):
-    def items(depth):
-        return spark.createDataFrame(
-            [("p", _chain(depth))], "id string, comments string").withColumns({
-                c: F.lit(None).cast(t) for c, t in {
-                    "title": "string", "body": "string", "createdAt": "variant", "upVotes": "long",
-                    "downVotes": "long", "subredditName": "string", "url": "string", "author": "string"}.items()})
-    assert threads.flatten_threads(items(400)).count() == 401
-    with pytest.raises(PySparkException, match="levels of comments below post p"):
-        threads.flatten_threads(items(700)).collect()
+def _thread(spark, comments):
+    nulls = {"title": "string", "body": "string", "createdAt": "variant", "upVotes": "long",
+             "downVotes": "long", "subredditName": "string", "url": "string", "author": "string"}
+    return spark.createDataFrame([("p", comments)], "id string, comments string").withColumns(
+        {c: F.lit(None).cast(t) for c, t in nulls.items()})
+
+
+def test_deep_chain_is_whole(spark, tmp_path):
+    for depth in (400, 2_000, 20_000):
+        flat = threads.flatten_threads(_thread(spark, _chain(depth))).orderBy("place").collect()
+        assert [(r.id, r.parent_id) for r in flat] == [("p", None), ("n1", "p"), *[(f"n{i}", f"n{i - 1}") for i in range(2, depth + 1)]]
+    (tmp_path / "items.json").write_text(f'{{"id":"p","comments":{_chain(2_000)}}}\n\n{{"id":"q"}}\nno JSON\n')
+    assert threads.flatten_threads(read_items(spark, str(tmp_path)), ORDER).count() == 2_002
+
+
+def test_wide_thread_is_whole_in_linear_time(spark):
+    def wide(n):
+        inner = ",".join(f'{{"id":"r{i}","body":"reply ]}} {i}"}}' for i in range(n // 2))
+        return f'[{{"replies":[{inner}],"id":"first"}},' + ",".join(f'{{"id":{i}}}' for i in range(n // 2)) + "]"
+    seconds = []
+    for n in (50_000, 400_000):
+        began = time.perf_counter()
+        found = threads.flatten_threads(_thread(spark, wide(n)))
+        assert found.agg(F.count("*"), F.count_distinct("id"), F.count_if(F.col("parent_id") == "first")).first() == (n + 2, n + 2, n // 2)
+        seconds.append(time.perf_counter() - began)
+    assert seconds[1] < 16 * seconds[0]
+
+
+@pytest.mark.parametrize("text", ["", "[", "[]", "{}", '{"id":"x"}', '[{"id":"x"]', '[{"id":"x"}]]', '"[1]"', "null", '[{"id":"x"}] more',
+                                  '[1,"x",null,[{"id":"y"}],{"id":null},{"id":"","replies":[{"id":"z"}]}]'])
+def test_text_without_comments(spark, text):
+    assert [r.id for r in threads.flatten_threads(_thread(spark, text)).collect()] == ["p"]
 
 
 def test_dedupe_keeps_first_and_prunes_before_the_shuffle(spark):

@@ -2,74 +2,60 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from textpulse.functions.brackets import walk
 from textpulse.functions.plan import compute_once
 from textpulse.functions.text import strip
 from textpulse.functions.timestamps import parse_text, parse_variant
 from textpulse.schemas import COMMENT, JSON_OPTIONS
 
-_NODE = ("struct<path:array<int>,parent_id:string,id:string,body:string,createdAt:variant,"
-         "upVotes:bigint,downVotes:bigint,url:string,author:string,replies:string>")
-_NODES = f"array<{_NODE}>"
-
-
-MAX_DEPTH = 450
+ROWS, CHARACTERS = 4_096, 4 << 20  # comments, and their text, that are sent on at a time
+_POST = ("title", "body", "createdAt", "upVotes", "downVotes", "url", "author")
 
 
 class InsufficientData(RuntimeError):
     """A run has too few rows to replace existing results."""
 
 
-def _children(json: Column, parent_id: Column, path: Column) -> Column:
-    """Comments of one JSON array that carry an id, with parent and path."""
-    # A lone object would be read as a one-element list; only arrays with content count.
-    level = F.when(F.ltrim(json).startswith("[") & (F.length(json) > 2),
-                   F.from_json(json, f"array<{COMMENT.simpleString()}>", JSON_OPTIONS))
-    nodes = F.transform(level, lambda c, i: F.struct(
-        F.concat(path, F.array(i)).alias("path"), parent_id.alias("parent_id"),
-        *[c[name].alias(name) for name in COMMENT.fieldNames()]))
-    return F.coalesce(F.filter(nodes, lambda n: n["id"] != ""), F.array().cast(_NODES))
-
-
-def _array_depth(json: Column) -> Column:
-    """Deepest nesting of arrays in a JSON text."""
-    no_escapes = F.regexp_replace(json, r"(?s)\\.", "")
-    brackets = F.regexp_replace(no_escapes, r'"[^"]*"|[^\[\]"]+', "")
-
-    def step(acc, bracket):
-        level = acc["level"] + F.when(bracket == "[", 1).when(bracket == "]", -1).otherwise(0)
-        return F.struct(level.alias("level"), F.greatest(acc["deepest"], level).alias("deepest"))
-
-    return F.aggregate(F.split(brackets, ""), F.struct(F.lit(0).alias("level"), F.lit(0).alias("deepest")),
-                       step, lambda acc: acc["deepest"])
+def _comment_rows(items: DataFrame, carried: list[str]) -> DataFrame:
+    """A row per post and per comment below it: ``carried`` columns, place, parent, own.
 
-
-def comment_nodes(comments: Column, post_id: Column) -> Column:
-    """All comments below a post, at any depth, each with its path from the post.
-
-    A fold within the row: every step parses the replies of the nodes found by the step
-    before, as many steps as arrays are nested. One scan and no shuffle, whatever the depth.
-
-    The JSON writer behind ``from_json`` stops at 1000 nested brackets and would leave the
-    rest out, so deeper threads fail the job instead of losing comments.
+    The bracket positions of a thread are found in one pass; its comments leave one by one, each as
+    the JSON object it is without its replies. Columns of the post itself are NULL beside a comment.
     """
-    nested = _array_depth(comments)
-    steps = F.when(nested <= MAX_DEPTH, nested).otherwise(F.raise_error(F.concat(
-        F.lit(f"more than {MAX_DEPTH} levels of comments below post "), post_id)).cast("int"))
-    start = F.struct(F.array().cast(_NODES).alias("done"),
-                     _children(comments, post_id, F.array().cast("array<int>")).alias("todo"))
-
-    def descend(state, _step):
-        deeper = F.flatten(F.transform(
-            state["todo"], lambda n: _children(n["replies"], n["id"], n["path"])))
-        stepped = F.struct(F.concat(state["done"], state["todo"]).alias("done"),
-                           deeper.alias("todo"))
-        return F.when(F.size(state["todo"]) == 0, state).otherwise(stepped)
-
-    return F.aggregate(F.sequence(F.lit(0), steps), start, descend, lambda s: s["done"])
+    own_columns = [*carried, *_POST]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, rows, size = batch.column(batch.num_columns - 1), [], 0
+            for i in range(batch.num_rows):
+                rows.append((i, i, 0, None, None))
+                text = texts[i].as_py()
+                for place, parent, own in walk(text) if text and text.lstrip().startswith("[") else ():
+                    rows.append((i, None, place, parent, own))
+                    size += len(own)
+                    if len(rows) >= ROWS or size >= CHARACTERS:
+                        yield sent(batch, rows)
+                        rows, size = [], 0
+            if rows:
+                yield sent(batch, rows)
+
+    def sent(batch: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
+        item, post, place, parent, own = zip(*rows)
+        item, post = pa.array(item, pa.int64()), pa.array(post, pa.int64())
+        columns = [batch.column(i).take(item if i < len(carried) else post) for i in range(len(own_columns))]
+        return pa.record_batch([*columns, pa.array(place, pa.int64()), pa.array(parent, pa.string()), pa.array(own, pa.string())],
+                               [*own_columns, "place", "parent", "own"])
+
+    narrow = items.select(*carried, *[F.to_json(c).alias(c) if c == "createdAt" else c for c in _POST], "comments")
+    schema = T.StructType([*(T.StructField(c, narrow.schema[c].dataType) for c in own_columns), T.StructField("place", T.LongType()),
+                           T.StructField("parent", T.StringType()), T.StructField("own", T.StringType())])
+    return narrow.mapInArrow(run, schema)
 
 
 def flatten_threads(items: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
@@ -77,32 +63,36 @@ def flatten_threads(items: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
 
     Posts and comments without an id are skipped with everything below them.
     ``order`` names columns that give the input order of the items; they are kept,
-    with ``path``, so that (order..., path) is depth-first order of the whole input.
-    Missing and NULL fields count alike. ``timestamp`` stays raw (VARIANT or text).
+    with ``place``, so that (order..., place) is depth-first order of the whole input.
+    Missing and NULL fields count alike. ``timestamp`` stays raw (VARIANT). ``comments`` is JSON
+    text: an array of objects with ``replies`` nested in the same way, to any depth. Text that is no
+    array or whose brackets do not match has no comments.
+
+    No shuffle, and time linear in the text whatever its depth. A thread never is one array: a few
+    thousand comments are sent on at a time, and positions take sixty-four bytes a comment.
     """
-    def votes(up: Column, down: Column) -> Column:
+    def votes(up: str, down: str) -> Column:
         return F.coalesce(up, F.lit(0)).cast("long") - F.coalesce(down, F.lit(0)).cast("long")
 
-    def text(c: str | Column) -> Column:
-        return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
-
-    posts = items.where(F.col("id") != "")
-    post = F.struct(
-        F.array().cast("array<int>").alias("path"), F.col("id").alias("id"),
-        F.lit(None).cast("string").alias("parent_id"),
-        F.concat(text("title"), F.lit("\n"), text("body")).alias("text"),
-        F.col("createdAt").alias("timestamp"), votes(F.col("upVotes"), F.col("downVotes")).alias("score"),
-        F.lit("Post").alias("type"), F.col("url").alias("reddit_url"), F.col("author").alias("author"))
-    comments = F.transform(
-        comment_nodes(F.coalesce(F.col("comments"), F.lit("")), F.col("id")), lambda n: F.struct(
-            n["path"].alias("path"), n["id"].alias("id"), n["parent_id"].alias("parent_id"),
-            text(n["body"]).alias("text"), n["createdAt"].alias("timestamp"),
-            votes(n["upVotes"], n["downVotes"]).alias("score"), F.lit("Comment").alias("type"),
-            n["url"].alias("reddit_url"), n["author"].alias("author")))
-    rows = posts.select(*order, F.col("subredditName").alias("subreddit"),
-                        F.inline(F.concat(F.array(post), comments)))
-    return rows.select(*order, "path", "id", "parent_id", strip(F.col("text")).alias("text"),
-                       "timestamp", "score", "subreddit", "type", "reddit_url", "author")
+    def text(c: str) -> Column:
+        return F.coalesce(F.col(c), F.lit(""))
+
+    rows = _comment_rows(items.where(F.col("id") != ""), [*order, "id", "subredditName"])
+    above = F.from_json(F.concat(F.lit('{"id":'), "parent", F.lit("}")), "id string")["id"]
+    rows = compute_once(rows, _c=F.from_json("own", COMMENT, JSON_OPTIONS), _above=above)
+    comment = F.col("place") > 0
+    either = lambda c: F.when(comment, F.col(f"_c.{c}")).otherwise(F.col(c))
+    fields = rows.select(
+        *order, "place", either("id").alias("id"),
+        F.when(comment, F.coalesce("_above", "id")).alias("parent_id"),
+        F.when(comment, text("_c.body")).otherwise(F.concat(text("title"), F.lit("\n"), text("body"))).alias("text"),
+        F.when(comment, F.col("_c.createdAt")).otherwise(F.try_parse_json("createdAt")).alias("timestamp"),
+        F.when(comment, votes("_c.upVotes", "_c.downVotes")).otherwise(votes("upVotes", "downVotes")).alias("score"),
+        F.col("subredditName").alias("subreddit"), F.when(comment, "Comment").otherwise("Post").alias("type"),
+        either("url").alias("reddit_url"), either("author").alias("author"))
+    return (fields.where(F.col("id") != "")
+            .select(*order, "place", "id", "parent_id", strip(F.col("text")).alias("text"),
+                    "timestamp", "score", "subreddit", "type", "reddit_url", "author"))
 
 
 def dedupe_first(df: DataFrame, order: tuple[str, ...], key: str = "id", kept: tuple[str, ...] = ()) -> DataFrame:

@@ -26,7 +26,7 @@ class RunResult:
 def messages(items: DataFrame, run_ts: datetime, since: datetime | None = None,
              order: tuple[str, ...] = item_source.ORDER, kept: tuple[str, ...] = ()) -> DataFrame:
     """Items to flat, de-duplicated messages with UTC timestamps; ``kept`` names order columns that stay."""
-    flat = threads.dedupe_first(threads.flatten_threads(items, order), order + ("path",), kept=kept)
+    flat = threads.dedupe_first(threads.flatten_threads(items, order), order + ("place",), kept=kept)
     return threads.since_filter(
         threads.impute_timestamps(threads.parse_timestamps(flat), run_ts), since)
 

@@ -19,7 +19,7 @@ ITEM = T.StructType([
     T.StructField("comments", T.StringType()),
 ])
 
-# One level of a comment list; deeper levels stay JSON text in ``replies``.
+# One comment without the replies below it.
 COMMENT = T.StructType([
     T.StructField("id", T.StringType()),
     T.StructField("body", T.StringType()),
@@ -28,7 +28,6 @@ COMMENT = T.StructType([
     T.StructField("downVotes", T.LongType()),
     T.StructField("url", T.StringType()),
     T.StructField("author", T.StringType()),
-    T.StructField("replies", T.StringType()),
 ])
 
 MESSAGE = T.StructType([

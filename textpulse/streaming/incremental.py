@@ -10,20 +10,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from textpulse.config import DEFAULT, Settings
 from textpulse.plans.batch import enrich, messages
-from textpulse.schemas import ITEM, JSON_OPTIONS
 from textpulse.session import delete, exists, work_dir
+from textpulse.sources.items import parse_lines
 from textpulse.sources.sinks import public_columns, with_month_partition
 
 
 def read_item_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """Items of new landing files (JSON lines). The checkpoint replaces the run-time mark, so
     a message that arrives late is not lost."""
-    reader = spark.readStream.schema(ITEM).options(**JSON_OPTIONS)
+    reader = spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     # Negative, so that the newest file comes first in ascending order.
     age = -F.unix_micros(F.col("_metadata.file_modification_time"))
-    return reader.json(path).withColumn("_age", age)
+    return parse_lines(reader.text(path).select("value", age.alias("_age")))
 
 
 def drop_seen(stream: DataFrame, delay: str = "7 days", key: str = "id") -> DataFrame:
