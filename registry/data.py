@@ -107,3 +107,9 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source").alias("subredditName"), F.concat(F.lit("u/"), "doc_id").alias("url"),
         F.col("lang").alias("author"),
         F.concat(F.lit("["), F.array_join(comments, ","), F.lit("]")).alias("comments"), "doc_id")
+
+
+def item_lines(items: DataFrame) -> DataFrame:
+    """``doc_id, value``: each item as one JSON text with its comments nested, as a landing file has it."""
+    own = F.to_json(F.struct("id", "title", "body", F.col("doc_id").alias("createdAt"), "upVotes", "downVotes", "subredditName", "url", "author"))
+    return items.select("doc_id", F.concat(F.left(own, F.length(own) - 1), F.lit(',"comments":'), "comments", F.lit("}")).alias("value"))

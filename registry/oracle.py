@@ -223,15 +223,16 @@ summaries AS (
 # --- sources ---------------------------------------------------------------------------------
 
 ORACLE_SQL["src_items"] = """
-SELECT CAST(doc_id AS VARCHAR) AS id, string_split(text, chr(10))[1] AS title, n_chars AS up_votes,
-       source AS subreddit, lang AS author, true AS has_comments FROM documents"""
+SELECT CAST(doc_id AS VARCHAR) AS id, string_split(text, chr(10))[1] AS title, CAST(NULL AS VARCHAR) AS body, doc_id AS created_at,
+       n_chars AS up_votes, CAST(2 AS BIGINT) AS down_votes, source AS subreddit, 'u/' || doc_id AS url, lang AS author,
+       contains(text, chr(10)) AS has_comments FROM documents"""
 ORACLE_SQL["src_processed"] = f"""WITH {DATED}
 SELECT id, clean_text, {rounded('sentiment_score')} AS sentiment_score, sentiment_label, search_category,
        year_month, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM dated"""
 
 # --- threads and timestamps --------------------------------------------------------------------
 
-ORACLE_SQL["flatten_threads"] = f"""WITH
+THREADS = """
 lines AS (SELECT doc_id, source, n_chars, unnest(string_split(text, chr(10))) AS line,
                  generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
 sentences AS (SELECT doc_id, source, i - 1 AS i, unnest(string_split(line, '. ')) AS body,
@@ -243,9 +244,12 @@ every AS (
   SELECT doc_id, i, j, doc_id || '_' || i || '_' || j,
          CASE WHEN j % 8 = 0 THEN CAST(doc_id AS VARCHAR) ELSE doc_id || '_' || i || '_' || (j - 1) END,
          body, j - 1, source, 'Comment', 1577836800 + j * 86400 FROM sentences)
+"""
+ORACLE_SQL["flatten_threads"] = f"""WITH {THREADS}
 SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i, j) AS position, id, parent_id,
        trim(text, {SPACE_TEXT}) AS text, CAST(score AS BIGINT) AS score, source AS subreddit, type,
        CAST(created_at AS BIGINT) AS created_at FROM every"""
+ORACLE_SQL["landing_threads"] = f"SELECT * EXCLUDE (doc_id) FROM ({ORACLE_SQL['flatten_threads']})"
 ORACLE_SQL["dedupe_first"] = """
 SELECT md5(text) AS id, min(doc_id) AS doc_id, arg_min(source, doc_id) AS subreddit FROM documents GROUP BY md5(text)"""
 
@@ -510,6 +514,9 @@ SELECT id, term FROM cleaned JOIN top ON contains(whole_text, term)"""
 ORACLE_SQL["incremental"] = """
 SELECT event_id, event_type FROM events
 WHERE ts > (SELECT TIMESTAMP '1970-01-01' + to_seconds(CAST(floor(avg(CAST(floor(epoch(ts)) AS BIGINT))) AS BIGINT)) FROM events)"""
+ORACLE_SQL["landing_ledger"] = f"""WITH {THREADS}
+SELECT id, parent_id, trim(text, {SPACE_TEXT}) AS text, CAST(score AS BIGINT) AS score, type FROM every
+WHERE doc_id % 4 = 3 OR doc_id % 4 = 1 AND doc_id % 3 = 0"""
 ORACLE_SQL["stream_monthly_counts"] = f"""
 SELECT strftime(ts, '%Y-%m-%d') AS year_month, count(*) AS total_posts,
        count(*) FILTER (event_type = 'purchase') AS positive_count,

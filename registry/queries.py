@@ -19,7 +19,7 @@ from textpulse.functions.spans import is_whitelisted
 from textpulse.operators import (
     insights, joins, keywords, monthly, pii, preprocess, sentiment, stats, tfidf, threads, topics)
 from textpulse.session import stage, work_dir
-from textpulse.sources import items as item_source, runs, sinks
+from textpulse.sources import items as item_source, keyed, ledger, runs, sinks
 from textpulse.streaming import incremental as stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,12 +50,23 @@ def _folder(spark: SparkSession, name: str) -> str:
 @query
 def src_items(spark, sf):
     path = _folder(spark, "landing")
-    (data.items(spark, sf).drop("doc_id").withColumn("createdAt", F.to_json("createdAt"))
-     .write.json(path))
+    data.item_lines(data.items(spark, sf)).select("value").write.text(path)
     read = item_source.read_items(spark, path)
-    return read.select("id", "title", F.col("upVotes").alias("up_votes"),
-                       F.col("subredditName").alias("subreddit"), "author",
-                       F.col("comments").startswith("[").alias("has_comments"))
+    return read.select(
+        "id", "title", "body", F.try_variant_get("createdAt", "$", "bigint").alias("created_at"), F.col("upVotes").alias("up_votes"),
+        F.col("downVotes").alias("down_votes"), F.col("subredditName").alias("subreddit"), "url", "author",
+        (F.length("comments") > 2).alias("has_comments"))
+
+
+@query
+def landing_threads(spark, sf):
+    """Landing files to messages: lines read raw, comments flattened."""
+    path = _folder(spark, "landing")
+    data.item_lines(data.items(spark, sf)).select("value").write.text(path)
+    flat = threads.flatten_threads(item_source.read_items(spark, path), item_source.ORDER)
+    order = Window.partitionBy(*item_source.ORDER).orderBy("place")
+    return flat.select(F.row_number().over(order).cast("long").alias("position"), "id", "parent_id", "text", "score", "subreddit", "type",
+                       F.try_variant_get("timestamp", "$", "bigint").alias("created_at"))
 
 
 @query
@@ -639,12 +650,30 @@ def stream_merge(spark, sf):
     messages = monthly.with_calendar(data.messages(spark, sf), SETTINGS).select(
         "id", "timestamp", "year_month", F.length("text").cast("long").alias("chars"))
     out = _folder(spark, "merge")
-    stream.merge_by_id(spark, messages.withColumn("_version", F.lit(1)), out)
+    keyed.merge(spark, messages.withColumn("_version", F.lit(1)), out, buckets=2)
     longer = messages.where(F.col("chars") > 1000).withColumns({"chars": F.col("chars") * 2, "_version": F.lit(2)})
-    stream.merge_by_id(spark, longer, out)
-    stream.merge_by_id(spark, longer.withColumns({"chars": F.lit(0).cast("long"), "_version": F.lit(0)}), out)
-    return spark.read.schema("id string, chars long, _version int, year_month string").parquet(out).select(
-        "id", "year_month", "chars", F.col("_version").cast("long").alias("version"))
+    keyed.merge(spark, longer, out)
+    keyed.merge(spark, longer.withColumns({"chars": F.lit(0).cast("long"), "_version": F.lit(0)}), out)
+    return keyed.read(spark, out).select("id", "year_month", "chars", F.col("_version").cast("long").alias("version"))
+
+
+@query
+def landing_ledger(spark, sf):
+    """Messages of a second run: files that landed since the first, and one of the first that was rewritten."""
+    landing, out = _folder(spark, "landing"), _folder(spark, "ledger")
+    lines = data.item_lines(data.items(spark, sf))
+
+    def land(rows, name):
+        rows.select("value").coalesce(1).write.mode("overwrite").text(f"{landing}/{name}")
+
+    for part in range(3):
+        land(lines.where(F.col("doc_id") % 4 == part), f"part={part}")
+    ledger.record(ledger.pending(spark, landing, out), out, RUN_TS)
+    land(lines.where(F.col("doc_id") % 4 == 3), "part=3")
+    land(lines.where((F.col("doc_id") % 4 == 1) & (F.col("doc_id") % 3 == 0)), "part=1")
+    files = [r.path for r in ledger.pending(spark, landing, out).collect()]
+    flat = threads.flatten_threads(item_source.read_items(spark, files), item_source.ORDER)
+    return flat.select("id", "parent_id", "text", "score", "type")
 
 
 @query

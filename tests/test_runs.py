@@ -1,5 +1,6 @@
 import json
 import os
+import random
 from dataclasses import replace
 from datetime import datetime, timezone
 
@@ -8,10 +9,10 @@ import pytest
 from textpulse.__main__ import main
 from textpulse.config import DEFAULT
 from textpulse.operators.insights import complaint_counts
-from textpulse.plans.batch import run
+from textpulse.plans.batch import run, run_landing
 from textpulse.plans.deep import run_deep
 from textpulse.session import work_dir
-from textpulse.sources import runs, sinks
+from textpulse.sources import keyed, ledger, runs, sinks
 from textpulse.sources.items import read_items, read_processed_csv
 from textpulse.streaming import incremental as stream
 
@@ -127,15 +128,16 @@ def test_equal_versions_merge_alike_in_any_order(spark, tmp_path):
     for turn, texts in enumerate((("x", "y"), ("y", "x"))):
         target = str(tmp_path / str(turn))
         for t in texts:
-            stream.merge_by_id(spark, spark.createDataFrame([("a", "1", "2024-01", 1, t)], schema), target)
-        found.add(spark.read.schema(schema).parquet(target).first().text)
+            keyed.merge(spark, spark.createDataFrame([("a", "1", "2024-01", 1, t)], schema), target)
+        found.add(keyed.read(spark, target).first().text)
     assert len(found) == 1
 
 
 def test_job_entry_streams_and_backfills(spark, tmp_path):
     landing, out = _land(tmp_path / "in", _items(20)), str(tmp_path / "out")
     assert main(["--items", landing, "--out", out, "--stream", "--drop-raw"]) == 0
-    table = spark.read.parquet(f"{out}/{sinks.STREAMED}.parquet")
+    table = keyed.read(spark, f"{out}/{sinks.STREAMED}")
+    assert runs.run_history(spark, out).first().records_processed == 40 and runs.last_run_timestamp(spark, out)
     assert table.count() == 40 and not {"text", "original_text", "author"} & set(table.columns)
     recent = [dict(i, createdAt=int(datetime.now().timestamp()) - 86400, comments=[]) for i in _items(12, 50)]
     assert main(["--items", _land(tmp_path / "in", recent, "b.json"), "--out", out, "--backfill-only", "--drop-raw"]) == 0
@@ -147,8 +149,8 @@ def test_runs_leave_no_staged_tables(spark, tmp_path):
     before = set(os.listdir(work_dir(spark)))
     assert run(spark, read_items(spark, _land(tmp_path / "in", _items(12))), str(tmp_path / "out"), run_ts=RUN, csv=False,
                settings=replace(DEFAULT, enable_topics=False)).success
-    stream.merge_by_id(spark, spark.createDataFrame([("a", "1", "2024-01", 1)], "id string, timestamp string, year_month string, _version int"),
-                       str(tmp_path / "t"))
+    keyed.merge(spark, spark.createDataFrame([("a", "1", "2024-01", 1)], "id string, timestamp string, year_month string, _version int"),
+                str(tmp_path / "t"))
     assert not {n for n in set(os.listdir(work_dir(spark))) - before if n.startswith(("run-", "merge-"))}
 
 
@@ -161,7 +163,7 @@ def test_stream_equals_batch_and_merges_new_versions(spark, tmp_path):
     _land(landing, _items(20))
     go = lambda: stream.start_incremental(spark, str(landing), target, checkpoint).awaitTermination()
     go()
-    read = lambda: spark.read.parquet(target)
+    read = lambda: keyed.read(spark, target)
     assert read().count() == 40
     go()  # nothing new
     assert read().count() == 40
@@ -202,12 +204,91 @@ def test_stream_duplicates(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["a", "b", "c", "d"]
 
 
+VERSIONED = "id string, timestamp string, year_month string, _version int"
+
+
 @pytest.mark.parametrize("emptied", [True, False])
 def test_merge_leaves_no_stale_month(spark, tmp_path, emptied):
     target = str(tmp_path / "t")
-    rows = lambda data: spark.createDataFrame(data, "id string, timestamp string, year_month string, _version int")
-    stream.merge_by_id(spark, rows([("a", "1", "2024-01", 1), ("b", "1", "2024-01" if not emptied else "2024-02", 1)]), target)
-    stream.merge_by_id(spark, rows([("a", "2", "2024-03", 2)]), target)
-    found = spark.read.schema("id string, _version int, year_month string").parquet(target)
-    assert sorted((r.id, r.year_month) for r in found.collect()) == [
+    rows = lambda data: spark.createDataFrame(data, VERSIONED)
+    keyed.merge(spark, rows([("a", "1", "2024-01", 1), ("b", "1", "2024-01" if not emptied else "2024-02", 1)]), target)
+    keyed.merge(spark, rows([("a", "2", "2024-03", 2)]), target)
+    assert sorted((r.id, r.year_month) for r in keyed.read(spark, target).collect()) == [
         ("a", "2024-03"), ("b", "2024-02" if emptied else "2024-01")]
+
+
+def test_merge_reads_only_what_it_touches(spark, tmp_path, monkeypatch):
+    target, draw, want = str(tmp_path / "t"), random.Random(3), {}
+
+    def merge(rows):
+        for row in rows:
+            want[row[0]] = max(row, want.get(row[0], row), key=lambda r: (r[3], r[1]))
+        return keyed.merge(spark, spark.createDataFrame(rows, VERSIONED), target, buckets=8)
+
+    merge([(f"i{i}", "000", f"2024-0{1 + i % 6}", 1) for i in range(300)])
+    seen = []
+    cells = keyed._cells
+    monkeypatch.setattr(keyed, "_cells", lambda *args: seen.append(cells(*args)) or seen[-1])
+    done = merge([("i7", "001", "2024-06", 2), ("new", "001", "2024-06", 2)])
+    # Month of the old i7, and month of both rows, in at most two buckets.
+    assert done.buckets and len(done.buckets) <= 2 and done.read <= {(m, b) for m in ("2024-02", "2024-06") for b in done.buckets}
+    files = [tuple(f.split("/")[-3:-1]) for f in seen[0].inputFiles()]
+    assert files and {(m[3:], int(b[3:])) for m, b in files} == done.read
+    for k in range(4):
+        merge([(f"i{draw.randrange(320)}", f"{100 + 25 * k + j}", f"2024-0{draw.randint(1, 7)}", draw.randint(0, 4)) for j in range(25)])
+    assert sorted(tuple(r) for r in keyed.read(spark, target).collect()) == sorted(want.values())
+    months = {"2024-02", "2024-03"}
+    assert sorted(tuple(r) for r in keyed.read(spark, target, months).collect()) == sorted(r for r in want.values() if r[2] in months)
+    used = {"/".join(f.split("/")[:2]) for n in keyed.snapshots(spark, target)
+            for f in keyed.Snapshot.of(open(f"{target}/manifest/{n}").read()).folders()}
+    assert {f"{kind}/{n}" for kind in ("data", "index") for n in os.listdir(f"{target}/{kind}")} == used and len(keyed.snapshots(spark, target)) == 2
+
+
+def test_a_merge_that_fails_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "t")
+    rows = lambda data: spark.createDataFrame(data, VERSIONED)
+    keyed.merge(spark, rows([("a", "1", "2024-01", 1), ("b", "1", "2024-01", 1)]), target)
+    reader = keyed.read(spark, target)
+
+    def fail(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(keyed, "switch", fail)
+        with pytest.raises(OSError, match="lost"):
+            keyed.merge(spark, rows([("a", "2", "2024-02", 2)]), target)
+    assert sorted((r.id, r.year_month) for r in keyed.read(spark, target).collect()) == [("a", "2024-01"), ("b", "2024-01")]
+    keyed.merge(spark, rows([("a", "2", "2024-02", 2)]), target)
+    assert sorted((r.id, r.year_month) for r in keyed.read(spark, target).collect()) == [("a", "2024-02"), ("b", "2024-01")]
+    assert reader.count() == 2  # a reader that began before the merge
+    with pytest.raises(FileExistsError):
+        keyed.switch(spark, target, keyed.snapshot(spark, target))
+    with pytest.raises(ValueError, match="no table"):
+        keyed.read(spark, str(tmp_path / "none"))
+
+
+def test_second_run_reads_only_new_files(spark, tmp_path):
+    landing, out = _land(tmp_path / "in", _items(30)), str(tmp_path / "out")
+    plain = replace(DEFAULT, enable_topics=False)
+    go = lambda **more: run_landing(spark, landing, out, plain, incremental=True, csv=False, **more)
+    assert ledger.pending(spark, str(tmp_path / "none"), out).count() == 0
+    assert go(run_ts=RUN).records == 60
+    assert [r.path.split("/")[-1] for r in ledger.taken(spark, out).collect()] == ["a.json"]
+    assert not go().success  # nothing landed
+    _land(tmp_path / "in", _items(12, 200), "b.json")
+    pending = ledger.pending(spark, landing, out)
+    assert [r.path.split("/")[-1] for r in pending.collect()] == ["b.json"]
+    read = read_items(spark, [r.path for r in pending.collect()])
+    assert [f.split("/")[-1] for f in read.inputFiles()] == ["b.json"]
+    # Comments are older than the first run: they are kept where late messages are wanted.
+    later = datetime(2024, 12, 1, tzinfo=timezone.utc)
+    result = go(run_ts=later, late=True, merge=True)
+    assert result.success and result.records == 24
+    assert keyed.read(spark, f"{out}/{sinks.STREAMED}").count() == 24
+    assert ledger.taken(spark, out).count() == 2
+    _land(tmp_path / "in", _items(3, 300), "c.json")
+    assert "at least 10" in go(late=True).error  # too little: taken in together with what lands next
+    _land(tmp_path / "in", _items(20, 290), "d.json")
+    result = go(run_ts=later, late=True, merge=True)
+    assert result.records == 40 and keyed.read(spark, f"{out}/{sinks.STREAMED}").count() == 24 + 40
+    assert spark.read.parquet(f"{out}/{sinks.MAIN}.parquet").count() == 24 + 40  # outputs of the whole merged table

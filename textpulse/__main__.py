@@ -9,10 +9,9 @@ from dataclasses import fields
 
 from textpulse.config import DEFAULT
 from textpulse.operators.insights import complaint_counts, insight_summary
-from textpulse.plans.batch import run
+from textpulse.plans.batch import run_landing
 from textpulse.plans.deep import run_deep
 from textpulse.session import get_session
-from textpulse.sources.items import read_items
 from textpulse.sources.sinks import MAIN, STREAMED
 from textpulse.streaming.incremental import start_incremental
 
@@ -22,9 +21,11 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--items", help="landing folder of nested items")
     parser.add_argument("--out", help="output folder")
     parser.add_argument("--multi-line", action="store_true", help="one JSON array per file")
-    parser.add_argument("--incremental", action="store_true", help="only messages after the last run")
+    parser.add_argument("--incremental", action="store_true", help="only new landing files, messages after the last run")
+    parser.add_argument("--late", action="store_true", help="with --incremental: older messages of new files, too")
+    parser.add_argument("--merge", action="store_true", help="merge by id into the keyed table; outputs cover the whole table")
     parser.add_argument("--backfill-only", action="store_true", help="full run over the backfill months")
-    parser.add_argument("--stream", action="store_true", help="merge new landing files into the main dataset's stream table")
+    parser.add_argument("--stream", action="store_true", help="merge new landing files into the keyed table")
     parser.add_argument("--drop-raw", action="store_true", help="leave unredacted text out of the main dataset")
     parser.add_argument("--dry-run", action="store_true", help="check the settings and stop")
     parser.add_argument("--deep-analysis", action="store_true", help="analyse the main dataset")
@@ -52,12 +53,11 @@ def main(argv: list[str] | None = None) -> int:
     if not args.items:
         parser.error("--items is required")
     if args.stream:
-        start_incremental(spark, args.items, f"{args.out}/{STREAMED}.parquet", f"{args.out}/{STREAMED}.checkpoint",
-                          drop_raw=args.drop_raw).awaitTermination()
+        start_incremental(spark, args.items, f"{args.out}/{STREAMED}", f"{args.out}/{STREAMED}.checkpoint",
+                          drop_raw=args.drop_raw, out=args.out).awaitTermination()
         return 0
-    items = read_items(spark, args.items, args.multi_line)
-    return 0 if run(spark, items, args.out, incremental=args.incremental, drop_raw=args.drop_raw,
-                    backfill=args.backfill_only).success else 1
+    return 0 if run_landing(spark, args.items, args.out, incremental=args.incremental, late=args.late, merge=args.merge,
+                            multi_line=args.multi_line, drop_raw=args.drop_raw, backfill=args.backfill_only).success else 1
 
 
 if __name__ == "__main__":

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from textpulse.config import DEFAULT, Settings
 from textpulse.operators import (
     keywords, monthly, pii, preprocess, sentiment, stats, tfidf, threads, topics)
-from textpulse.session import delete, work_dir
-from textpulse.sources import items as item_source, runs, sinks
+from textpulse.session import delete, stage, unstage, work_dir
+from textpulse.sources import items as item_source, keyed, ledger, runs, sinks
 
 
 @dataclass(frozen=True)
@@ -44,17 +44,18 @@ def enrich(df: DataFrame, settings: Settings = DEFAULT, scorer=None, detector=No
 def run(spark: SparkSession, items: DataFrame, out: str, settings: Settings = DEFAULT,
         incremental: bool = False, run_ts: datetime | None = None, csv: bool = True,
         drop_raw: bool = False, backfill: bool = False, scorer=None, detector=None,
-        language=None) -> RunResult:
+        language=None, merge: bool = False) -> RunResult:
     """One run. Too little input fails the run and leaves existing outputs as they are.
 
     The enriched table is written once to the shared work folder; every output reads it
     from there, column-pruned, so the text work runs once and a lost executor costs only
     its own tasks. ``incremental`` keeps messages after the last run; ``backfill`` cuts at
-    ``backfill_months`` before the run.
+    ``backfill_months`` before the run. With ``merge`` the messages are merged by id into the
+    keyed table, an edit replacing what earlier runs had, and the outputs are those of the whole table.
     """
     run_ts = run_ts or datetime.now(timezone.utc)
     stamp = run_ts.isoformat()
-    stage = f"{work_dir(spark)}/run-{uuid.uuid4().hex}"
+    work = f"{work_dir(spark)}/run-{uuid.uuid4().hex}"
     try:
         since = runs.last_run_timestamp(spark, out) if incremental else None
         source = messages(items, run_ts, since)
@@ -62,34 +63,65 @@ def run(spark: SparkSession, items: DataFrame, out: str, settings: Settings = DE
             source = source.where(F.col("timestamp") > F.add_months(
                 F.lit(run_ts), -settings.backfill_months))
         observed = Observation("stages")
-        enrich(source, settings, scorer, detector, language, observed).write.parquet(f"{stage}/enriched")
+        enrich(source, settings, scorer, detector, language, observed).write.parquet(f"{work}/enriched")
         counts = observed.get
         if counts["rows_in"] < settings.min_results:
             raise threads.InsufficientData(
                 f"{counts['rows_in']} rows, at least {settings.min_results} needed")
-        enriched = spark.read.parquet(f"{stage}/enriched")
-        export(spark, enriched, stage, out, settings, run_ts, csv, drop_raw)
+        enriched = spark.read.parquet(f"{work}/enriched")
+        if merge:
+            version = F.lit(int(run_ts.timestamp() * 1e6))
+            keyed.merge(spark, enriched.withColumn("_version", version), f"{out}/{sinks.STREAMED}")
+            enriched = keyed.read(spark, f"{out}/{sinks.STREAMED}").drop("_version")
+        export(spark, enriched, work, out, settings, run_ts, csv, drop_raw)
     except Exception as error:
         sinks.append_run(spark, out, stamp, False, 0, str(error))
         if isinstance(error, threads.InsufficientData):
             return RunResult(False, 0, {}, str(error))
         raise
     finally:
-        delete(spark, stage)
+        delete(spark, work)
     sinks.append_run(spark, out, stamp, True, counts["rows_kept"])
     return RunResult(True, counts["rows_kept"], dict(counts))
 
 
-def export(spark: SparkSession, enriched: DataFrame, stage: str, out: str, settings: Settings,
+def run_landing(spark: SparkSession, landing: str, out: str, settings: Settings = DEFAULT,
+                incremental: bool = False, late: bool = False, multi_line: bool = False,
+                run_ts: datetime | None = None, **options) -> RunResult:
+    """A run over a landing folder that notes the files it took in.
+
+    ``incremental`` reads only files that no earlier run took in; of their messages those after the
+    last run are kept, or all with ``late``, as a message may land after a run though it is older.
+    A run that fails notes nothing, so its files are read again with those that land until then.
+    """
+    files = ledger.pending(spark, landing, out) if incremental else ledger.listing(spark, landing)
+    found = stage(files)  # what is noted is what was read
+    paths = [r.path for r in found.select("path").collect()]  # the reader lists them here, too
+    run_ts = run_ts or datetime.now(timezone.utc)
+    try:
+        if not paths:
+            sinks.append_run(spark, out, run_ts.isoformat(), False, 0, "no new files")
+            return RunResult(False, 0, {}, "no new files")
+        items = item_source.read_items(spark, paths, multi_line)
+        result = run(spark, items, out, settings, incremental and not late, run_ts, **options)
+        if result.success:
+            new = found if incremental else found.join(ledger.taken(spark, out).select(*found.columns), found.columns, "left_anti")
+            ledger.record(new, out, run_ts)
+        return result
+    finally:
+        unstage(found)
+
+
+def export(spark: SparkSession, enriched: DataFrame, work: str, out: str, settings: Settings,
            run_ts: datetime, csv: bool = True, drop_raw: bool = False) -> None:
     """All output tables of an enriched table. The metadata, which is the mark, comes last."""
     assigned = topics.assign_topics(enriched, settings)
     # The assignment is written once: summary and words must see the same topics.
-    assigned.select("id", "clean_text", "sentiment_score", "dominant_topic").write.parquet(f"{stage}/topics")
-    by_topic = spark.read.parquet(f"{stage}/topics")
+    assigned.select("id", "clean_text", "sentiment_score", "dominant_topic").write.parquet(f"{work}/topics")
+    by_topic = spark.read.parquet(f"{work}/topics")
     words = topics.topic_words(topics.topic_top_words(by_topic, settings))
-    words.write.parquet(f"{stage}/words")
-    words = spark.read.schema("topic_id int, words array<string>").parquet(f"{stage}/words")
+    words.write.parquet(f"{work}/words")
+    words = spark.read.schema("topic_id int, words array<string>").parquet(f"{work}/words")
     sinks.write_main(topics.with_topic_keywords(assigned, words), out, csv, drop_raw)
     sinks.write_monthly(monthly.monthly_sentiment(enriched, settings), out)
     sinks.write_negative_keywords(tfidf.negative_keywords(enriched, settings), out)

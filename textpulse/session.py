@@ -52,6 +52,12 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unstage(df: DataFrame) -> None:
+    """Delete the files of a staged table that nothing reads any more."""
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        delete(df.sparkSession, folder)
+
+
 def _path(spark: SparkSession, path: str):
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -68,6 +74,37 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no folder."""
+    hadoop, fs = _path(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(hadoop)] if fs.exists(hadoop) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    hadoop, fs = _path(spark, path)
+    stream = fs.open(hadoop)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all; one that is there already is an error."""
+    hadoop, fs = _path(spark, path)
+    if fs.exists(hadoop):
+        raise FileExistsError(path)
+    attempt, _ = _path(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = fs.create(attempt, False)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    if not fs.rename(attempt, hadoop):
+        raise FileExistsError(path)
+
+
 @functools.cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="textpulse-")

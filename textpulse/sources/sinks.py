@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from textpulse import schemas
 
 MAIN = "reddit_sentiment"
-STREAMED = "reddit_sentiment_stream"
+STREAMED = "reddit_sentiment_keyed"  # read with sources.keyed
 MONTHLY = "sentiment_by_month"
 NEGATIVE = "negative_keywords"
 AUDIT = "pii_audit_log"

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from textpulse.config import DEFAULT, Settings
+from textpulse.operators import stats
 from textpulse.plans.batch import enrich, messages
-from textpulse.session import delete, exists, work_dir
+from textpulse.sources import keyed
 from textpulse.sources.items import parse_lines
-from textpulse.sources.sinks import public_columns, with_month_partition
+from textpulse.sources.sinks import append_run, public_columns, write_metadata
 
 
 def read_item_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -46,61 +46,37 @@ def monthly_counts(stream: DataFrame) -> DataFrame:
         F.avg("sentiment_score").alias("avg_sentiment"))
 
 
-def merge_by_id(spark: SparkSession, batch: DataFrame, target: str, version: str = "_version") -> None:
-    """Upsert into a Parquet table partitioned by ``year_month``: per id the newest row stays.
-
-    Newest is the largest version, then the latest timestamp; rows that agree in both are told
-    apart by their content, so the outcome does not depend on the order of rows.
-    Only months that receive rows or held an older row of a key are rewritten. The merged
-    rows are staged before the target is touched, and repeating a batch gives the same table.
-    """
-    batch = with_month_partition(batch)
-    stage = f"{work_dir(spark)}/merge-{uuid.uuid4().hex}"
-    try:
-        _merge(spark, batch, target, version, stage)
-    finally:
-        delete(spark, stage)
-
-
-def _merge(spark: SparkSession, batch: DataFrame, target: str, version: str, stage: str) -> None:
-    batch.write.parquet(f"{stage}/batch")
-    batch = spark.read.parquet(f"{stage}/batch")
-    merged, months = batch, set()
-    if exists(spark, target):
-        # A fixed schema: partition discovery would guess the type of the month.
-        current = spark.read.schema(batch.schema).parquet(target)
-        held = current.join(batch.select("id").distinct(), "id", "left_semi").select("year_month")
-        # One value per calendar month.
-        months = {r[0] for r in held.union(batch.select("year_month")).distinct().collect()}
-        merged = current.where(F.col("year_month").isin(*months)).unionByName(batch)
-    newest = Window.partitionBy("id").orderBy(F.desc(version), F.desc("timestamp"), F.xxhash64(*sorted(batch.columns)))
-    merged = merged.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
-    merged.write.parquet(f"{stage}/merged")
-    merged = spark.read.schema(batch.schema).parquet(f"{stage}/merged")
-    (merged.hint("rebalance", "year_month").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("year_month").parquet(target))
-    if months:
-        left = {r[0] for r in merged.select("year_month").distinct().collect()}
-        for month in months - left:  # every row moved to another month
-            delete(spark, f"{target}/year_month={month}")
-
-
 def start_incremental(spark: SparkSession, landing: str, target: str, checkpoint: str,
                       settings: Settings = DEFAULT, scorer=None, detector=None,
-                      files_per_trigger: int | None = None, drop_raw: bool = False) -> StreamingQuery:
-    """Processes all new landing files and merges them into the target, then stops.
+                      files_per_trigger: int | None = None, drop_raw: bool = False,
+                      out: str | None = None) -> StreamingQuery:
+    """Processes all new landing files and merges them into the keyed table at ``target``, then stops.
 
     The version of a row is the modification time of its file in microseconds, which outlives a
     checkpoint: an edit wins over older files in the same micro-batch, in an earlier one, and
-    after a restart with a new checkpoint.
+    after a restart with a new checkpoint. With ``out`` every micro-batch adds a line to the run
+    history there, and the metadata, which is the mark, follows a micro-batch of at least
+    ``settings.min_results`` rows; a smaller one is merged, too, as its files are not read again.
     """
     stream = read_item_stream(spark, landing, files_per_trigger)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        rows = messages(with_batch_order(batch), datetime.now(timezone.utc), order=("_age", "_row"), kept=("_age",))
-        rows = enrich(rows, settings, scorer, detector).withColumn("_version", -F.col("_age"))
-        merge_by_id(session, public_columns(rows, drop_raw).drop("_age"), target)
+        session, run_ts = batch.sparkSession, datetime.now(timezone.utc)
+        stamp = run_ts.isoformat()
+        rows = messages(with_batch_order(batch), run_ts, order=("_age", "_row"), kept=("_age",))
+        observed = Observation("stages")
+        rows = enrich(rows, settings, scorer, detector, observation=observed).withColumn("_version", -F.col("_age"))
+        try:
+            keyed.merge(session, public_columns(rows, drop_raw).drop("_age"), target)
+        except Exception as error:
+            if out:
+                append_run(session, out, stamp, False, 0, str(error))
+            raise
+        if out:
+            counts = observed.get
+            if counts["rows_in"] >= settings.min_results:
+                write_metadata(stats.run_metadata(keyed.read(session, target), run_ts, settings), out)
+            append_run(session, out, stamp, True, counts["rows_kept"])
 
     return (stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
