@@ -254,14 +254,15 @@ def _elsewhere(docs: DataFrame, chunks: DataFrame, links: DataFrame, spans: Data
     regions = (met.groupBy("row", "run").agg(F.min("first").alias("first"), F.max(F.col("first") + F.col("words")).alias("last"))
                .filter(F.col("last") - F.col("first") >= min(LEAST_RUN, least_words)))
     windows = stage(_windows(docs, regions, spans, least_words))
-    kept = (windows.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(F.struct("row", "at")).alias("kept"))
-            .filter("n > 1").select("high", "low", F.col("kept.row").alias("kept_row"), F.col("kept.at").alias("kept_at")))
+    # A table of its own: a join of two plain shuffles is one that adaptive execution splits at a hot hash.
+    kept = stage(windows.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(F.struct("row", "at")).alias("kept"))
+                 .filter("n > 1").select("high", "low", F.col("kept.row").alias("kept_row"), F.col("kept.at").alias("kept_at")))
     again = (windows.join(kept, ["high", "low"]).filter((F.col("row") != F.col("kept_row")) | (F.col("at") != F.col("kept_at")))
              .select("row", F.col("at").alias("first"), (F.col("at") + least_words).alias("last"), "kept_row", (F.col("kept_at") - F.col("at")).alias("shift")))
     out = stage(_merged(again, "kept_row", "shift").groupBy("row", "kept_row", "shift", "run")
                 .agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("run"))
-    discard(digests)
-    discard(windows)
+    for table_of in (digests, windows, kept):
+        discard(table_of)
     return out
 
 
