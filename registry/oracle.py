@@ -361,8 +361,9 @@ def tokens(column: str) -> str:
             f"lambda t: NOT list_contains({array(S.stop_words)}, t))")
 
 
-TOPIC_WORDS = SCORED + f""",
-assigned AS (SELECT *, {_TOPIC} AS topic_id FROM scored),
+TOPIC_ASSIGNED = SCORED + f""",
+assigned AS (SELECT *, {_TOPIC} AS topic_id FROM scored)"""
+TOPIC_LISTS = f"""
 words AS (SELECT topic_id, unnest({tokens('clean_text')}) AS term FROM assigned),
 tf AS (SELECT topic_id, term, count(*) AS tf FROM words GROUP BY ALL),
 spread AS (SELECT *, sum(tf) OVER (PARTITION BY term) AS f, count(*) OVER (PARTITION BY term) AS topics FROM tf),
@@ -378,6 +379,25 @@ lists AS (SELECT topic_id, string_agg(term, ', ' ORDER BY rank) AS keywords,
 summary AS (SELECT a.topic_id, count(id) AS post_count, avg(sentiment_score) AS avg_sentiment,
     any_value(l.top_words) AS top_words
   FROM assigned a LEFT JOIN lists l ON a.topic_id = l.topic_id GROUP BY a.topic_id)"""
+TOPIC_WORDS = TOPIC_ASSIGNED + "," + TOPIC_LISTS
+NEAREST = """
+normed AS (SELECT vec_id, label, embedding::DOUBLE[] AS e, sqrt(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS norm FROM embeddings),
+units AS (SELECT vec_id, label, list_transform(e, lambda x: x / norm) AS v FROM normed),
+far AS (SELECT u.vec_id, u.label, c.vec_id AS cluster, round(sqrt(greatest(0, 2 - 2 * list_inner_product(u.v, c.v))), 4) AS d
+        FROM units u, units c WHERE c.vec_id < 5),
+near AS (SELECT * FROM far QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, cluster) = 1),
+sized AS (SELECT *, count(*) OVER (PARTITION BY cluster) AS size, count(*) OVER () AS total,
+          row_number() OVER (PARTITION BY cluster ORDER BY d) AS place FROM near),
+reached AS (SELECT cluster, size, min(d) AS reach FROM sized WHERE size >= greatest(10, total // 100) AND place >= ceil(size * 0.95::DOUBLE)
+            GROUP BY cluster, size),
+numbers AS (SELECT cluster, reach, row_number() OVER (ORDER BY size DESC, cluster) - 1 AS topic FROM reached),
+placed AS (SELECT vec_id, label, CAST(CASE WHEN d <= reach THEN topic ELSE -1 END AS INTEGER) AS dominant_topic
+           FROM near LEFT JOIN numbers USING (cluster))"""
+ORACLE_SQL["topic_from_centres"] = f"WITH {NEAREST} SELECT * FROM placed"
+ORACLE_SQL["topic_chain"] = f"""WITH {SCORED}, {NEAREST},
+assigned AS (SELECT s.*, dominant_topic AS topic_id FROM scored s JOIN placed p ON s.id = p.vec_id::VARCHAR), {TOPIC_LISTS}
+SELECT CAST(topic_id AS BIGINT) AS topic_id, CASE WHEN topic_id = -1 THEN 'Miscellaneous / Outliers' ELSE top_words END AS topic_name,
+       top_words, post_count, {rounded('avg_sentiment')} AS avg_sentiment FROM summary"""
 ORACLE_SQL["topic_count"] = f"""WITH {PREPROCESSED}
 SELECT count(DISTINCT t) FILTER (t <> -1) AS topics FROM (SELECT {_TOPIC} AS t FROM preprocessed)"""
 ORACLE_SQL["topic_top_words"] = f"""WITH {TOPIC_WORDS}

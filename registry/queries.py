@@ -10,6 +10,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from registry import data
@@ -337,6 +338,28 @@ def topic_assign(spark, sf):
     return df.select("vec_id", "label", "dominant_topic")
 
 
+def _by_centres(spark, sf):
+    """Vectors with the topic of the nearest of five of them."""
+    df = _embedded(spark, sf)
+    centres = np.array([r.embedding for r in df.where("vec_id < 5").orderBy("vec_id").collect()], float)
+    return topics.topic_from_centres(df, centres)
+
+
+@query
+def topic_from_centres(spark, sf):
+    return _by_centres(spark, sf).select("vec_id", "label", "dominant_topic")
+
+
+@query
+def topic_chain(spark, sf):
+    """Topics of vectors, then words, names and sizes of these topics from the documents that share their ids."""
+    assigned = stage(_by_centres(spark, sf).select(F.col("vec_id").cast("string").alias("id"), "dominant_topic"))
+    df = stage(data.scored(spark, sf).select("id", "clean_text", "sentiment_score").join(assigned, "id"))
+    return topics.topic_summary(df, _topic_words(df)).select(
+        F.col("topic_id").cast("long").alias("topic_id"), "topic_name", "top_words", "post_count",
+        rounded("avg_sentiment").alias("avg_sentiment"))
+
+
 @query
 def topic_assign_text(spark, sf):
     df = stage(data.preprocessed(spark, sf).select("id", "clean_text"))

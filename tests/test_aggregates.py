@@ -4,6 +4,7 @@ from collections import Counter
 from dataclasses import replace
 from datetime import datetime
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -135,27 +136,55 @@ def test_topics(spark):
     rng = random.Random(5)
     rows = [(str(i), " ".join(rng.choices(words[i % 3].split(), k=8)), 0.1 * (i % 3)) for i in range(120)]
     df = spark.createDataFrame(rows, "id string, clean_text string, sentiment_score double")
-    config = replace(DEFAULT, topic_count=3)
-    out = topics.assign_topics(df, config)
-    again = {r.id: r.dominant_topic for r in topics.assign_topics(df, config).collect()}
+    out = topics.assign_topics(df)
+    again = {r.id: r.dominant_topic for r in topics.assign_topics(df).collect()}
     got = {r.id: r.dominant_topic for r in out.collect()}
     assert got == again and len(got) == 120
     sizes = Counter(got.values())
     assert all(n >= 10 for t, n in sizes.items() if t != topics.OUTLIER)
-    found = topics.topic_words(topics.topic_top_words(out, config, min_topics=1))
-    for row in found.collect():
+    found = topics.topic_words(topics.topic_top_words(out, min_topics=1))
+    assert len({t for t in got.values() if t >= 0}) == 3 and sizes[topics.OUTLIER] <= 6
+    for row in found.where(F.col("topic_id") != topics.OUTLIER).collect():
         assert any(set(row["words"]) <= set(w.split()) for w in words.values())
     summary = topics.topic_summary(out, found).collect()
     assert sum(r.post_count for r in summary) == 120
     named = topics.with_topic_keywords(out, found)
     assert named.columns[-1] == "topic_keywords" and named.where("topic_keywords is null").isEmpty()
-    few = topics.assign_topics(df.limit(49), config)
+    few = topics.assign_topics(df.limit(49))
     assert few.where("dominant_topic is not null").isEmpty()
     assert topics.topic_summary(few, found).isEmpty()
-    blank = topics.assign_topics(df.withColumn("clean_text", F.lit("")), config)
+    blank = topics.assign_topics(df.withColumn("clean_text", F.lit("")))
     assert blank.count() == 120 and blank.where("dominant_topic is not null").isEmpty()
 
 
+def test_as_many_topics_as_the_data_have(spark):
+    draw = np.random.default_rng(4)
+
+    def found(groups, each=150, strays=0):
+        middles = draw.standard_normal((groups, 16)) * 4
+        rows = np.concatenate([middles.repeat(each, axis=0) + draw.standard_normal((groups * each, 16)), 30 * draw.standard_normal((strays, 16))])
+        df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "id long, embedding array<double>")
+        out = {r.id: r.dominant_topic for r in topics.assign_topics(df, embedding="embedding").collect()}
+        return [Counter(out[i] for i in range(g * each, (g + 1) * each)) for g in range(groups)]
+
+    for groups in (1, 2, 7):
+        parts = found(groups)
+        main = [part.most_common(1)[0] for part in parts]
+        assert len({topic for topic, _ in main}) == groups and all(topic >= 0 and n >= 0.85 * 150 for topic, n in main)
+        assert all(set(part) <= {topic, topics.OUTLIER} for part, (topic, _) in zip(parts, main))
+
+
+def test_topics_from_centres(spark):
+    rows = [(i, [1.0, 0.01 * i]) for i in range(20)] + [(100 + i, [0.01 * i, 2.0]) for i in range(40)] + [
+        (200, None), (201, [0.0, 0.0]), (202, [float("nan"), 1.0]), (203, [-1.0, 0.0])]
+    df = spark.createDataFrame(rows, "id long, embedding array<double>")
+    got = {r.id: r.dominant_topic for r in topics.topic_from_centres(df, np.array([[5.0, 0.0], [0.0, 1.0], [-1.0, 0.0]])).collect()}
+    # By size: the second centre's rows are topic 0. The farthest twentieth, the small cluster and rows without a vector are outliers.
+    assert [got[i] for i in range(20)] == [1] * 19 + [-1] and [got[100 + i] for i in range(40)] == [0] * 38 + [-1] * 2
+    assert {got[i] for i in (200, 201, 202, 203)} == {-1}
+    assert topics.topic_from_centres(df.limit(0), np.eye(2)).count() == 0
+
+
 def test_run_stats_round_half_even_and_empty(spark):
     schema = "sentiment_label string, mentions_oregon boolean, mentions_partner boolean, pii_count int"
     df = spark.createDataFrame([("Positive" if i < 49 else "Negative", i < 3, False, i % 2) for i in range(400)], schema)

@@ -238,7 +238,6 @@ class Settings:
     # topics
     enable_topics: bool = True
     topic_min_rows: int = 50
-    topic_count: int = 10
     topic_seed: int = 42
     topic_top_words: int = 10
 

@@ -2,71 +2,108 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import HashingTF, IDF, Normalizer
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textpulse.config import DEFAULT, Settings
 from textpulse.functions.plan import keep_columns
 from textpulse.functions.text import title_case
+from textpulse.operators import clusters
 from textpulse.operators.tfidf import term_tokens
 
 OUTLIER = -1
-HASHED_TERMS = 1 << 16  # positions of a text vector; k centres of so many numbers are held at once
+HASHED_TERMS = 1 << 16  # positions of a text vector; a hundred centres of so many numbers are held at once
+TOPIC_QUANTILE = 0.95  # share of a topic's rows, the nearest ones, that belong to it
 
 
-def _features(df: DataFrame, settings: Settings, embedding: str | None) -> DataFrame | None:
-    """``df`` with unit vectors; None if no text has a term. All terms count, whatever their number:
-    they are hashed, so no vocabulary is gathered."""
-    if embedding:
-        vectors = df.withColumn("_raw", array_to_vector(F.col(embedding).cast("array<double>")))
-        return Normalizer(inputCol="_raw", outputCol="_features").transform(vectors).drop("_raw")
-    tokens = df.withColumn("_tokens", term_tokens(F.col("clean_text"), settings.stop_words))
-    if tokens.where(F.size("_tokens") > 0).isEmpty():
-        return None
-    counts = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=HASHED_TERMS).transform(tokens)
-    weighted = IDF(inputCol="_tf", outputCol="_tfidf", minDocFreq=2).fit(counts).transform(counts)
-    return Normalizer(inputCol="_tfidf", outputCol="_features").transform(weighted).drop(
-        "_tokens", "_tf", "_tfidf")
+def _dense(values: pa.Array) -> clusters.Vectors:
+    """Rows of a column of embeddings; NULL, empty and not finite ones count as zero."""
+    rows = [r if r is not None and None not in r else [] for r in values.to_pylist()]
+    matrix = np.zeros((len(rows), max(map(len, rows), default=0)))
+    for own, row in zip(matrix, rows):
+        if len(row) == matrix.shape[1]:
+            own[:] = row
+    matrix[~np.isfinite(matrix).all(axis=1)] = 0
+    return clusters.Vectors(matrix)
+
+
+def _term_positions(settings: Settings) -> Column:
+    """Terms of ``clean_text`` as positions. All terms count, whatever their number: they are hashed, so no vocabulary is gathered."""
+    tokens = term_tokens(F.col("clean_text"), settings.stop_words)
+    return F.transform(tokens, lambda t: F.pmod(F.xxhash64(t), F.lit(HASHED_TERMS)).cast("int"))
+
+
+def _weighted(idf: np.ndarray):
+    """TF-IDF vectors of lists of positions."""
+    def vectors(values: pa.Array) -> clusters.Vectors:
+        lists = values.fill_null([])
+        row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+        position = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        key, count = np.unique(row * HASHED_TERMS + position, return_counts=True)
+        row, position = key // HASHED_TERMS, key % HASHED_TERMS
+        ptr = np.searchsorted(row, np.arange(len(lists) + 1))
+        return clusters.Vectors(count * idf[position], position, ptr, HASHED_TERMS)
+
+    return vectors
+
+
+def topic_from_centres(df: DataFrame, centres: np.ndarray, embedding: str = "embedding", quantile: float = TOPIC_QUANTILE) -> DataFrame:
+    """Adds ``dominant_topic`` by the nearest of some centres, which are made unit vectors.
+
+    Topics are numbered from 0 by falling size; -1 marks rows without a vector, of small clusters, and
+    farther from their centre than ``quantile`` of the cluster's rows.
+    """
+    unit = centres / np.maximum(np.sqrt((centres * centres).sum(axis=1, keepdims=True)), 1e-300)
+    return _assigned(df, F.col(embedding).cast("array<double>"), _dense, unit, quantile)
+
+
+def _assigned(df: DataFrame, column: Column, vectors, centres: np.ndarray, quantile: float) -> DataFrame:
+    found = clusters.with_nearest(df, column, vectors, centres)
+    return clusters.with_topics(found, clusters.topic_numbers(found.select("_cluster", "_distance"), quantile), OUTLIER)
 
 
 def assign_topics(df: DataFrame, settings: Settings = DEFAULT, embedding: str | None = None,
-                  max_iter: int = 20) -> DataFrame:
+                  quantile: float = TOPIC_QUANTILE, sample: int = clusters.SAMPLE) -> DataFrame:
     """Adds ``dominant_topic``, numbered from 0 by falling size; -1 marks outliers.
 
-    Vectors are TF-IDF of ``clean_text`` or a column of precomputed embeddings. Clusters of
-    fewer than ``max(10, rows / 100)`` messages are outliers; the model looks for
-    ``settings.topic_count`` clusters. Fewer than ``topic_min_rows`` messages, no text with a
-    term, or topics switched off give NULL.
-    Fits a seeded k-means model, which runs Spark jobs.
+    Vectors are TF-IDF of ``clean_text`` or a column of precomputed embeddings. There are as many
+    topics as the data have: a tree fitted on about ``sample`` rows cuts a group in two while its
+    halves stand apart and neither has fewer than ``max(10, rows / 100)`` messages. All rows go
+    to the nearest leaf; small leaves and the rows beyond ``quantile`` of a leaf's distances are
+    outliers, and so are rows without a term. Fewer than ``topic_min_rows`` messages, no text with a
+    term, or topics switched off give NULL. Runs Spark jobs.
     """
     unassigned = df.withColumn("dominant_topic", F.lit(None).cast("int"))
     enough = settings.enable_topics and (
         df.limit(settings.topic_min_rows).count() >= settings.topic_min_rows)
     if not enough:
         return unassigned
-    features = _features(df, settings, embedding)
-    if features is None:
+    if embedding:
+        column, vectors = F.col(embedding).cast("array<double>"), _dense
+        total = df.count()
+    else:
+        column = _term_positions(settings)
+        # A row per position, and one, -1, that counts the texts.
+        seen = (df.select(F.explode(F.concat(F.array(F.lit(-1)), F.array_distinct(column))).alias("position"))
+                .groupBy("position").agg(F.count(F.lit(1)).alias("n")).collect())
+        found = {r.position: r.n for r in seen}
+        total = found.pop(-1, 0)
+        idf = np.zeros(HASHED_TERMS)
+        for position, n in found.items():
+            idf[position] = np.log((total + 1) / (n + 1)) if n > 1 else 0.0
+        if not idf.any():
+            return unassigned
+        vectors = _weighted(idf)
+    # Vectors of the sample and a hundred centres at most are held here.
+    share = min(1.0, sample / max(1, total))
+    some = df.select(column.alias("_vector")).sample(share, settings.topic_seed).toArrow().column("_vector").combine_chunks()
+    rows = vectors(some)
+    least = max(10 * share, rows.count / 100)
+    centres = clusters.splitting_tree(rows, least, settings.topic_seed)
+    if not len(centres):
         return unassigned
-    training = features.select("_features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # The block solver fails where fewer than k vectors are distinct.
-        model = KMeans(k=settings.topic_count, seed=settings.topic_seed, maxIter=max_iter, solver="row",
-                       featuresCol="_features", predictionCol="_cluster").fit(training)
-        # k rows: the size of every cluster.
-        sizes = model.transform(training).groupBy("_cluster").count().collect()
-    finally:
-        training.unpersist()
-    minimum = max(10, sum(r["count"] for r in sizes) // 100)
-    ranked = sorted((r for r in sizes if r["count"] >= minimum),
-                    key=lambda r: (-r["count"], r["_cluster"]))
-    topic = F.lit(OUTLIER)
-    for number, row in enumerate(ranked):
-        topic = F.when(F.col("_cluster") == row["_cluster"], number).otherwise(topic)
-    return (model.transform(features).withColumn("dominant_topic", topic.cast("int"))
-            .drop("_features", "_cluster"))
+    return _assigned(df, column, vectors, centres, quantile)
 
 
 def topic_top_words(df: DataFrame, settings: Settings = DEFAULT, min_topics: int = 2) -> DataFrame:
