@@ -250,6 +250,7 @@ SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i, j) AS position
        trim(text, {SPACE_TEXT}) AS text, CAST(score AS BIGINT) AS score, source AS subreddit, type,
        CAST(created_at AS BIGINT) AS created_at FROM every"""
 ORACLE_SQL["landing_threads"] = f"SELECT * EXCLUDE (doc_id) FROM ({ORACLE_SQL['flatten_threads']})"
+ORACLE_SQL["landing_arrays"] = ORACLE_SQL["landing_threads"]
 ORACLE_SQL["dedupe_first"] = """
 SELECT md5(text) AS id, min(doc_id) AS doc_id, arg_min(source, doc_id) AS subreddit FROM documents GROUP BY md5(text)"""
 

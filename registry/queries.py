@@ -11,6 +11,7 @@ from dataclasses import replace
 from datetime import datetime
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from registry import data
@@ -70,6 +71,25 @@ def landing_threads(spark, sf):
                        F.try_variant_get("timestamp", "$", "bigint").alias("created_at"))
 
 
+@query
+def landing_arrays(spark, sf):
+    """As ``landing_threads`` from files that hold an array of items each, read in splits."""
+    def arrays(batches):
+        gap = "["
+        for batch in batches:
+            lines = batch.column("value").to_pylist()
+            yield pa.record_batch([pa.array([(gap if i == 0 else ",") + line for i, line in enumerate(lines)], pa.string())], ["value"])
+            gap = "," if lines else gap
+        yield pa.record_batch([pa.array(["[]" if gap == "[" else "]"], pa.string())], ["value"])
+
+    path = _folder(spark, "landing")
+    data.item_lines(data.items(spark, sf)).select("value").mapInArrow(arrays, "value string").write.text(path)
+    flat = threads.flatten_threads(item_source.read_items(spark, path, multi_line=True), item_source.ORDER)
+    order = Window.partitionBy(*item_source.ORDER).orderBy("place")
+    return flat.select(F.row_number().over(order).cast("long").alias("position"), "id", "parent_id", "text", "score", "subreddit", "type",
+                       F.try_variant_get("timestamp", "$", "bigint").alias("created_at"))
+
+
 @query
 def src_processed(spark, sf):
     df = pii.redact_pii(data.flagged(spark, sf), SETTINGS)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from textpulse.operators import threads
 from textpulse.schemas import MESSAGE
+from textpulse.sources import arrays
 from textpulse.sources.items import ORDER, read_items
 
 RUN = datetime(2025, 1, 1, tzinfo=timezone.utc)
@@ -75,6 +76,30 @@ def _chain(depth):
     return nested
 
 
+@pytest.mark.parametrize("indent", [None, 1])
+def test_array_files_are_read_in_splits(spark, tmp_path, indent):
+    rng, counter = random.Random(3), [0]
+    items = [{"id": f"p{i}", "title": f'quote " brace }} {{ [ back\\slash \\" é {i}', "body": "x" * rng.choice([0, 10, 9000]),
+              "comments": _tree(rng, 5, counter)} for i in range(300)]
+    (tmp_path / "one.json").write_text(" \n" + json.dumps(items, indent=indent, ensure_ascii=False) + "\n")
+    (tmp_path / "two.json").write_text(json.dumps([1, "a{", [{"id": "nested"}], items[0], None, items[1]]))
+    (tmp_path / "none.json").write_text("[]")
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for name in names:
+            spark.conf.set(name, "20000")
+        assert arrays._segments(spark, str(tmp_path)).rdd.getNumPartitions() > 20
+        read = read_items(spark, str(tmp_path), multi_line=True).orderBy(*ORDER).collect()
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
+    got = {name: [r for r in read if r._file.endswith(name)] for name in ("one.json", "two.json", "none.json")}
+    assert [r.id for r in got["one.json"]] == [i["id"] for i in items]
+    assert all((r.title, r.body) == (i["title"], i["body"]) and json.loads(r.comments) == i["comments"] for r, i in zip(got["one.json"], items))
+    assert [r.id for r in got["two.json"]] == ["p0", "p1"] and not got["none.json"]
+
+
 def _thread(spark, comments):
     nulls = {"title": "string", "body": "string", "createdAt": "variant", "upVotes": "long",
              "downVotes": "long", "subredditName": "string", "url": "string", "author": "string"}

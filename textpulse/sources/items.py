@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from textpulse.functions.brackets import NONE, scan
 from textpulse.functions.plan import compute_once
 from textpulse.schemas import ITEM, JSON_OPTIONS, PROCESSED
+from textpulse.sources.arrays import read_array_lines
 
 # Input order: file, split within the file, row within the split. A split is read by one
 # task in file order, so the growing row number is right within it.
@@ -66,10 +67,11 @@ def read_items(spark: SparkSession, path: str | list[str], multi_line: bool = Fa
     """Items of a landing folder, or of a list of files, with their input order.
 
     JSON lines are read in parallel splits. ``multi_line`` reads files that hold one JSON
-    array each; such a file is one task, so large loads should use lines. Comments stay
-    JSON text until they are flattened.
+    array each, in parallel splits, too, by two passes. Comments stay JSON text until they are flattened.
     """
-    lines = spark.read.text(path, wholetext=multi_line).select(
+    if multi_line:
+        return parse_lines(read_array_lines(spark, path))
+    lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
     return parse_lines(lines).withColumn("_row", F.monotonically_increasing_id())
 
