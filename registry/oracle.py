@@ -436,6 +436,9 @@ order_messages AS (
   FROM order_scores)""" + monthly("order_messages")
 ORACLE_SQL["monthly_orders"] = f"""WITH {_ORDERS}
 SELECT year_month, total_posts, {_STATS}, oregon_mentions, partner_mentions, positive_count, negative_count FROM months"""
+ORACLE_SQL["monthly_state"] = f"""WITH {_ORDERS}
+SELECT year_month, total_posts, {_STATS}, {rolling(3)} AS rolling_3mo_sentiment, oregon_mentions, partner_mentions,
+       positive_count, negative_count FROM months"""
 for _k in (3, 6, 12):
     ORACLE_SQL[f"rolling_{_k}mo"] = f"""WITH {_ORDERS}
 SELECT year_month, {rolling(_k)} AS rolling_{_k}mo_sentiment FROM months"""

@@ -22,7 +22,7 @@ from textpulse.operators import (
     insights, joins, keywords, monthly, pii, preprocess, sentiment, stats, tfidf, threads, topics)
 from textpulse.session import stage, work_dir
 from textpulse.sources import items as item_source, keyed, ledger, runs, sinks
-from textpulse.streaming import incremental as stream
+from textpulse.streaming import incremental as stream, state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TIME = "yyyy-MM-dd HH:mm:ss"
@@ -474,6 +474,18 @@ def monthly_orders(spark, sf):
         "oregon_mentions", "partner_mentions", "positive_count", "negative_count")
 
 
+@query
+def monthly_state(spark, sf):
+    """The series of three batches that were added to a stored state, one of them twice."""
+    path, rows = _folder(spark, "state"), _order_messages(spark, sf)
+    for batch in (0, 1, 1, 2):
+        state.add_batch(spark, rows.where(F.pmod(F.col("id").cast("long"), F.lit(3)) == batch), path, batch)
+    return state.monthly_series(spark, path, SETTINGS).select(
+        "year_month", "total_posts",
+        *[rounded(f"{s}_sentiment").alias(f"{s}_sentiment") for s in ("avg", "median", "std", "rolling_3mo")],
+        "oregon_mentions", "partner_mentions", "positive_count", "negative_count")
+
+
 def _rolling(months):
     column = f"rolling_{months}mo_sentiment"
     return lambda spark, sf: monthly.monthly_sentiment(_order_messages(spark, sf), SETTINGS).select(

@@ -9,12 +9,13 @@ import pytest
 from textpulse.__main__ import main
 from textpulse.config import DEFAULT
 from textpulse.operators.insights import complaint_counts
+from textpulse.operators.monthly import monthly_sentiment
 from textpulse.plans.batch import run, run_landing
 from textpulse.plans.deep import run_deep
 from textpulse.session import work_dir
 from textpulse.sources import keyed, ledger, runs, sinks
 from textpulse.sources.items import read_items, read_processed_csv
-from textpulse.streaming import incremental as stream
+from textpulse.streaming import incremental as stream, state
 
 RUN = datetime(2024, 6, 1, tzinfo=timezone.utc)
 
@@ -292,3 +293,23 @@ def test_second_run_reads_only_new_files(spark, tmp_path):
     result = go(run_ts=later, late=True, merge=True)
     assert result.records == 40 and keyed.read(spark, f"{out}/{sinks.STREAMED}").count() == 24 + 40
     assert spark.read.parquet(f"{out}/{sinks.MAIN}.parquet").count() == 24 + 40  # outputs of the whole merged table
+
+
+def test_monthly_state_of_batches_equals_one(spark, tmp_path, monkeypatch):
+    draw, path = random.Random(8), str(tmp_path / "state")
+    rows = [(str(i), f"2024-{1 + i % 14:02d}" if i % 14 < 12 else None, None if i % 9 == 0 else round(draw.uniform(-1, 1), 6),
+             draw.choice(["Positive", "Negative", "Neutral", None]), i % 3 == 0, i % 5 == 0) for i in range(500)]
+    frame = lambda own: spark.createDataFrame(own, "id string, year_month string, sentiment_score double, sentiment_label string, "
+                                                   "mentions_oregon boolean, mentions_partner boolean")
+    near = lambda df: [tuple(round(v, 7) if isinstance(v, float) else v for v in r) for r in df.orderBy("year_month").collect()]
+    assert state.monthly_series(spark, path).isEmpty()
+    assert state.add_batch(spark, frame(rows[:200]), path, 0)
+    with monkeypatch.context() as broken:
+        broken.setattr(state, "write_text", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            state.add_batch(spark, frame(rows[200:]), path, 1)
+    assert near(state.monthly_series(spark, path)) == near(monthly_sentiment(frame(rows[:200])))
+    assert state.add_batch(spark, frame(rows[200:450]), path, 1) and not state.add_batch(spark, frame(rows[200:450]), path, 1)
+    assert state.add_batch(spark, frame(rows[450:]), path, 7)
+    assert near(state.monthly_series(spark, path)) == near(monthly_sentiment(frame(rows)))
+    assert len([n for n in os.listdir(path) if n.startswith("state-")]) == 2

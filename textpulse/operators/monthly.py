@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 from textpulse.config import DEFAULT, Settings
 from textpulse.functions.plan import keep_columns
 
-# Score bins for the median: scores lie in [-1, 1], other values fall into the end bins.
-_BINS = 2000
+# Score bins for the median: scores lie in [-1, 1], other values fall into the end bins. So many that
+# the bins of a month are few enough for one task, and the scores of a bin, too.
+_BINS = 200_000
+PLACES = 6  # digits of a score in a stored state
+STATE = ("year_month", "sentiment_score", "sentiment_label")
 ROLLING = (3, 6, 12)
 
 
@@ -24,12 +27,16 @@ def with_calendar(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
 
 def _score_counts(df: DataFrame) -> DataFrame:
     """(month, score, label) with row counts; ``_bin`` is -1 for rows without a score."""
-    position = f"least({_BINS - 1}, greatest(0, cast(floor((sentiment_score + 1) * {_BINS / 2}) as int)))"
     counts = (df.where("year_month is not null")
               .groupBy("year_month", "sentiment_score", "sentiment_label").agg(
                   F.expr("count(1) as _n"), F.expr("count(id) as _ids"),
                   F.expr("count_if(mentions_oregon) as _region"),
                   F.expr("count_if(mentions_partner) as _partner")))
+    return _binned(counts)
+
+
+def _binned(counts: DataFrame) -> DataFrame:
+    position = f"least({_BINS - 1}, greatest(0, cast(floor((sentiment_score + 1) * {_BINS / 2}) as int)))"
     # Both readers of the counts must ask for the same columns to share one shuffle.
     return keep_columns(counts).withColumn("_bin", F.expr(
         f"if(sentiment_score is null, -1, {position})"))
@@ -78,7 +85,30 @@ def monthly_sentiment(df: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     result has one row per calendar month, at most some thousand given the range of
     timestamps, so its rows may be broadcast.
     """
-    counts = _score_counts(df)
+    return _series(_score_counts(df), settings)
+
+
+def monthly_state(df: DataFrame) -> DataFrame:
+    """What a batch adds to the monthly series: row counts per month, score and label.
+
+    Scores keep ``PLACES`` digits, so a month has two million scores at most, however many rows it
+    has. States of batches are added up by ``added``; the series of the sum is that of all rows.
+    """
+    rounded = F.round("sentiment_score", PLACES) + F.lit(0.0)  # no negative zero
+    return _score_counts(df.withColumn("sentiment_score", rounded)).drop("_bin")
+
+
+def added(states: DataFrame) -> DataFrame:
+    """One state from those of several batches."""
+    return states.groupBy(*STATE).agg(*[F.sum(c).alias(c) for c in ("_n", "_ids", "_region", "_partner")])
+
+
+def monthly_from_state(state: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
+    """The monthly series, median and rolling means included, from an added-up state."""
+    return _series(_binned(state), settings)
+
+
+def _series(counts: DataFrame, settings: Settings) -> DataFrame:
     stats = _month_stats(counts)
     middle = (counts.select("year_month", "_bin", "sentiment_score", "_n")
               .join(F.broadcast(stats), "year_month").where("_bin in (_low_bin, _high_bin)")
