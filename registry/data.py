@@ -109,6 +109,26 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("["), F.array_join(comments, ","), F.lit("]")).alias("comments"), "doc_id")
 
 
+#: Shapes of text dates: how a time is written, and what of it is left.
+TIME_SHAPES = (
+    ("yyyy/MM/dd", "day"), ("d MMMM yyyy", "day"), ("MMM d, yyyy h:mm a", "minute"), ("MMMM d, yyyy 'at' h:mm a", "minute"),
+    ("dd-MMM-yyyy HH:mm:ss", "second"), ("M/d/yy", "day"), ("M-d-yyyy H:mm", "minute"), ("yyyy.MM.dd HH:mm", "minute"),
+    ("yyyyMMdd'T'HHmmss", "second"), ("yyyyMMdd'T'HHmmss'Z'", "second"), ("EEEE, d MMMM yyyy h:mm a", "minute"),
+    ("'never on' EEEE", None), ("EEE, dd MMM yyyy HH:mm:ss 'GMT'", "second"), ("yyyy MMM d HH:mm", "minute"),
+    ("MMM yyyy", "month"), ("yyyy/M/d H:mm:ss", "second"), ("d. MMMM yyyy", "day"), ("MMM. d, yyyy", "day"), ("d'th' MMM yyyy", "day"),
+    ("yyyy-M-d", "day"), ("yyyy-MM-dd'T'HH:mm:ss'+00:00'", "second"), ("d MMM yy ha", "hour"), ("MM.dd.yyyy, HH:mm", "minute"),
+    ("yyyy/MM/dd'T'HH:mm:ss'Z'", "second"), ("'week' w 'of' yyyy", None),
+)
+
+
+def time_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event times in as many shapes."""
+    ts, kind = F.col("ts").cast("timestamp"), F.col("event_id") % len(TIME_SHAPES)
+    written = F.coalesce(*[F.when(kind == i, F.date_format(ts, pattern) if "w" not in pattern else F.concat(
+        F.lit("week "), F.weekofyear(ts), F.lit(" of "), F.year(ts))) for i, (pattern, _) in enumerate(TIME_SHAPES)])
+    return table(spark, sf_dir, "events").select("event_id", written.alias("timestamp"))
+
+
 def item_lines(items: DataFrame) -> DataFrame:
     """``doc_id, value``: each item as one JSON text with its comments nested, as a landing file has it."""
     own = F.to_json(F.struct("id", "title", "body", F.col("doc_id").alias("createdAt"), "upVotes", "downVotes", "subredditName", "url", "author"))

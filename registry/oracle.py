@@ -6,7 +6,7 @@ steps are common table expressions that each statement lists first.
 
 from __future__ import annotations
 
-from registry.data import ALUMNI_PHRASES, SETTINGS
+from registry.data import ALUMNI_PHRASES, SETTINGS, TIME_SHAPES
 from textpulse.functions.spans import END, START, default_patterns
 from textpulse.operators.insights import COMPLAINTS
 
@@ -261,6 +261,16 @@ SELECT event_id, CASE event_type
     WHEN 'signup' THEN date_trunc('second', ts) - INTERVAL '5 hours 30 minutes' END AS ts FROM events)"""
 ORACLE_SQL["parse_ts"] = _PARSED + """
 SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts FROM parsed"""
+_SHAPE = f"event_id % {len(TIME_SHAPES)}"
+_LEFT = " ".join(f"WHEN {i} THEN date_trunc('{left}', ts)" for i, (_, left) in enumerate(TIME_SHAPES) if left)
+_LOST = [i for i, (_, left) in enumerate(TIME_SHAPES) if not left]
+ORACLE_SQL["parse_ts_shapes"] = f"""
+SELECT event_id, strftime(CASE {_SHAPE} {_LEFT} END, '%Y-%m-%d %H:%M:%S') AS ts FROM events"""
+ORACLE_SQL["unreadable_ts"] = f"""WITH texts AS (
+  SELECT CASE {_SHAPE} WHEN {_LOST[0]} THEN 'never on ' || dayname(ts) ELSE 'week ' || weekofyear(ts) || ' of ' || year(ts) END AS text
+  FROM events WHERE {_SHAPE} IN ({_LOST[0]}, {_LOST[1]}))
+SELECT regexp_replace(regexp_replace(text, '[0-9]', '9', 'g'), '[A-Za-z]+', 'a', 'g') AS shape, count(*) AS rows, min(text) AS example
+FROM texts GROUP BY ALL"""
 ORACLE_SQL["impute_ts"] = _PARSED + """
 SELECT event_id, strftime(coalesce(ts, TIMESTAMP '2025-01-01'), '%Y-%m-%d %H:%M:%S') AS ts,
        ts IS NULL AS timestamp_imputed FROM parsed"""

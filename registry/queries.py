@@ -141,6 +141,16 @@ def parse_ts(spark, sf):
     return threads.parse_timestamps(_raw_times(spark, sf)).select("event_id", as_text("timestamp").alias("ts"))
 
 
+@query
+def parse_ts_shapes(spark, sf):
+    return threads.parse_timestamps(data.time_texts(spark, sf)).select("event_id", as_text("timestamp").alias("ts"))
+
+
+@query
+def unreadable_ts(spark, sf):
+    return threads.unreadable_timestamps(data.time_texts(spark, sf))
+
+
 @query
 def impute_ts(spark, sf):
     df = threads.impute_timestamps(threads.parse_timestamps(_raw_times(spark, sf)), RUN_TS)

@@ -78,6 +78,35 @@ def test_parse_text(column):
                    "2024-03-15 10:00:00", None, None, None]
 
 
+SHAPES = [
+    ("2024/03/15", "2024-03-15 00:00:00"), ("15 March 2024", "2024-03-15 00:00:00"), ("Mar 15, 2024 10:30 PM", "2024-03-15 22:30:00"),
+    ("March 15th, 2024 at 9:05 am", "2024-03-15 09:05:00"), ("15-Mar-2024 23:59:59", "2024-03-15 23:59:59"),
+    ("15/03/2024", "2024-03-15 00:00:00"), ("3/5/24", "2024-03-05 00:00:00"), ("3-5-1999 7:08", "1999-03-05 07:08:00"),
+    ("2024.03.15 10:30", "2024-03-15 10:30:00"), ("20240315T103045", "2024-03-15 10:30:45"), ("20240315T103045Z", "2024-03-15 10:30:45"),
+    ("Friday, 15 March 2024 12:00 AM", "2024-03-15 00:00:00"), ("Fri Mar 15 2024 12:30 p.m.", "2024-03-15 12:30:00"),
+    ("Fri, 15 Mar 2024 10:00:00 +0530", "2024-03-15 04:30:00"), ("2024 Mar 15 10:00 -03", "2024-03-15 13:00:00"),
+    ("Mar 2024", "2024-03-01 00:00:00"), ("2024/3/5 1:02:03.456", "2024-03-05 01:02:03"), ("15. September 2024", "2024-09-15 00:00:00"),
+    ("Sept. 5, 2024", "2024-09-05 00:00:00"), ("1st Jan 2024 10:00 UTC", "2024-01-01 10:00:00"), ("2024-3-5", "2024-03-05 00:00:00"),
+    ("2024-03-15T10:00:00.123456789+00:00", "2024-03-15 10:00:00"), ("15 mar 24 6pm", "2024-03-15 18:00:00"),
+    ("03.15.2024, 10:30", "2024-03-15 10:30:00"), ("2024/03/15T10:30:00+02:00", "2024-03-15 08:30:00"),
+    ("2024/02/30", None), ("2024/13/13", None), ("15 Foo 2024", None), ("2024/03/15 25:00", None), ("13/13/2024", None),
+    ("Mar 15", None), ("Mar 15, 2024 13:00 PM", None), ("1|2|3", None), ("|" * 30, None), ("yesterday", None), ("10:30", None)]
+
+
+def test_dates_of_many_shapes(column):
+    got = column(lambda c: F.date_format(timestamps.parse_text(c), "yyyy-MM-dd HH:mm:ss"), [text for text, _ in SHAPES])
+    assert dict(zip([text for text, _ in SHAPES], got)) == dict(SHAPES)
+
+
+def test_unreadable_times_are_counted(spark):
+    from textpulse.operators.threads import unreadable_timestamps
+    rows = [("soon",), ("later",), ("99/99/2024",), ("2024-01-01",), (None,), ("12",)]
+    found = {r.shape: (r.rows, r.example) for r in unreadable_timestamps(spark.createDataFrame(rows, "timestamp string")).collect()}
+    assert found == {"a": (2, "later"), "99/99/9999": (1, "99/99/2024")}
+    variants = spark.createDataFrame([('"soon"',), ("true",), ("null",), ("5",)], "j string").select(F.parse_json("j").alias("timestamp"))
+    assert sorted((r.shape, r.rows) for r in unreadable_timestamps(variants).collect()) == [("a", 2)]
+
+
 def test_parse_variant(column):
     got = column(lambda c: F.date_format(timestamps.parse_variant(F.parse_json(c)), "yyyy-MM-dd HH:mm:ss"), [
         "1641852316", '"1641852316"', "-5", "1.641852316e9", "true", "null", "{}", '"2024-03-15"', "1641852316000"])

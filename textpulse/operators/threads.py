@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from textpulse.functions.brackets import walk
 from textpulse.functions.plan import compute_once
 from textpulse.functions.text import strip
-from textpulse.functions.timestamps import parse_text, parse_variant
+from textpulse.functions.timestamps import parse_text, parse_variant, shape
 from textpulse.schemas import COMMENT, JSON_OPTIONS
 
 ROWS, CHARACTERS = 4_096, 4 << 20  # comments, and their text, that are sent on at a time
@@ -112,6 +112,21 @@ def parse_timestamps(df: DataFrame, column: str = "timestamp") -> DataFrame:
     return compute_once(df, **{column: parse_variant(raw) if variant else parse_text(raw)})
 
 
+def unreadable_timestamps(df: DataFrame, column: str = "timestamp") -> DataFrame:
+    """``shape, rows, example``: raw timestamps that are there but cannot be read, counted by what they look like.
+
+    For a look at what imputation would hide. One aggregation with partial sums; the example is the
+    least of the texts.
+    """
+    raw = F.col(column)
+    variant = df.schema[column].dataType.typeName() == "variant"
+    text = F.coalesce(F.try_variant_get(raw, "$", "string"), F.to_json(raw)) if variant else raw
+    rows = compute_once(df.select(raw), _parsed=parse_variant(raw) if variant else parse_text(raw), _text=text)
+    return (rows.where(F.col("_text").isNotNull() & (F.col("_text") != "null") & F.col("_parsed").isNull())
+            .groupBy(F.left(shape(F.col("_text")), F.lit(40)).alias("shape"))
+            .agg(F.count(F.lit(1)).alias("rows"), F.min("_text").alias("example")))
+
+
 def impute_timestamps(df: DataFrame, run_ts: datetime, column: str = "timestamp") -> DataFrame:
     """NULL timestamps become the run time and are flagged in ``timestamp_imputed``."""
     ts = F.col(column)
