@@ -16,8 +16,9 @@ SPACE = "\t-\r \x85\xa0  -     　"
 #: White space at which a piece between blanks cannot be cut by line ends alone.
 IRREGULAR = re.compile("^\n|\n$|\n\n|[" + SPACE.replace("\t-\r ", "\t\x0b-\r ") + "]|^$")
 UNITS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-KEPT_PIECES = 400_000  # encoded pieces between blanks of a generation; a worker keeps two
-SLICE_BYTES = 4 << 20  # text that is encoded at a time
+KEPT_PIECES, KEPT_BYTES = 800_000, 16 << 20  # encoded pieces between blanks that a worker keeps, and their bytes
+LONG_PIECE = 64  # bytes; longer pieces are not kept
+SLICE_BYTES = 8 << 20  # text that is encoded at a time
 MARKS = ".,;:!?"
 #: Byte-level vocabularies write printable bytes as themselves and the others, in order, from U+0100 on.
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -42,8 +43,22 @@ class Encoder:
         #: White space is part of the ids, or only parts the words.
         self.spaced = bool(self.direct(" "))
         self.marks = {mark: self.direct(mark) for mark in MARKS + "\n"}
-        self.pieces: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        letters = "ABCXYZ abcxyz 0189 .,;:!?'\"-"
+        #: Whether normalising means no more to ASCII than lower case.
+        self.lowers = bool(self.normalizer) and self.normalizer.normalize_str(letters) == letters.lower()
+        self.known = self._table([], [])
+
+    def _table(self, pieces: list[str], ids: list[bytes | None]):
+        """Pieces, which of them are irregular, starts and sizes of their ids, the ids in a row."""
+        sizes = np.fromiter((len(x or b"") for x in ids), np.int64, len(ids)) // self.dtype.itemsize
+        odd = np.fromiter((x is None for x in ids), bool, len(ids))
+        return (pa.array(pieces, pa.string()), odd, np.cumsum(sizes) - sizes, sizes,
+                np.frombuffer(b"".join(x or b"" for x in ids), self.dtype))
+
+    @staticmethod
+    def _both(a, b):
+        return (pa.concat_arrays([a[0], b[0]]), np.concatenate([a[1], b[1]]), np.concatenate([a[2], b[2] + len(a[4])]),
+                np.concatenate([a[3], b[3]]), np.concatenate([a[4], b[4]]))
 
     def _bytes(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{self.form}", *ids)
@@ -53,7 +68,9 @@ class Encoder:
 
     def word(self, lead: str, word: str) -> bytes:
         """Ids of a run of letters, which the patterns keep whole: straight from the vocabulary's merges."""
-        if self.normalizer:
+        if self.lowers and word.isascii():
+            word = word.lower()
+        elif self.normalizer:
             whole, word = word, self.normalizer.normalize_str(word)
             if not word.isalpha():  # a letter that is written in lower case with a mark
                 return self.direct(lead + whole)
@@ -70,7 +87,7 @@ class Encoder:
         if unit[-1:] in self.marks and head.isascii() and head.isalpha():
             # A letter run ends before punctuation, so both parts are encoded by themselves. (Lower
             # case can turn other letters into a letter and a mark, which would join the punctuation.)
-            return (lead and self.pieces.get(head) or self.word(lead, head)) + self.marks[unit[-1]]
+            return self.word(lead, head) + self.marks[unit[-1]]
         return self.direct(lead + unit)
 
     def encode(self, text: str | None) -> bytes:
@@ -93,7 +110,7 @@ class Encoder:
         return self.marks["\n"].join([self.unit(lead, first), *[self.unit("", line) for line in others]])
 
     def encode_all(self, texts: pa.Array) -> list[bytes]:
-        """Ids of each text. Distinct pieces of a slice are looked up once; the rest is array work."""
+        """Ids of each text. Pieces met before are looked up as arrays, new ones are encoded once."""
         out, at = [], 0
         texts = texts.fill_null("")
         ends = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
@@ -104,35 +121,56 @@ class Encoder:
         return out
 
     def _encode_slice(self, texts: pa.Array) -> list[bytes]:
+        if self.lowers:  # as the normaliser would later, but before equal pieces are told apart
+            texts = pc.ascii_lower(texts)
         split = pc.split_pattern(texts, " ")
         begins = split.offsets.to_numpy().astype(np.int64)
-        coded = split.values.dictionary_encode()
-        codes, pieces = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        ids = list(map(self.pieces.get, pieces))
-        for i, known in enumerate(ids):
-            if known is None:
-                piece = pieces[i]
-                ids[i] = known = self.older.get(piece) or self._piece(piece, True)
-                if known is not None:
-                    self.pieces[piece] = known
-        if len(self.pieces) > KEPT_PIECES:
-            self.older, self.pieces = self.pieces, {}
-        irregular = np.fromiter((x is None for x in ids), bool, len(ids))
-        ids = [x or b"" for x in ids]
+        values = split.values
+        codes = pc.index_in(values, self.known[0])
+        table = self.known
+        if codes.null_count:
+            strange = values.filter(codes.is_null()).unique()
+            long = pc.greater(pc.binary_length(strange), LONG_PIECE)
+            # Long pieces stand behind the others, so that the table is cut where they begin.
+            strange = pa.concat_arrays([strange.filter(pc.invert(long)), strange.filter(long)])
+            pieces = strange.to_pylist()
+            table = self._both(table, self._table(pieces, [self._piece(piece, True) for piece in pieces]))
+            fresh = pc.add(pc.index_in(values, strange), len(self.known[0]))
+            codes = pc.coalesce(codes, fresh)
+            codes = codes.to_numpy().astype(np.int64)
+            self._keep(table, codes, len(table[0]) - pc.sum(long).as_py())
+        codes = np.asarray(codes, np.int64)
+        _, irregular, starts, sizes, stored = table
         width = self.dtype.itemsize
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // width
-        starts = np.cumsum(sizes) - sizes
         counts = sizes[codes]
         after = np.concatenate([[0], np.cumsum(counts)])
         source = np.repeat(starts[codes] - after[:-1], counts) + np.arange(after[-1])
-        stream = np.frombuffer(b"".join(ids), self.dtype)[source].tobytes()
+        stream = stored[source].tobytes()
         odd = np.concatenate([[0], np.cumsum(irregular[codes])])[begins]
         # The first piece has no blank before it.
         edges = (after * width)[begins].tolist()
         seconds = (after * width)[np.minimum(begins[:-1] + 1, begins[1:])].tolist()
-        firsts = [pieces[c] for c in codes[begins[:-1]]]
-        return [self.encode(texts[i].as_py()) if strange else self._piece(firsts[i], False) + stream[seconds[i]:edges[i + 1]]
-                for i, strange in enumerate((np.diff(odd) > 0).tolist())]
+        if self.spaced:
+            firsts = values.take(pa.array(begins[:-1])).to_pylist()
+            return [self.encode(texts[i].as_py()) if strange else (head or b"") + stream[seconds[i]:edges[i + 1]]
+                    for i, (strange, head) in enumerate(zip((np.diff(odd) > 0).tolist(), map(self._first, firsts)))]
+        return [stream[low:high] for low, high in zip(edges, edges[1:])]
+
+    def _first(self, piece: str) -> bytes:
+        """Ids of a text's first piece; those of an irregular one do not matter, as the text is encoded whole."""
+        return self._piece(piece, False) or b""
+
+    def _keep(self, table, codes: np.ndarray, count: int) -> None:
+        """The table's first ``count`` pieces for the slices to come; if they are too many, those that this slice has."""
+        pieces, odd, starts, sizes, stored = table
+        kept = np.arange(len(pieces)) < count
+        if count > KEPT_PIECES or pc.sum(pc.binary_length(pieces.slice(0, count))).as_py() > KEPT_BYTES:
+            met = np.zeros(len(pieces), bool)
+            met[codes] = True
+            kept &= met
+        sizes = np.where(kept, sizes, 0)[kept]
+        source = np.repeat(starts[kept] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        self.known = (pieces.filter(pa.array(kept)), odd[kept], np.cumsum(sizes) - sizes, sizes, stored[source])
 
 
 @functools.cache

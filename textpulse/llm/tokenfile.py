@@ -17,6 +17,8 @@ from textpulse.llm.encode import encoded
 
 LENGTH = 2048  # ids of a sequence
 SEQUENCES = 32  # sequences of a batch; every batch but a file's last has so many
+UNKNOWN = 1 << 60  # a table that is no file counts as endless in Spark's estimates
+FILE_BYTES = 256 << 20  # bytes of the documents table that go into a file, at most about
 
 
 class TokenWriter:
@@ -138,8 +140,11 @@ def write_tokens(docs: DataFrame, tokenizer: str, uri: str, end_id: int = 1, len
     row = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     # The hash and the row number part rows of equal ids, which would else share one file.
     keys = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text").asc(), F.monotonically_increasing_id().asc()]
-    sized = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    ranged = row.repartitionByRange(int(sized), *keys).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    # No fewer files than the session has partitions, and more as the table grows: a file is one task.
+    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    needed = -(-size // FILE_BYTES) if size < UNKNOWN else 1
+    count = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), needed)
+    ranged = row.repartitionByRange(count, *keys).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = None
@@ -171,7 +176,9 @@ def read_tokens(manifest: DataFrame, uri: str) -> DataFrame:
                                           ["doc_id", "start", "n_tokens", "ids"])
 
     files = manifest.select("file", "base")
-    spread = files.repartition(int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # As many tasks as the session has partitions, and no more than about four files in each.
+    count = max(int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")), manifest.count() // 4)
+    spread = files.repartition(count)
     return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
