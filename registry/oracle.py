@@ -409,6 +409,22 @@ ORACLE_SQL["topic_chain"] = f"""WITH {SCORED}, {NEAREST},
 assigned AS (SELECT s.*, dominant_topic AS topic_id FROM scored s JOIN placed p ON s.id = p.vec_id::VARCHAR), {TOPIC_LISTS}
 SELECT CAST(topic_id AS BIGINT) AS topic_id, CASE WHEN topic_id = -1 THEN 'Miscellaneous / Outliers' ELSE top_words END AS topic_name,
        top_words, post_count, {rounded('avg_sentiment')} AS avg_sentiment FROM summary"""
+ORACLE_SQL["sentiment_fitted"] = f"""WITH {PREPROCESSED},
+words AS (SELECT id, unnest({tokens('clean_text')}) AS term FROM preprocessed),
+tf AS (SELECT id, term, count(*) AS tf FROM words GROUP BY ALL),
+top AS (SELECT term, sum(tf) AS total, count(*) AS docs FROM tf GROUP BY term ORDER BY total DESC, term LIMIT 300),
+model AS (SELECT term, 1 + 1 / docs AS idf, CAST(length(term) % 3 - 1 AS DOUBLE) AS neg, ascii(term) % 5 / 4.0::DOUBLE AS neu,
+          length(term) % 4 - 1.5::DOUBLE AS pos FROM top),
+valued AS (SELECT id, tf * idf AS v, neg, neu, pos FROM tf JOIN model USING (term)),
+dots AS (SELECT id, 0.1::DOUBLE + coalesce(sum(v * neg) / sqrt(sum(v * v)), 0) AS a, -0.2::DOUBLE + coalesce(sum(v * neu) / sqrt(sum(v * v)), 0) AS b,
+         coalesce(sum(v * pos) / sqrt(sum(v * v)), 0) AS c FROM preprocessed LEFT JOIN valued USING (id) GROUP BY id),
+shares AS (SELECT id, exp(a) / (exp(a) + exp(b) + exp(c)) AS neg, exp(b) / (exp(a) + exp(b) + exp(c)) AS neu,
+           exp(c) / (exp(a) + exp(b) + exp(c)) AS pos FROM dots),
+labelled AS (SELECT s.id, CASE WHEN clean_text = '' THEN 'Neutral' WHEN neg >= neu AND neg >= pos THEN 'Negative'
+             WHEN neu >= pos THEN 'Neutral' ELSE 'Positive' END AS sentiment_label,
+             CASE WHEN clean_text = '' THEN 0 ELSE greatest(neg, neu, pos) END AS confidence FROM shares s JOIN preprocessed USING (id))
+SELECT id, {rounded("CASE sentiment_label WHEN 'Positive' THEN confidence WHEN 'Negative' THEN -confidence ELSE 0 END")} AS sentiment_score,
+       sentiment_label, {rounded('confidence')} AS sentiment_confidence FROM labelled"""
 ORACLE_SQL["topic_count"] = f"""WITH {PREPROCESSED}
 SELECT count(DISTINCT t) FILTER (t <> -1) AS topics FROM (SELECT {_TOPIC} AS t FROM preprocessed)"""
 ORACLE_SQL["topic_top_words"] = f"""WITH {TOPIC_WORDS}

@@ -19,7 +19,7 @@ from registry.data import RUN_TS, SETTINGS
 from textpulse.functions import text
 from textpulse.functions.spans import is_whitelisted
 from textpulse.operators import (
-    insights, joins, keywords, monthly, pii, preprocess, sentiment, stats, tfidf, threads, topics)
+    fitted, insights, joins, keywords, monthly, pii, preprocess, sentiment, stats, tfidf, threads, topics)
 from textpulse.session import stage, work_dir
 from textpulse.sources import items as item_source, keyed, ledger, runs, sinks
 from textpulse.streaming import incremental as stream, state
@@ -332,6 +332,22 @@ def pii_whitelisted_words(spark, sf):
         is_whitelisted(F.col("line"), ("er", "the resident", "dr. house"), m).alias(m) for m in ("substring", "word")])
 
 
+@query
+def sentiment_fitted(spark, sf):
+    """Scores of a fitted model's form: weights by a rule for the most frequent terms, saved and loaded."""
+    df = stage(data.preprocessed(spark, sf).select("id", "clean_text"))
+    top = (tfidf.term_statistics(df, SETTINGS.stop_words).where(F.col("term") != "").orderBy(F.desc("total"), "term").limit(300)
+           .select("term", (F.lit(1.0) + 1 / F.col("docs")).alias("idf"), (F.length("term") % 3 - 1).cast("double").alias("neg"),
+                   (F.ascii("term") % 5 / 4.0).alias("neu"), (F.length("term") % 4 - 1.5).cast("double").alias("pos")))
+    end = spark.range(1).select(F.lit(None).cast("string").alias("term"), F.lit(None).cast("double").alias("idf"),
+                                F.lit(0.1).alias("neg"), F.lit(-0.2).alias("neu"), F.lit(0.0).alias("pos"))
+    path = _folder(spark, "model")
+    fitted.Model.of(top.union(end)).save(spark, path)
+    out = sentiment.analyze_sentiment(df, SETTINGS, fitted.Model.load(spark, path).scorer(SETTINGS))
+    return out.select("id", rounded("sentiment_score").alias("sentiment_score"), "sentiment_label",
+                      rounded("sentiment_confidence").alias("sentiment_confidence"))
+
+
 @query
 def redact_text(spark, sf):
     return data.protected(spark, sf).select("id", "redacted_text")

@@ -1,6 +1,8 @@
+import random
 from dataclasses import replace
 from datetime import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,3 +136,39 @@ def test_patterns_accept_what_their_signs_reject_nowhere(spark):
                                     "3/4/21", "2024-01-31", "tomorrow", "Mr. Brown"])
 def test_pattern_samples(spark, sample):
     assert _redact(spark, [f"see {sample} ok"], replace(DEFAULT, pii_whitelist=()))[0].redacted_text == "see [REDACTED] ok"
+
+
+def test_fitted_scorer(spark, tmp_path):
+    from textpulse.operators import fitted
+    draw = random.Random(4)
+    words = {"Negative": "awful pain lost unfair rude".split(), "Neutral": "table window seven street paper".split(),
+             "Positive": "great kind happy bright thanks".split()}
+    common = "clinic doctor week people town".split()
+
+    def rows(n, labels=fitted.LABELS):
+        out = []
+        for i in range(n):
+            label = labels[i % len(labels)]
+            text = " ".join(draw.choices(words[label], k=draw.randint(2, 3)) + draw.choices(common, k=6) + draw.choices(sum(words.values(), []), k=1))
+            out.append((i, text, label))
+        return spark.createDataFrame(out + [(-1, "odd label", "Other"), (-2, None, "Neutral")], "id long, clean_text string, label string")
+
+    model = fitted.fit(rows(600))
+    held = sentiment.analyze_sentiment(rows(300).where("id >= 0"), scorer=model.scorer())
+    assert held.where("label = sentiment_label").count() >= 270
+    model.save(spark, str(tmp_path / "model"))
+    again = sentiment.analyze_sentiment(held.drop("sentiment_score"), scorer=fitted.Model.load(spark, str(tmp_path / "model")).scorer())
+    first, second = ({r.id: (r.sentiment_label, round(r.sentiment_score, 9)) for r in df.collect()} for df in (held, again))
+    assert first == second
+    # Blank texts stay neutral without confidence; texts of unknown words get what the intercepts say.
+    odd = sentiment.analyze_sentiment(spark.createDataFrame([(1, ""), (2, "zzz qqq")], "id long, clean_text string"), scorer=model.scorer())
+    blank, unknown = odd.orderBy("id").collect()
+    shares = np.exp(model.intercept) / np.exp(model.intercept).sum()
+    assert (blank.sentiment_label, blank.sentiment_confidence) == ("Neutral", 0.0)
+    assert unknown.sentiment_confidence == pytest.approx(shares.max()) and unknown.sentiment_label == fitted.LABELS[shares.argmax()]
+    two = sentiment.analyze_sentiment(rows(60), scorer=fitted.fit(rows(200, ("Negative", "Positive")).where("id >= 0")).scorer())
+    assert {r.sentiment_label for r in two.where("clean_text IS NOT NULL").collect()} == {"Negative", "Positive"}
+    assert sentiment.analyze_sentiment(rows(0).where("id > 0"), scorer=model.scorer()).count() == 0
+    with pytest.raises(ValueError, match="no labelled"):
+        fitted.fit(rows(30).where("label = 'Other'"))
+    assert fitted.Model.of(spark.createDataFrame([], model.table(spark).schema)).terms == []
