@@ -311,6 +311,15 @@ _MATCH = ("the", "on", "on the", "of the", "the of", "With", "from", "to be")
 ORACLE_SQL["keyword_match"] = f"""WITH {CLEANED},
 m AS (SELECT id, {matched('whole_text', _MATCH)} AS matches FROM cleaned)
 SELECT id, len(matches) > 0 AS found, array_to_string(matches, '|') AS matches FROM m"""
+ORACLE_SQL["keyword_table"] = f"""WITH {CLEANED},
+asked AS (SELECT regexp_extract_all({clean("text")}, '\\w+') AS w FROM benchmark),
+terms AS (SELECT DISTINCT unnest(w) AS term FROM asked
+          UNION SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM asked WHERE len(w) > 1),
+runs AS (SELECT id, regexp_extract_all(whole_text, '\\w+|[^\\w]+') AS r FROM cleaned),
+held AS (SELECT id, unnest(r) AS term FROM runs
+         UNION SELECT id, unnest(list_transform(list_filter(range(1, len(r) - 1), lambda i: r[i + 1] = ' '), lambda i: r[i] || ' ' || r[i + 2])) FROM runs),
+met AS (SELECT id, count(*) AS n, string_agg(term, '|' ORDER BY term) AS matches FROM held JOIN terms USING (term) GROUP BY id)
+SELECT id, n IS NOT NULL AS found, coalesce(n, 0) AS n, md5(coalesce(matches, '')) AS matches FROM cleaned LEFT JOIN met USING (id)"""
 for _name, _column in {
         "flag_region": "mentions_oregon", "flag_partner": "mentions_partner",
         "flag_faculty": "mentions_faculty", "flag_attrition": "mentions_attrition",

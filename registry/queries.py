@@ -245,6 +245,17 @@ def keyword_match(spark, sf):
     return df.select("id", "found", F.array_join("matches", "|").alias("matches"))
 
 
+@query
+def keyword_table(spark, sf):
+    """All words and neighbouring pairs of words of the benchmark as terms."""
+    parts = text.words(F.col("clean_text"))
+    items = data.table(spark, sf, "benchmark").select(text.clean_text(F.col("text")).alias("clean_text"))
+    pairs = F.zip_with(F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0))), F.slice(parts, 2, F.size(parts)), lambda a, b: F.concat_ws(" ", a, b))
+    terms = items.select(F.explode(F.concat(parts, pairs)).alias("term"))
+    df = keywords.match_term_table(data.cleaned(spark, sf), terms)
+    return df.select("id", "found", F.size("matches").cast("long").alias("n"), F.md5(F.array_join("matches", "|")).alias("matches"))
+
+
 def _flag(name):
     return lambda spark, sf: keywords.flag_keywords(data.cleaned(spark, sf), SETTINGS).select("id", name)
 

@@ -1,7 +1,9 @@
+import random
 import re
 from dataclasses import replace
 
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from textpulse.config import DEFAULT, SEARCH_TERMS
 from textpulse.functions import terms, text
@@ -65,3 +67,27 @@ def test_every_category_agrees_with_python(spark):
 def test_counts(spark):
     df = spark.createDataFrame([(1, "so portland"), (2, "x")], "id int, clean_text string")
     assert keywords.keyword_counts(keywords.flag_keywords(df)).first() == (1, 1)
+
+
+def test_a_table_of_terms_matches_like_a_list(spark):
+    draw = random.Random(2)
+    vocabulary = [f"w{i}" for i in range(60)] + ["c++", "don't", "u.s", "é", "a-b"]
+    texts = [draw.choice([" ", ", ", "-", "  "]).join(draw.choices(vocabulary, k=draw.randint(0, 12))) for _ in range(80)] + [None, "", "w1w2 w1 w2", "...!"]
+    listed = vocabulary + [" ".join(draw.choices(vocabulary, k=2)) for _ in range(200)] + ["w1 w2", "w1, w2", "w1-w2", "W1", "w1.", "unheard of", "w5 unheard"]
+    rows = [(str(i) if i % 7 else None, t) for i, t in enumerate(texts)] + [("1", "w3 w4"), ("1", "w3 w4")]
+    df = spark.createDataFrame(rows, "id string, clean_text string").repartition(3)
+    terms = spark.createDataFrame([(t,) for t in [*listed, *listed[:5], None, "", "!"]], "term string")
+    order = lambda out: sorted((r.id or "", r.clean_text or "", r.found, sorted(r.matches)) for r in out.collect())
+    assert order(keywords.match_term_table(df, terms)) == order(keywords.match_keywords(df, tuple(dict.fromkeys(listed))))
+    assert {(r.found, tuple(r.matches)) for r in keywords.match_term_table(df, terms.limit(0)).collect()} == {(False, ())}
+    assert keywords.match_term_table(df.limit(0), terms).count() == 0
+
+
+def test_a_hundred_thousand_terms(spark):
+    terms = spark.range(100_000).select(F.concat(F.lit("term"), F.col("id"), F.when(F.col("id") % 2 == 0, " of").otherwise("")).alias("term"))
+    df = spark.createDataFrame([(str(i), f"the term{i} of term{i + 1} off") for i in range(300)], "id string, clean_text string")
+    out = keywords.match_term_table(df, terms)
+    assert "term99999" not in out._jdf.queryExecution().toString()
+    for r in out.collect():
+        i = int(r.id)
+        assert r.matches == sorted([f"term{i} of"] if i % 2 == 0 else [f"term{i}"]) + ([f"term{i + 1}"] if i % 2 == 0 else [])

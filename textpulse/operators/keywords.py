@@ -27,6 +27,37 @@ def match_keywords(df: DataFrame, terms, text: str = "clean_text",
     return compute_once(df, **columns).withColumn(found, F.size(matches) > 0)
 
 
+def match_term_table(df: DataFrame, terms: DataFrame, text: str = "clean_text", key: str = "id",
+                     found: str = "found", matches: str = "matches") -> DataFrame:
+    """As ``match_keywords`` for a table of any number of terms; ``matches`` are in order of the terms.
+
+    A term is looked for only in texts that hold its rarest word: words of texts and terms meet in
+    joins, and a text gets the few candidates that it may hold back by its key, to be verified on the
+    text at word borders. No term enters the plan, and terms are broadcast only where Spark finds
+    them small. Rows of one key are verified one by one; a term without a word character, an empty
+    and a NULL one are never found.
+    """
+    given = terms.select("term").where("term IS NOT NULL").distinct().withColumn("_words", words(F.col("term")))
+    parts = given.select("term", F.explode(F.array_distinct("_words")).alias("word"))
+    held = df.select(F.col(key).alias("_key"), F.explode(F.array_distinct(words(F.col(text)))).alias("word"))
+    # How many rows hold a word, for the words of terms alone.
+    common = held.join(parts.select("word").distinct(), "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    # A term with a word that no text holds is in no text.
+    rarest = (parts.join(common, "word", "left").groupBy("term")
+              .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word")).alias("rare"))
+              .where("rare.n > 0").select("term", F.col("rare.word").alias("word")))
+    candidates = held.join(rarest, "word").groupBy("_key").agg(F.collect_set("term").alias("_terms"))  # bounded by the text's words
+    rows = df.join(candidates, F.col(key).eqNullSafe(F.col("_key")), "left")
+
+    def stands(term: Column) -> Column:
+        escaped = F.regexp_replace(term, r"([^\w\s])", r"\\$1")
+        pattern = F.concat(F.lit(r"(?U)\b"), escaped, F.lit(r"\b"))
+        return F.contains(F.col(text), term) & F.rlike(F.col(text), pattern)
+
+    verified = F.array_sort(F.coalesce(F.filter("_terms", stands), F.array().cast("array<string>")))
+    return compute_once(rows, **{matches: verified}).drop("_key", "_terms").withColumn(found, F.size(matches) > 0)
+
+
 def category_column(text: Column, tokens: Column, settings: Settings) -> Column:
     """Names of all categories with a matching term, comma-joined; ``other`` without any."""
     names = F.concat_ws(",", *[
