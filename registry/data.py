@@ -129,6 +129,24 @@ def time_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", written.alias("timestamp"))
 
 
+def letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text per customer that names them, their nation, a phone number, an address and a day."""
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    digits = lambda count: F.lpad((F.col("c_custkey") % 10 ** count).cast("string"), count, "0")
+    phone = F.concat(F.lit("206-"), digits(3), F.lit("-"), digits(4))
+    day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("c_custkey") % 366).cast("int")), "yyyy-MM-dd")
+    return table(spark, sf_dir, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_custkey").cast("string").alias("id"), F.concat(
+            F.lit("Dear all, "), "c_name", F.lit(" from "), "n_name", F.lit(" can be called at "), phone, F.lit(" or written to under u"),
+            "c_custkey", F.lit("@example.org since "), day, F.lit(".")).alias("original_text"))
+
+
+def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as persons, nations as places."""
+    names = lambda name, column, kind: table(spark, sf_dir, name).select(F.lit(kind).alias("entity_type"), F.col(column).alias("name"))
+    return names("customer", "c_name", "PERSON").union(names("nation", "n_name", "LOCATION"))
+
+
 def item_lines(items: DataFrame) -> DataFrame:
     """``doc_id, value``: each item as one JSON text with its comments nested, as a landing file has it."""
     own = F.to_json(F.struct("id", "title", "body", F.col("doc_id").alias("createdAt"), "upVotes", "downVotes", "subredditName", "url", "author"))

@@ -201,6 +201,17 @@ kept AS (
   SELECT *, start_ + size_ AS end_ FROM spans
   WHERE NOT regexp_matches(lower(value), {text('|'.join(escape(w) for w in SETTINGS.pii_whitelist))}))"""
 
+ORACLE_SQL["pii_gazetteer"] = """WITH
+parts AS (SELECT c_custkey::VARCHAR AS id, c_name AS person, n_name AS place,
+          '206-' || lpad((c_custkey % 1000)::VARCHAR, 3, '0') || '-' || lpad((c_custkey % 10000)::VARCHAR, 4, '0') AS phone, 'u' || c_custkey || '@example.org' AS mail,
+          strftime(DATE '2024-01-01' + (c_custkey % 366)::INTEGER, '%Y-%m-%d') AS day FROM customer JOIN nation ON c_nationkey = n_nationkey),
+starts AS (SELECT *, length('Dear all, ') AS a, a + length(person) + length(' from ') AS b, b + length(place) + length(' can be called at ') AS c,
+           c + length(phone) + length(' or written to under ') AS d, d + length(mail) + length(' since ') AS e FROM parts)
+SELECT id, 'PERSON' AS entity_type, a AS start, a + length(person) AS "end", 0.85::DOUBLE AS confidence FROM starts
+UNION ALL SELECT id, 'LOCATION', b, b + length(place), 0.85 FROM starts
+UNION ALL SELECT id, 'PHONE_NUMBER', c, c + length(phone), 0.75 FROM starts
+UNION ALL SELECT id, 'EMAIL_ADDRESS', d, d + length(mail), 1.0 FROM starts
+UNION ALL SELECT id, 'DATE_TIME', e, e + 10, 0.6 FROM starts"""
 REDACTED = SPANS + """,
 ordered AS (SELECT *, max(end_) OVER (PARTITION BY doc_id ORDER BY start_, end_, entity_type
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM kept),

@@ -328,6 +328,15 @@ def pii_spans(spark, sf):
         "id", "entity_type", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "confidence")
 
 
+@query
+def pii_gazetteer(spark, sf):
+    """Spans of all five types: patterns, and names of the tables themselves."""
+    plain = replace(SETTINGS, pii_whitelist=(), given_names=(), place_names=())
+    both = pii.several(pii.pattern_detector(plain), pii.gazetteer_detector(data.gazetteer(spark, sf)))
+    return pii.with_spans(data.letters(spark, sf), plain, both).select("id", F.inline("pii_spans")).select(
+        "id", "entity_type", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "confidence")
+
+
 @query
 def pii_whitelist(spark, sf):
     df = pii.with_spans(preprocess.with_original_text(data.messages(spark, sf)), SETTINGS)

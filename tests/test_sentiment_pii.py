@@ -172,3 +172,21 @@ def test_fitted_scorer(spark, tmp_path):
     with pytest.raises(ValueError, match="no labelled"):
         fitted.fit(rows(30).where("label = 'Other'"))
     assert fitted.Model.of(spark.createDataFrame([], model.table(spark).schema)).terms == []
+
+
+def test_gazetteer_takes_the_longest_name(spark):
+    names = spark.createDataFrame([
+        ("LOCATION", "New York"), ("LOCATION", "New York City"), ("PERSON", "Ann"), ("PERSON", "Ann O'Neil-Smith"), ("LOCATION", "Paris"),
+        ("PERSON", "Paris"), ("PERSON", " "), (None, "x"), ("PERSON", None), ("PERSON", "Łukasz"), *((("PERSON", f"Name{i} Of {i}") for i in range(5000)))],
+        "entity_type string, name string")
+    texts = ["Ann met Ann O'Neil-Smith and Anna in New  York City, not New York.", "Paris", "Name77 Of 77 and Name77 Of 78", None, "", "Łukasz ann"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, original_text string")
+    found = pii.with_spans(df, replace(DEFAULT, pii_whitelist=()), pii.gazetteer_detector(names))
+    got = {r.id: [(texts[r.id][s.start:s.end], s.entity_type) for s in r.pii_spans] for r in found.collect()}
+    assert got == {0: [("Ann", "PERSON"), ("Ann O'Neil-Smith", "PERSON"), ("New  York City", "LOCATION"), ("New York", "LOCATION")],
+                   1: [("Paris", "LOCATION"), ("Paris", "PERSON")], 2: [("Name77 Of 77", "PERSON")], 3: [], 4: [], 5: [("Łukasz", "PERSON")]}
+    with pytest.raises(ValueError, match="more than 100 names"):
+        pii.gazetteer_detector(names, limit=100)
+    both = pii.several(pii.pattern_detector(DEFAULT), pii.gazetteer_detector(names.limit(4)))
+    row = pii.redact_pii(df.limit(1), replace(DEFAULT, pii_whitelist=()), both).first()
+    assert "New" not in row.redacted_text and row.pii_types == "LOCATION,PERSON"

@@ -99,7 +99,11 @@ def detect_spans(text: Column, patterns) -> Column:
     if not patterns:
         return F.array().cast(SPANS)
     text = F.coalesce(text, F.lit(""))
-    found = F.concat(*[pattern_spans(text, p) for p in patterns])
+    return in_order(F.concat(*[pattern_spans(text, p) for p in patterns]))
+
+
+def in_order(found: Column) -> Column:
+    """Spans by position, the longer of two that begin together first."""
     ordered = F.array_sort(F.transform(found, lambda s: F.struct(
         s["start"].alias("start"), (-s["end"]).alias("longest"),
         s["entity_type"].alias("entity_type"), s["confidence"].alias("confidence"))))

@@ -11,14 +11,18 @@ from datetime import datetime
 from typing import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textpulse.config import DEFAULT, Settings
+from textpulse.functions.gazetteer import Trie
 from textpulse.functions.plan import compute_once
-from textpulse.functions.spans import default_patterns, detect_spans, drop_whitelisted, redact
+from textpulse.functions.spans import default_patterns, detect_spans, drop_whitelisted, in_order, redact
 from textpulse.schemas import SPANS
 
 Detector = Callable[[Column], Column]
+MAX_NAMES = 1_000_000  # of a gazetteer; a trie of so many takes some hundred megabytes of a worker
+_ARROW_SPANS = pa.list_(pa.struct([("entity_type", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("confidence", pa.float64())]))
 
 
 def pattern_detector(settings: Settings = DEFAULT) -> Detector:
@@ -43,6 +47,31 @@ def model_detector(load: Callable[[], Callable[[str], list]]) -> Detector:
     return lambda text: detect(text)
 
 
+def gazetteer_detector(names: DataFrame, confidence: float = 0.85, limit: int = MAX_NAMES) -> Detector:
+    """Detector of the names in a table ``entity_type, name``, case-sensitive, at token borders.
+
+    Of names that begin at one place the longest counts. The trie goes to every worker once, so
+    more than ``limit`` names raise ValueError; a text is read in one pass, whatever their number.
+    """
+    rows = names.where("entity_type IS NOT NULL AND trim(name) <> ''").select("entity_type", "name").distinct().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"more than {limit} names")
+    trie = names.sparkSession.sparkContext.broadcast(Trie((r.entity_type, r.name) for r in rows))
+
+    @F.arrow_udf(SPANS)
+    def detect(texts: pa.Array) -> pa.Array:
+        find = trie.value.find
+        return pa.array([[{"entity_type": kind, "start": start, "end": end, "confidence": confidence} for kind, start, end in find(t or "")]
+                         for t in texts.to_pylist()], _ARROW_SPANS)
+
+    return lambda text: detect(text)
+
+
+def several(*detectors: Detector) -> Detector:
+    """All that any of some detectors finds, in order."""
+    return lambda text: in_order(F.concat(*[d(text) for d in detectors]))
+
+
 def with_spans(df: DataFrame, settings: Settings = DEFAULT, detector: Detector | None = None,
                text: str = "original_text") -> DataFrame:
     """Adds ``pii_spans``: detected entities that no whitelist item protects."""
