@@ -14,12 +14,13 @@ from tokenizers import Tokenizer
 #: What the tokenizers' own patterns call white space (it is not what str.split() means by it).
 SPACE = "\t-\r \x85\xa0  -     　"
 #: White space at which a piece between blanks cannot be cut by line ends alone.
-IRREGULAR = re.compile("^\n|\n$|\n\n|[" + SPACE.replace("\t-\r ", "\t\x0b-\r ") + "]|^$")
+IRREGULAR = re.compile("\n|[" + SPACE.replace("\t-\r ", "\t\x0b-\r ") + "]|^$")
 UNITS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 KEPT_PIECES, KEPT_BYTES = 800_000, 16 << 20  # encoded pieces between blanks that a worker keeps, and their bytes
 LONG_PIECE = 64  # bytes; longer pieces are not kept
 SLICE_BYTES = 8 << 20  # text that is encoded at a time
 MARKS = ".,;:!?"
+CUT = "\x00"  # stands where a text is cut into pieces; texts that hold it are encoded whole
 #: Byte-level vocabularies write printable bytes as themselves and the others, in order, from U+0100 on.
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_CHARACTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
@@ -46,14 +47,38 @@ class Encoder:
         letters = "ABCXYZ abcxyz 0189 .,;:!?'\"-"
         #: Whether normalising means no more to ASCII than lower case.
         self.lowers = bool(self.normalizer) and self.normalizer.normalize_str(letters) == letters.lower()
-        self.known = self._table([], [])
-
-    def _table(self, pieces: list[str], ids: list[bytes | None]):
-        """Pieces, which of them are irregular, starts and sizes of their ids, the ids in a row."""
-        sizes = np.fromiter((len(x or b"") for x in ids), np.int64, len(ids)) // self.dtype.itemsize
-        odd = np.fromiter((x is None for x in ids), bool, len(ids))
-        return (pa.array(pieces, pa.string()), odd, np.cumsum(sizes) - sizes, sizes,
-                np.frombuffer(b"".join(x or b"" for x in ids), self.dtype))
+        self.known = self._table([])
+
+    def _table(self, pieces: list[str]):
+        """Pieces, which of them are irregular, starts and sizes of their ids, the ids in a row.
+
+        Runs of ASCII letters, with a mark behind them or none, are most of what is new; they go straight
+        to the vocabulary's merges, as ``word`` and ``unit`` would send them one by one.
+        """
+        tokenize, odd, sizes, ids = self.model.tokenize, [], [], []
+        blank = chr(BYTE_CHARACTERS[32]) if self.spaced else ""
+        marks = {mark: np.frombuffer(own, self.dtype).tolist() for mark, own in self.marks.items()}
+        line = marks.pop("\n")
+        plain = self.lowers or not self.normalizer
+        for piece in pieces:
+            before = len(ids)
+            body, lead = (piece[1:], "") if piece[:1] == "\n" else (piece, blank)
+            head, mark = (body, None) if body.isalpha() else (body[:-1], marks.get(body[-1:]))
+            if plain and head.isascii() and head.isalpha() and (mark is not None or head is body):
+                if body is not piece:
+                    ids += line
+                ids += [token.id for token in tokenize(lead + (head.lower() if self.lowers else head))]
+                if mark is not None:
+                    ids += mark
+                odd.append(False)
+            else:
+                own = self._piece(piece, True)
+                odd.append(own is None)
+                if own:
+                    ids += np.frombuffer(own, self.dtype).tolist()
+            sizes.append(len(ids) - before)
+        sizes = np.array(sizes, np.int64)
+        return pa.array(pieces, pa.string()), np.array(odd, bool), np.cumsum(sizes) - sizes, sizes, np.array(ids, self.dtype)
 
     @staticmethod
     def _both(a, b):
@@ -84,7 +109,7 @@ class Encoder:
         if unit.isalpha():
             return self.word(lead, unit)
         head = unit[:-1]
-        if unit[-1:] in self.marks and head.isascii() and head.isalpha():
+        if unit[-1:] in self.marks and (head.isascii() or not self.normalizer) and head.isalpha():
             # A letter run ends before punctuation, so both parts are encoded by themselves. (Lower
             # case can turn other letters into a letter and a mark, which would join the punctuation.)
             return self.word(lead, head) + self.marks[unit[-1]]
@@ -98,16 +123,17 @@ class Encoder:
         return b"".join([self.unit("", u) for u in text.split()])
 
     def _piece(self, piece: str, led: bool) -> bytes | None:
-        """Ids of what stands between two blanks; None if its white space needs the whole text."""
+        """Ids of what stands between two blanks or line ends; None if its white space needs the whole text.
+
+        A piece behind a line end begins with it, and has no blank before it.
+        """
         if not self.spaced:
             return self.encode(piece)
-        lead = " " if led else ""
         if piece.isalpha():
-            return self.word(lead, piece)
-        if IRREGULAR.search(piece):
-            return None
-        first, *others = piece.split("\n")
-        return self.marks["\n"].join([self.unit(lead, first), *[self.unit("", line) for line in others]])
+            return self.word(" " if led else "", piece)
+        if led and piece[0:1] == "\n":
+            return None if IRREGULAR.search(piece[1:]) else self.marks["\n"] + self.unit("", piece[1:])
+        return None if IRREGULAR.search(piece) else self.unit(" " if led else "", piece)
 
     def encode_all(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text. Pieces met before are looked up as arrays, new ones are encoded once."""
@@ -121,9 +147,14 @@ class Encoder:
         return out
 
     def _encode_slice(self, texts: pa.Array) -> list[bytes]:
+        given = texts
         if self.lowers:  # as the normaliser would later, but before equal pieces are told apart
             texts = pc.ascii_lower(texts)
-        split = pc.split_pattern(texts, " ")
+        if self.spaced:
+            texts = pc.replace_substring(pc.replace_substring(texts, " ", CUT), "\n", CUT + "\n")
+        else:
+            texts = pc.replace_substring(pc.replace_substring(texts, " ", CUT), "\n", CUT)
+        split = pc.split_pattern(texts, CUT)
         begins = split.offsets.to_numpy().astype(np.int64)
         values = split.values
         codes = pc.index_in(values, self.known[0])
@@ -134,7 +165,7 @@ class Encoder:
             # Long pieces stand behind the others, so that the table is cut where they begin.
             strange = pa.concat_arrays([strange.filter(pc.invert(long)), strange.filter(long)])
             pieces = strange.to_pylist()
-            table = self._both(table, self._table(pieces, [self._piece(piece, True) for piece in pieces]))
+            table = self._both(table, self._table(pieces))
             fresh = pc.add(pc.index_in(values, strange), len(self.known[0]))
             codes = pc.coalesce(codes, fresh)
             codes = codes.to_numpy().astype(np.int64)
@@ -152,9 +183,11 @@ class Encoder:
         seconds = (after * width)[np.minimum(begins[:-1] + 1, begins[1:])].tolist()
         if self.spaced:
             firsts = values.take(pa.array(begins[:-1])).to_pylist()
-            return [self.encode(texts[i].as_py()) if strange else (head or b"") + stream[seconds[i]:edges[i + 1]]
-                    for i, (strange, head) in enumerate(zip((np.diff(odd) > 0).tolist(), map(self._first, firsts)))]
-        return [stream[low:high] for low, high in zip(edges, edges[1:])]
+            strange = (np.diff(odd) > 0) | pc.match_substring(given, CUT).to_numpy(zero_copy_only=False)
+            return [self.encode(given[i].as_py()) if whole else head + stream[seconds[i]:edges[i + 1]]
+                    for i, (whole, head) in enumerate(zip(strange.tolist(), map(self._first, firsts)))]
+        strange = pc.match_substring(given, CUT).to_numpy(zero_copy_only=False)
+        return [self.encode(given[i].as_py()) if whole else stream[edges[i]:edges[i + 1]] for i, whole in enumerate(strange.tolist())]
 
     def _first(self, piece: str) -> bytes:
         """Ids of a text's first piece; those of an irregular one do not matter, as the text is encoded whole."""
