@@ -602,3 +602,23 @@ ORACLE_SQL["monthly_trend"] = f"""WITH {MONTHS}
 SELECT year_month, total_posts, {rounded('avg_sentiment')} AS avg_sentiment,
        {rounded('negative_count / total_posts * 100')} AS pct_negative,
        {rolling(3)} AS rolling_3mo_sentiment FROM months"""
+
+# --- writers and batched inference -------------------------------------------------------------------
+
+ORACLE_SQL["sink_main"] = f"""WITH {DATED}
+SELECT id, year_month, sentiment_label, sentiment_label AS csv_label, {rounded('sentiment_score')} AS sentiment_score FROM dated"""
+for _sink, _same in {"sink_monthly": "monthly_sentiment", "sink_negative_keywords": "negative_keywords", "sink_audit": "pii_audit",
+                     "sink_topics": "topic_summary", "sink_insights": "parse_insights"}.items():
+    ORACLE_SQL[_sink] = ORACLE_SQL[_same]
+ORACLE_SQL["sink_history"] = """
+SELECT 'run ' || lang AS timestamp, count(*) >= 100 AS success, count(*) AS records_processed,
+       CASE WHEN count(*) < 100 THEN 'too few' END AS error FROM documents GROUP BY lang"""
+_LETTERS = ", ".join(f"length(whole_text) - length(replace(whole_text, '{c}', '')) AS {c}" for c in "eao")
+ORACLE_SQL["sentiment_batched"] = f"""WITH {CLEANED},
+counted AS (SELECT id, whole_text, {_LETTERS} FROM cleaned),
+shares AS (SELECT id, whole_text = '' OR length(whole_text) > 15000 AS none, e / (e + a + 1 + o) AS neg, (a + 1) / (e + a + 1 + o) AS neu,
+                  o / (e + a + 1 + o) AS pos FROM counted),
+labelled AS (SELECT *, CASE WHEN none THEN 'Neutral' WHEN neg >= neu AND neg >= pos THEN 'Negative' WHEN neu >= pos THEN 'Neutral'
+                            ELSE 'Positive' END AS sentiment_label FROM shares)
+SELECT id, {rounded("CASE sentiment_label WHEN 'Positive' THEN pos WHEN 'Negative' THEN -neg ELSE 0 END")} AS sentiment_score, sentiment_label
+FROM labelled"""

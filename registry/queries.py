@@ -20,6 +20,7 @@ from textpulse.functions import text
 from textpulse.functions.spans import is_whitelisted
 from textpulse.operators import (
     fitted, insights, joins, keywords, monthly, pii, preprocess, sentiment, stats, tfidf, threads, topics)
+from textpulse.schemas import PROCESSED
 from textpulse.session import stage, work_dir
 from textpulse.sources import items as item_source, keyed, ledger, runs, sinks
 from textpulse.streaming import incremental as stream, state
@@ -107,6 +108,76 @@ def file_md5(spark, sf):
         F.regexp_extract("path", "([^/]+)$", 1).alias("file"), "length", "md5")
 
 
+# Every writer, read back from its files.
+
+@query
+def sink_main(spark, sf):
+    out = _folder(spark, "out")
+    sinks.write_main(pii.redact_pii(data.flagged(spark, sf), SETTINGS), out)
+    table = spark.read.schema(PROCESSED).parquet(f"{out}/{sinks.MAIN}.parquet")
+    again = item_source.read_processed_csv(spark, f"{out}/{sinks.MAIN}.csv").select("id", F.col("sentiment_label").alias("csv_label"))
+    return table.join(again, "id").select("id", "year_month", "sentiment_label", "csv_label", rounded("sentiment_score").alias("sentiment_score"))
+
+
+@query
+def sink_monthly(spark, sf):
+    out = _folder(spark, "out")
+    sinks.write_monthly(_monthly(spark, sf), out)
+    back = spark.read.csv(f"{out}/{sinks.MONTHLY}.csv", header=True)
+    return back.select("year_month", *[F.col(c).cast("long").alias(c) for c in ("year", "month", "total_posts")],
+                       *[rounded(F.col(f"{s}_sentiment").cast("double")).alias(f"{s}_sentiment") for s in ("avg", "median", "std")],
+                       *[F.col(c).cast("long").alias(c) for c in ("oregon_mentions", "partner_mentions")])
+
+
+@query
+def sink_negative_keywords(spark, sf):
+    out = _folder(spark, "out")
+    df = stage(data.scored(spark, sf).select("clean_text", "sentiment_label"))
+    sinks.write_negative_keywords(tfidf.negative_keywords(df, SETTINGS), out)
+    back = spark.read.csv(f"{out}/{sinks.NEGATIVE}.csv", header=True)
+    return back.select("keyword", rounded(F.col("tfidf_score").cast("double"), 4).alias("tfidf_score"),
+                       F.col("frequency").cast("long").alias("frequency"), "category")
+
+
+@query
+def sink_audit(spark, sf):
+    out = _folder(spark, "out")
+    sinks.write_audit(pii.pii_audit(data.protected(spark, sf), RUN_TS), out)
+    back = spark.read.csv(f"{out}/{sinks.AUDIT}.csv", header=True)
+    return back.select("post_id", "entity_type", F.col("start_position").cast("long").alias("start_position"),
+                       F.col("end_position").cast("long").alias("end_position"), F.col("confidence").cast("double").alias("confidence"),
+                       as_text("timestamp").alias("detected_at"))
+
+
+@query
+def sink_topics(spark, sf):
+    out = _folder(spark, "out")
+    df = stage(data.with_topics(data.scored(spark, sf)).select("id", "clean_text", "dominant_topic", "sentiment_score"))
+    sinks.write_topic_summary(topics.topic_summary(df, _topic_words(df)), out)
+    back = spark.read.csv(f"{out}/{sinks.TOPICS}.csv", header=True)
+    return back.select(F.col("topic_id").cast("long").alias("topic_id"), "topic_name", "top_words", F.col("post_count").cast("long").alias("post_count"),
+                       rounded(F.col("avg_sentiment").cast("double")).alias("avg_sentiment"))
+
+
+@query
+def sink_history(spark, sf):
+    """A line for each language, with its number of documents."""
+    out = _folder(spark, "out")
+    sizes = data.table(spark, sf, "documents").groupBy("lang").count().orderBy("lang").collect()
+    for r in sizes:
+        sinks.append_run(spark, out, f"run {r.lang}", r["count"] >= 100, r["count"], None if r["count"] >= 100 else "too few")
+    return runs.run_history(spark, out).select("timestamp", "success", "records_processed", "error")
+
+
+@query
+def sink_insights(spark, sf):
+    out = _folder(spark, "out")
+    sinks.write_insights(insights.parse_insights(_responses(spark, sf)), out)
+    back = spark.read.csv(f"{out}/{sinks.INSIGHTS}.csv", header=True)
+    return back.select("post_id", "primary_complaint", "quotable_line", *[F.col(c).cast("boolean").alias(c) for c in (
+        "mentions_leaving", "mentions_rural", "mentions_partner")], F.col("severity").cast("long").alias("severity"))
+
+
 # --- threads and timestamps ---------------------------------------------------------------
 
 @query
@@ -292,6 +363,22 @@ def sentiment_score(spark, sf):
     return df.select("id", *[rounded(F.col("p")[c]).alias(c) for c in ("neg", "neu", "pos")])
 
 
+@query
+def sentiment_batched(spark, sf):
+    """Scores of a model that gets texts in batches, and fails on a batch with a very long text."""
+    def load():
+        def predict(texts):
+            if any(len(t) > 15_000 for t in texts):
+                raise MemoryError("too long")
+            counts = [(t.count("e"), t.count("a") + 1, t.count("o")) for t in texts]
+            return [tuple(v / sum(c) for v in c) for c in counts]
+        return predict
+
+    df = data.cleaned(spark, sf)
+    out = sentiment.analyze_sentiment(df, SETTINGS, sentiment.model_scorer(load, batch_size=1))
+    return out.select("id", rounded("sentiment_score").alias("sentiment_score"), "sentiment_label")
+
+
 @query
 def sentiment_label(spark, sf):
     return data.scored(spark, sf).select("id", "sentiment_label")
@@ -676,7 +763,7 @@ def join_audit_without(spark, sf):
 def join_monthly(spark, sf):
     df = stage(data.flagged(spark, sf).select(
         "id", "year_month", "sentiment_score", "sentiment_label", "mentions_oregon", "mentions_partner"))
-    joined = joins.join_monthly(df, monthly.monthly_sentiment(df, SETTINGS))
+    joined = joins.join_monthly(df, stage(monthly.monthly_sentiment(df, SETTINGS)))
     return joined.select("id", "year_month", rounded("difference").alias("difference"))
 
 
@@ -684,7 +771,7 @@ def join_monthly(spark, sf):
 def join_topic(spark, sf):
     df = stage(data.with_topics(data.scored(spark, sf)).select(
         "id", "clean_text", "dominant_topic", "sentiment_score"))
-    summary = topics.topic_summary(df, _topic_words(df))
+    summary = stage(topics.topic_summary(df, _topic_words(df)))
     return joins.join_topic(df, summary).select("id", "topic_name", "post_count")
 
 

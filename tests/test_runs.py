@@ -5,10 +5,11 @@ from dataclasses import replace
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from textpulse.__main__ import main
 from textpulse.config import DEFAULT
-from textpulse.operators.insights import complaint_counts
+from textpulse.operators.insights import complaint_counts, number_batches, prompt_batches
 from textpulse.operators.monthly import monthly_sentiment
 from textpulse.plans.batch import run, run_landing
 from textpulse.plans.deep import run_deep
@@ -112,10 +113,34 @@ def test_deep_run(spark, tmp_path):
     assert found.count() == 15  # the first batch of ten failed
     assert complaint_counts(found).first()["count"] == 15
     assert spark.read.csv(f"{tmp_path}/{sinks.INSIGHTS}.csv", header=True).count() == 15
+    failed = spark.read.csv(f"{tmp_path}/{sinks.FAILURES}.csv", header=True).collect()
+    assert [(r.batch, r.error) for r in failed] == [("0", "RuntimeError: request failed")]
     none = run_deep(spark, df, str(tmp_path / "none"), client, threshold=-2.0)
     assert none.isEmpty() and not os.path.exists(tmp_path / "none")
 
 
+@pytest.mark.parametrize("columns", [("clean_text", "text"), ("text",), ("redacted_text",), ("redacted_text", "text"), ()])
+def test_prompts_take_the_text_there_is(spark, columns):
+    rows = spark.createDataFrame([("p", -0.9)], "id string, sentiment_score double")
+    for c in columns:
+        rows = rows.withColumn(c, F.lit(c if c != "clean_text" else None))
+    prompt = prompt_batches(number_batches(rows)).first().prompt
+    assert "TEXT: " + ("text" if "text" in columns else "".join(columns)) + "\n" in prompt
+
+
+def test_main_output_is_replaced_when_whole(spark, tmp_path, monkeypatch):
+    row = lambda i: spark.createDataFrame([(i, "2024-01")], "id string, year_month string")
+    ids = lambda kind: sorted(r.id for r in getattr(spark.read, kind)(f"{tmp_path}/{sinks.MAIN}.{kind}", **({"header": True} if kind == "csv" else {})).collect())
+    sinks.write_main(row("old"), str(tmp_path))
+    with monkeypatch.context() as broken:
+        broken.setattr(sinks, "write_csv", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            sinks.write_main(row("new"), str(tmp_path))
+    assert ids("parquet") == ids("csv") == ["old"]
+    sinks.write_main(row("new"), str(tmp_path))
+    assert ids("parquet") == ids("csv") == ["new"] and sorted(os.listdir(tmp_path)) == [f"{sinks.MAIN}.csv", f"{sinks.MAIN}.parquet"]
+
+
 def test_file_hashes(spark, tmp_path):
     import hashlib
     (tmp_path / "a.bin").write_bytes(b"abc")

@@ -27,6 +27,14 @@ def keep_columns(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
 
 
+def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``rows`` rows, which are counted no further.
+
+    The count reads ``df``: give it a stored table, or one that is cheap to compute.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def sql_string(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 

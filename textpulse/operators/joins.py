@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from textpulse.functions.plan import broadcast_if_small
+
 _AUDIT = ("entity_type", "start_position", "end_position", "confidence")
 
 
@@ -25,15 +27,14 @@ def messages_with_audit(messages: DataFrame, audit: DataFrame, found: bool = Tru
 def join_monthly(messages: DataFrame, monthly: DataFrame) -> DataFrame:
     """Messages with the mean of their month and the difference to it.
 
-    The monthly table has one row per calendar month of the timestamp range, so it is safe
-    to broadcast.
+    The monthly table is broadcast if it is found small, as it is with one row per calendar month.
     """
-    means = F.broadcast(monthly.select("year_month", F.col("avg_sentiment").alias("month_avg_sentiment")))
+    means = broadcast_if_small(monthly.select("year_month", F.col("avg_sentiment").alias("month_avg_sentiment")))
     return messages.join(means, "year_month").withColumn(
         "difference", F.col("sentiment_score") - F.col("month_avg_sentiment"))
 
 
 def join_topic(messages: DataFrame, summary: DataFrame) -> DataFrame:
-    """Messages with the name and size of their topic (at most 101 topics: broadcast)."""
-    topics = F.broadcast(summary.select(F.col("topic_id").alias("dominant_topic"), "topic_name", "post_count"))
+    """Messages with the name and size of their topic; the topics are broadcast if they are found few."""
+    topics = broadcast_if_small(summary.select(F.col("topic_id").alias("dominant_topic"), "topic_name", "post_count"))
     return messages.join(topics, "dominant_topic", "left")

@@ -74,6 +74,18 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop, True)
 
 
+def replace_folder(spark: SparkSession, fresh: str, path: str) -> None:
+    """A folder takes another's place, which is kept aside until it has."""
+    source, fs = _path(spark, fresh)
+    target, _ = _path(spark, path)
+    aside, _ = _path(spark, f"{path}.{uuid.uuid4().hex}")
+    held = fs.exists(target)
+    if held and not fs.rename(target, aside) or not fs.rename(source, target):
+        raise OSError(f"cannot replace {path}")
+    if held:
+        fs.delete(aside, True)
+
+
 def file_names(spark: SparkSession, path: str) -> list[str]:
     """Names of what lies in a folder; none if there is no folder."""
     hadoop, fs = _path(spark, path)

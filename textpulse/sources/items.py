@@ -85,12 +85,5 @@ def read_processed_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table as its scan splits it.
-
-    The session setting ``spark.textpulse.inputPartitions`` redistributes the rows of every
-    table, for files of one row group, which a scan leaves to a single task. Unset, as on a
-    cluster, nothing is moved.
-    """
-    df = spark.read.parquet(path)
-    partitions = spark.conf.get("spark.textpulse.inputPartitions", None)
-    return df.repartition(int(partitions)) if partitions else df
+    """A Parquet table as its scan splits it."""
+    return spark.read.parquet(path)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from textpulse import schemas
+from textpulse.session import delete, replace_folder
 
 MAIN = "reddit_sentiment"
 STREAMED = "reddit_sentiment_keyed"  # read with sources.keyed
@@ -15,6 +18,7 @@ TOPICS = "topic_summary"
 METADATA = "run_metadata"
 HISTORY = "run_history"
 INSIGHTS = "deep_insights"
+FAILURES = "deep_failures"
 
 _RAW_TEXT = ("text", "original_text", "author")
 
@@ -36,14 +40,21 @@ def write_main(df: DataFrame, out: str, csv: bool = True, drop_raw: bool = False
     """Main dataset as Parquet by month, and as CSV.
 
     The rebalance hint gives each month files of even size; adaptive execution splits a
-    month that holds much of the data over several tasks.
+    month that holds much of the data over several tasks. Both are written beside the old ones and
+    take their places when they are whole, so a run that dies leaves what was there.
     """
-    public = public_columns(df, drop_raw)
-    (public.hint("rebalance", "year_month").write.mode("overwrite")
-     .partitionBy("year_month").parquet(f"{out}/{MAIN}.parquet"))
-    if csv:
-        written = df.sparkSession.read.schema(public.schema).parquet(f"{out}/{MAIN}.parquet")
-        write_csv(written.select(*public.columns), f"{out}/{MAIN}.csv")
+    spark, public = df.sparkSession, public_columns(df, drop_raw)
+    fresh = f"{out}/_{MAIN}-{uuid.uuid4().hex}"
+    try:
+        (public.hint("rebalance", "year_month").write
+         .partitionBy("year_month").parquet(f"{fresh}/{MAIN}.parquet"))
+        if csv:
+            written = spark.read.schema(public.schema).parquet(f"{fresh}/{MAIN}.parquet")
+            write_csv(written.select(*public.columns), f"{fresh}/{MAIN}.csv")
+        for name in (f"{MAIN}.parquet", *([f"{MAIN}.csv"] if csv else [])):
+            replace_folder(spark, f"{fresh}/{name}", f"{out}/{name}")
+    finally:
+        delete(spark, fresh)
 
 
 def write_monthly(monthly: DataFrame, out: str) -> None:
@@ -84,6 +95,14 @@ def write_insights(insights: DataFrame, out: str) -> bool:
     return True
 
 
+def write_failures(failed: DataFrame, out: str) -> bool:
+    """Requests that a model did not answer, if any; tells whether there were."""
+    if failed.isEmpty():
+        return False
+    write_csv(failed, f"{out}/{FAILURES}.csv")
+    return True
+
+
 def with_month_partition(df: DataFrame) -> DataFrame:
     """Rows without a month go to one named partition instead of being lost."""
     return df.withColumn("year_month", F.coalesce("year_month", F.lit("unknown")))
