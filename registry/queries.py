@@ -5,7 +5,6 @@ Doubles are rounded and times written as text so that engines can be compared by
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime
@@ -21,7 +20,7 @@ from textpulse.functions.spans import is_whitelisted
 from textpulse.operators import (
     fitted, insights, joins, keywords, monthly, pii, preprocess, sentiment, stats, tfidf, threads, topics)
 from textpulse.schemas import PROCESSED
-from textpulse.session import stage, work_dir
+from textpulse.session import new_folder, stage
 from textpulse.sources import items as item_source, keyed, ledger, runs, sinks
 from textpulse.streaming import incremental as stream, state
 
@@ -44,8 +43,7 @@ def as_text(column: str) -> Column:
     return F.date_format(column, TIME)
 
 
-def _folder(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+_folder = new_folder
 
 
 # --- sources ------------------------------------------------------------------------------

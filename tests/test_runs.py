@@ -13,7 +13,7 @@ from textpulse.operators.insights import complaint_counts, number_batches, promp
 from textpulse.operators.monthly import monthly_sentiment
 from textpulse.plans.batch import run, run_landing
 from textpulse.plans.deep import run_deep
-from textpulse.session import work_dir
+from textpulse.session import release, stage, work_dir
 from textpulse.sources import keyed, ledger, runs, sinks
 from textpulse.sources.items import read_items, read_processed_csv
 from textpulse.streaming import incremental as stream, state
@@ -180,6 +180,15 @@ def test_runs_leave_no_staged_tables(spark, tmp_path):
     assert not {n for n in set(os.listdir(work_dir(spark))) - before if n.startswith(("run-", "merge-"))}
 
 
+def test_staged_tables_go_when_they_are_released(spark):
+    release(spark)
+    before = set(os.listdir(work_dir(spark)))  # others may use the folder, too
+    table = stage(spark.range(5))
+    assert table.count() == 5 and len(set(os.listdir(work_dir(spark))) - before) == 1
+    release(spark)
+    assert not set(os.listdir(work_dir(spark))) - before
+
+
 def test_dry_run(capsys):
     assert main(["--dry-run"]) == 0 and "settings valid" in capsys.readouterr().out
 

@@ -11,7 +11,7 @@ from textpulse.config import DEFAULT
 from textpulse.operators.insights import complaint_counts, insight_summary
 from textpulse.plans.batch import run_landing
 from textpulse.plans.deep import run_deep
-from textpulse.session import get_session
+from textpulse.session import get_session, release
 from textpulse.sources.sinks import MAIN, STREAMED
 from textpulse.streaming.incremental import start_incremental
 
@@ -38,6 +38,13 @@ def main(argv: list[str] | None = None) -> int:
     if not args.out:
         parser.error("--out is required")
     spark = get_session()
+    try:
+        return _run(spark, parser, args)
+    finally:
+        release(spark)
+
+
+def _run(spark, parser: argparse.ArgumentParser, args: argparse.Namespace) -> int:
     if args.deep_analysis:
         if not args.client:
             parser.error("--client is required for --deep-analysis")

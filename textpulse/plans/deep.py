@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from textpulse.config import DEFAULT, Settings
 from textpulse.operators import insights as ops
 from textpulse.schemas import INSIGHT
-from textpulse.session import delete, stage, work_dir
+from textpulse.session import delete, new_folder, stage
 from textpulse.sources import sinks
 
 
@@ -27,7 +26,7 @@ def run_deep(spark: SparkSession, processed: DataFrame, out: str,
     narrow = processed.select("id", "sentiment_score", *text)
     top = ops.number_batches(ops.top_negative(narrow, n, threshold, settings), settings.deep_batch_size)
     responses = ops.call_model(ops.prompt_batches(top, settings), connect, concurrency)
-    stored = f"{work_dir(spark)}/responses-{uuid.uuid4().hex}"
+    stored = new_folder(spark, "responses")
     responses.write.parquet(stored)
     responses = spark.read.parquet(stored)
     insights = stage(ops.parse_insights(responses).select(*INSIGHT.fieldNames()))

@@ -41,13 +41,33 @@ def work_dir(spark: SparkSession) -> str:
     return _local_folder()
 
 
+_FOLDERS: set[str] = set()  # what this driver has put into the work folder
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of one's own in the work folder, until ``release``."""
+    path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _FOLDERS.add(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes every folder that this driver has staged so far.
+
+    Results that read staged tables are lazy, so their tables stay until the caller has used them and
+    says so. A job's entry point calls this when it ends; a long session may after each result.
+    """
+    while _FOLDERS:
+        delete(spark, _FOLDERS.pop())
+
+
 def stage(df: DataFrame) -> DataFrame:
     """``df`` written once to the work folder and read back.
 
     For results that several branches of a job read: the work runs once, lineage ends at
     the files, and every reader prunes columns.
     """
-    path = f"{work_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, "stage")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
