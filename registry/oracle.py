@@ -482,9 +482,11 @@ order_messages AS (
   FROM order_scores)""" + monthly("order_messages")
 ORACLE_SQL["monthly_orders"] = f"""WITH {_ORDERS}
 SELECT year_month, total_posts, {_STATS}, oregon_mentions, partner_mentions, positive_count, negative_count FROM months"""
-ORACLE_SQL["monthly_state"] = f"""WITH {_ORDERS}
-SELECT year_month, total_posts, {_STATS}, {rolling(3)} AS rolling_3mo_sentiment, oregon_mentions, partner_mentions,
-       positive_count, negative_count FROM months"""
+_NUDGED = ", ".join(f"{rounded(f'{s}_sentiment + 1e-9')} AS {s}_sentiment" for s in ("avg", "median", "std", "rolling_3mo"))
+ORACLE_SQL["monthly_state"] = f"""WITH {_ORDERS},
+rolled AS (SELECT *, CASE WHEN count(avg_sentiment) OVER w = 3 THEN avg(avg_sentiment) OVER w END AS rolling_3mo_sentiment
+           FROM months WINDOW w AS (ORDER BY year_month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))
+SELECT year_month, total_posts, {_NUDGED}, oregon_mentions, partner_mentions, positive_count, negative_count FROM rolled"""
 for _k in (3, 6, 12):
     ORACLE_SQL[f"rolling_{_k}mo"] = f"""WITH {_ORDERS}
 SELECT year_month, {rolling(_k)} AS rolling_{_k}mo_sentiment FROM months"""

@@ -613,7 +613,8 @@ def monthly_state(spark, sf):
         state.add_batch(spark, rows.where(F.pmod(F.col("id").cast("long"), F.lit(3)) == batch), path, batch)
     return state.monthly_series(spark, path, SETTINGS).select(
         "year_month", "total_posts",
-        *[rounded(f"{s}_sentiment").alias(f"{s}_sentiment") for s in ("avg", "median", "std", "rolling_3mo")],
+        # The scores have five digits, so means may lie halfway between two of six: both engines round them up.
+        *[rounded(F.col(f"{s}_sentiment") + 1e-9).alias(f"{s}_sentiment") for s in ("avg", "median", "std", "rolling_3mo")],
         "oregon_mentions", "partner_mentions", "positive_count", "negative_count")
 
 
