@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from textpulse.session import stage, work_dir
+from textpulse.session import new_folder as folder, stage, unstage as discard
 
 __all__ = ["discard", "folder", "map_batches", "numbered", "raw", "stage", "table"]
 ROWS_OF_A_FILE = 40  # bits of a row number that count within a file
@@ -19,20 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share."""
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def discard(df: DataFrame) -> None:
-    """Delete the files of a staged table that nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for file in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def raw(column: str) -> Column:
     """UTF-8 bytes of a text column: tasks then skip decoding what they only hash."""
     return F.col(column).cast("binary")

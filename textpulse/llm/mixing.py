@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import warnings
 from collections import Counter
 from collections.abc import Mapping
 
@@ -16,6 +17,7 @@ TOPICS = 8
 MARGINS = ("source", "lang", "topic")
 MAX_CELLS = 200_000  # combinations of source, language and topic
 ROUNDS = 200  # raking rounds, at most
+TOLERANCE = 0.01  # a margin that is off by more, relatively, is told
 CLOSE = 1e-9  # greatest relative error of a margin at which raking ends
 #: Share of all tokens raised to this power and normalised is the default target of a value.
 TEMPER = 0.9
@@ -61,14 +63,15 @@ def shares(values: list, tokens: np.ndarray, target: Mapping | float) -> np.ndar
     return wanted / wanted.sum()
 
 
-def rake(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray]) -> np.ndarray:
-    """Weight of each cell so that weighted tokens have the target share in every margin.
+def rake(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray]) -> tuple[np.ndarray, float]:
+    """Weight of each cell so that weighted tokens have the target share in every margin, and the
+    greatest relative error of a margin that is left.
 
     Each step scales the cells of one margin's values to their targets, in turn, until all
     margins hold at once. Cells of a value with target 0 get weight 0. Margins that contradict
-    each other through empty cells leave the last scaled one exact.
+    each other through empty cells leave the last scaled one exact, and an error that tells so.
     """
-    weights = np.ones(len(tokens))
+    weights, worst = np.ones(len(tokens)), 0.0
     total = tokens.sum()
     for _ in range(ROUNDS):
         worst = 0.0
@@ -79,7 +82,7 @@ def rake(tokens: np.ndarray, codes: list[np.ndarray], targets: list[np.ndarray])
             weights *= scale[code]
         if worst < CLOSE:
             break
-    return weights
+    return weights, worst
 
 
 def calibrated(docs: DataFrame, targets: Mapping[str, Mapping | float] | None = None, seed: int = SEED) -> DataFrame:
@@ -112,7 +115,9 @@ def calibrated(docs: DataFrame, targets: Mapping[str, Mapping | float] | None =
         code = np.array([number[r[margin]] for r in cells])
         codes.append(code)
         wanted.append(shares(values, np.bincount(code, tokens), (targets or {}).get(margin, TEMPER)))
-    weights = rake(tokens, codes, wanted) if cells else np.zeros(0)
+    weights, residual = rake(tokens, codes, wanted) if cells else (np.zeros(0), 0.0)
+    if residual > TOLERANCE:
+        warnings.warn(f"margins contradict each other: one is off by {residual:.3g} of its target", stacklevel=2)
     top = weights.max(initial=0) or 1.0
     factors = spark.createDataFrame([(r.source, r.lang, r.topic, float(w), float(w / top)) for r, w in zip(cells, weights)],
                                     "s string, l string, t int, weight double, probability double")
