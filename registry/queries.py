@@ -846,12 +846,12 @@ def stream_merge(spark, sf):
 
 @query
 def landing_ledger(spark, sf):
-    """Messages of a second run: files that landed since the first, and one of the first that was rewritten."""
+    """Messages of a second run: files that landed since the first, and those of one folder that were rewritten."""
     landing, out = _folder(spark, "landing"), _folder(spark, "ledger")
     lines = data.item_lines(data.items(spark, sf))
 
     def land(rows, name):
-        rows.select("value").coalesce(1).write.mode("overwrite").text(f"{landing}/{name}")
+        rows.select("value").write.mode("overwrite").text(f"{landing}/{name}")
 
     for part in range(3):
         land(lines.where(F.col("doc_id") % 4 == part), f"part={part}")

@@ -347,3 +347,17 @@ def test_monthly_state_of_batches_equals_one(spark, tmp_path, monkeypatch):
     assert state.add_batch(spark, frame(rows[450:]), path, 7)
     assert near(state.monthly_series(spark, path)) == near(monthly_sentiment(frame(rows)))
     assert len([n for n in os.listdir(path) if n.startswith("state-")]) == 2
+
+
+def test_second_run_lands_files_in_several_tasks(spark, tmp_path, monkeypatch):
+    from registry import queries
+    rows = [(i, f"title {i}\nfirst. second {i}", "en", "s", 20) for i in range(48)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(queries.data, "table", lambda spark, sf, name: spark.read.parquet(f"{sf}/{name}.parquet").repartition(4))
+    read, files = queries.item_source.read_items, []
+    monkeypatch.setattr(queries.item_source, "read_items", lambda spark, path, *more: files.extend(path) or read(spark, path, *more))
+    out = queries.landing_ledger(spark, str(tmp_path)).collect()
+    assert {r.id for r in out if r.type == "Post"} == {str(i) for i in range(48) if i % 4 == 3 or i % 4 == 1 and i % 3 == 0} and len(out) == 48
+    landed = [f.split("/")[-2] for f in files]
+    assert landed.count("part=3") > 1 and landed.count("part=1") > 1 and set(landed) == {"part=1", "part=3"}
