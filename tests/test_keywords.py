@@ -91,3 +91,18 @@ def test_a_hundred_thousand_terms(spark):
     for r in out.collect():
         i = int(r.id)
         assert r.matches == sorted([f"term{i} of"] if i % 2 == 0 else [f"term{i}"]) + ([f"term{i + 1}"] if i % 2 == 0 else [])
+
+
+def test_terms_of_a_table_are_found_without_a_shuffle(spark, monkeypatch):
+    """One pass over the texts, with the same terms as the joins of a larger table find."""
+    long = "w1 w2 w3 w4 w5 w6, w7"
+    texts = ["w1 w2-w3", "-w1 w2", "w1 w2-", f"so {long} w8", f"so {long}x", "+c++x c+", "c++", "  ", "", None, "e\u0301t\u00e9 \u00bd x", "a\nb\x00c", "\U0001f600 a", "a" * 9000]
+    listed = ["w1", "w1 w2", "-w1", "w2-", "w2-w3", long, "c++", "+c", "++", "e\u0301t\u00e9", "t\u00e9", "\u00bd x", "b\x00c", "a", "a\nb", "x", "never", None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, clean_text string")
+    terms = spark.createDataFrame([(t,) for t in listed], "term string")
+    found = lambda: {r.id: (r.found, r.matches) for r in keywords.match_term_table(df, terms).collect()}
+    out, passed = keywords.match_term_table(df, terms), found()
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert passed[0] == (True, ["w1", "w1 w2", "w2-", "w2-w3"]) and passed[3] == (True, ["w1", "w1 w2", long]) and passed[5] == (True, ["c++", "x"]), passed
+    monkeypatch.setattr(keywords, "TERMS", 1)
+    assert found() == passed

@@ -57,6 +57,11 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"(?U)\w+"), F.lit(0))
 
 
+def runs(text: Column) -> Column:
+    """The whole text as maximal runs of word characters and of other characters, in turn."""
+    return F.regexp_extract_all(text, F.lit(r"(?U)\w+|\W+"), F.lit(0))
+
+
 def sentiment_tokens(text: Column) -> Column:
     """Maximal runs of letters and apostrophes of a cleaned text."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("[a-z']+"), F.lit(0))

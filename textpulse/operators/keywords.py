@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textpulse.config import DEFAULT, Settings
+from textpulse.functions.phrases import Phrases
 from textpulse.functions.plan import compute_once
 from textpulse.functions.terms import (
     has_term, matched_terms, normalize_terms, relevant_words)
-from textpulse.functions.text import words
+from textpulse.functions.text import runs, words
+
+TERMS, CHARACTERS = 200_000, 8 << 20  # of a table of terms that goes to every worker
 
 
 def _terms(settings: Settings, *lists):
@@ -31,13 +35,34 @@ def match_term_table(df: DataFrame, terms: DataFrame, text: str = "clean_text",
                      found: str = "found", matches: str = "matches") -> DataFrame:
     """As ``match_keywords`` for a table of any number of terms; ``matches`` are in order of the terms.
 
+    Up to ``TERMS`` terms go to every worker, and a text is cut into words once to look up what stands
+    in it: no shuffle, whatever the texts share with the terms. More terms meet the texts in joins. No
+    term enters the plan; one without a word character, an empty and a NULL one are never found.
+    """
+    given = terms.select("term").where("term IS NOT NULL").distinct().withColumn("_words", words(F.col("term"))).where(F.size("_words") > 0)
+    size = given.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("term")), F.lit(0)).alias("characters")).first()
+    if size.n > TERMS or size.characters > CHARACTERS:
+        return _joined_terms(df, given, text, key, matches).withColumn(found, F.size(matches) > 0)
+    phrases = df.sparkSession.sparkContext.broadcast(Phrases(r.runs for r in given.select(runs(F.col("term")).alias("runs")).collect()))
+
+    @F.arrow_udf("array<string>")
+    def held(parts: pa.Array, word_first: pa.Array) -> pa.Array:
+        find, values, ends = phrases.value.find, parts.values, parts.offsets.to_pylist()
+        return pa.array([find(values.slice(low, high - low).to_numpy(zero_copy_only=False).tolist(), first.as_py())
+                         for low, high, first in zip(ends, ends[1:], word_first)], pa.list_(pa.string()))
+
+    value = F.coalesce(F.col(text), F.lit(""))
+    rows = compute_once(df, _runs=runs(value), _word_first=F.rlike(value, F.lit(r"(?U)\A\w")))
+    return rows.withColumn(matches, held("_runs", "_word_first")).drop("_runs", "_word_first").withColumn(found, F.size(matches) > 0)
+
+
+def _joined_terms(df: DataFrame, given: DataFrame, text: str, key: str, matches: str) -> DataFrame:
+    """``matches`` of terms that are too many for a worker.
+
     A term is looked for only in texts that hold its rarest word: words of texts and terms meet in
     joins, and a text gets the few candidates that it may hold back by its key, to be verified on the
-    text at word borders. No term enters the plan, and terms are broadcast only where Spark finds
-    them small. Rows of one key are verified one by one; a term without a word character, an empty
-    and a NULL one are never found.
+    text at word borders. Rows of one key are verified one by one.
     """
-    given = terms.select("term").where("term IS NOT NULL").distinct().withColumn("_words", words(F.col("term")))
     parts = given.select("term", F.explode(F.array_distinct("_words")).alias("word"))
     held = df.select(F.col(key).alias("_key"), F.explode(F.array_distinct(words(F.col(text)))).alias("word"))
     # How many rows hold a word, for the words of terms alone.
@@ -55,7 +80,7 @@ def match_term_table(df: DataFrame, terms: DataFrame, text: str = "clean_text",
         return F.contains(F.col(text), term) & F.rlike(F.col(text), pattern)
 
     verified = F.array_sort(F.coalesce(F.filter("_terms", stands), F.array().cast("array<string>")))
-    return compute_once(rows, **{matches: verified}).drop("_key", "_terms").withColumn(found, F.size(matches) > 0)
+    return compute_once(rows, **{matches: verified}).drop("_key", "_terms")
 
 
 def category_column(text: Column, tokens: Column, settings: Settings) -> Column:
