@@ -190,3 +190,30 @@ def test_gazetteer_takes_the_longest_name(spark):
     both = pii.several(pii.pattern_detector(DEFAULT), pii.gazetteer_detector(names.limit(4)))
     row = pii.redact_pii(df.limit(1), replace(DEFAULT, pii_whitelist=()), both).first()
     assert "New" not in row.redacted_text and row.pii_types == "LOCATION,PERSON"
+
+
+def test_names_beyond_a_worker_meet_the_texts_in_a_join(spark, monkeypatch):
+    """The same spans as of a trie, for texts and ids that repeat, NULL and blank ones, and names of several types."""
+    draw = random.Random(6)
+    words = ["Ann", "New", "York", "City", "O'Neil", "-", "Łukasz", "Paris", "\U0001f600", "of", "Mc\u00a0Coy"]
+    names = [(draw.choice(["PERSON", "LOCATION"]), draw.choice([" ", "  ", "-"]).join(draw.choices(words, k=draw.randint(1, 4)))) for _ in range(60)]
+    names += [("PERSON", "\t"), (None, "Ann"), ("PERSON", None), ("PERSON", "Paris"), ("LOCATION", "Paris"), ("PERSON", " Ann ")]
+    texts = [draw.choice([" ", "\n", "  "]).join(draw.choices(words, k=draw.randint(0, 12))) for _ in range(80)]
+    texts += [None, "", " ", *texts[:20], *["Ann of Paris"] * 5]
+    df = spark.createDataFrame([(i % 50 if i % 9 else None, t) for i, t in enumerate(texts)], "id int, original_text string").repartition(3)
+    table = spark.createDataFrame(names, "entity_type string, name string")
+    plain = replace(DEFAULT, pii_whitelist=())
+
+    def found():
+        both = pii.several(pii.pattern_detector(plain), pii.gazetteer_detector(table))
+        out = pii.with_spans(df, plain, both)
+        assert out.columns == ["id", "original_text", "pii_spans"]
+        return sorted((r.id or 0, r.original_text or "", [tuple(s) for s in r.pii_spans]) for r in out.collect())
+
+    listed = found()
+    monkeypatch.setattr(pii, "MAX_NAMES", 5)
+    assert found() == listed and sum(len(spans) for *_, spans in listed) > 100
+    monkeypatch.setattr(pii, "gazetteer_detector", lambda names: pii.JoinedGazetteer(names.dropna(), 0.85))
+    assert found() == listed
+    with pytest.raises(TypeError, match="with_spans"):
+        pii.gazetteer_detector(table)(F.col("original_text"))
