@@ -165,3 +165,30 @@ def test_message_schema(spark, tmp_path):
     df = messages(read_items(spark, str(tmp_path)), RUN)
     types = dict(df.dtypes)
     assert {f.name: f.dataType.simpleString() for f in MESSAGE.fields} == {c: types[c] for c in MESSAGE.fieldNames()}
+
+
+def test_a_shallow_scan_finds_the_same_roots():
+    """Without the objects below, whose brackets are matched all the same."""
+    from textpulse.functions.brackets import NONE, scan
+    item = '{"id":1,"x":{"comments":[{}]},"comments":[{"id":"a\\"]","replies":[{"id":3,"replies":[]}]},{"id":"b"}],"title":"[{"}'
+    for text, names in ((item, {"root": "comments"}), (f"[{item}, {item}, 3]", {"children": "comments"})):
+        whole, roots = scan(text, **names), scan(text, **names, deep=False)
+        ends = lambda tree: [(tree.start[i], tree.end[i], tree.low[i], tree.high[i]) for i in range(len(tree.start)) if tree.parent[i] == NONE]
+        assert ends(roots) == ends(whole) and set(roots.parent) == {NONE} and len(whole.start) > len(roots.start)
+        assert scan(text.replace('3,"replies":[]}', '3,"replies":[}'), **names, deep=False) is None
+
+
+def test_structure_of_array_bytes():
+    """Quotes and depth by table, as one byte after another gives them; without a backslash nothing looks for one."""
+    import numpy as np
+    from textpulse.sources import arrays
+    for text in ('[{"a":"b]"},{}]', r'[{"a\"]":"\\"},{"b":"\\\"}"}]', '"', "\\", "é\U0001f600{"):
+        raw = text.encode()
+        quotes, seen, slashes = [], 0, 0
+        for byte in raw:
+            quotes.append(seen)
+            seen += byte == 0x22 and slashes % 2 == 0
+            slashes = slashes + 1 if byte == 0x5C else 0
+        passed, change = arrays._structure(np.frombuffer(raw, np.uint8))
+        assert passed.tolist() == quotes and change.tolist() == [{"[": 1, "{": 1, "]": -1, "}": -1}.get(chr(b), 0) for b in raw]
+        assert arrays._CHANGE.sum() == 0

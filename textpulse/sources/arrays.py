@@ -12,6 +12,8 @@ from textpulse.session import stage
 
 WHOLE, TAIL, MIDDLE, HEAD = range(4)  # an item, or the part of one that begins, goes on, ends in a block
 _BLOCK = "_file string, _block long"
+_CHANGE = np.zeros(256, np.int64)  # of depth, by a byte
+_CHANGE[list(b"[{")], _CHANGE[list(b"]}")] = 1, -1
 
 
 def _segments(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -29,7 +31,7 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, np.ndarra
         cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
         for low, high in zip(cuts, cuts[1:]):
             rows = batch.slice(low, high - low)
-            yield keys[low], np.frombuffer(b"".join(v.encode() + b"}" for v in rows.column("value").to_pylist()), np.uint8), rows
+            yield keys[low], np.frombuffer("}".join([*rows.column("value").to_pylist(), ""]).encode(), np.uint8), rows
 
 
 def _structure(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -37,12 +39,13 @@ def _structure(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
     A backslash stands in strings alone, so whether a quote counts does not depend on where one is.
     """
-    at = np.arange(len(text))
-    other = np.maximum.accumulate(np.where(text != 0x5C, at, -1))  # the last byte that is no backslash
-    before = np.concatenate([[-1], other[:-1]])
-    quote = (text == 0x22) & ((at - 1 - before) % 2 == 0)
-    change = np.isin(text, (0x5B, 0x7B)).astype(np.int64) - np.isin(text, (0x5D, 0x7D))
-    return np.cumsum(quote) - quote, change
+    quote, slash = text == 0x22, text == 0x5C
+    if slash.any():
+        at = np.arange(len(text))
+        other = np.maximum.accumulate(np.where(slash, -1, at))  # the last byte that is no backslash
+        before = np.concatenate([[-1], other[:-1]])
+        quote &= (at - 1 - before) % 2 == 0
+    return np.cumsum(quote) - quote, _CHANGE[text]
 
 
 def _starts(segments: DataFrame) -> DataFrame:

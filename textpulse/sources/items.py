@@ -30,7 +30,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
     def parts(text: str) -> Iterator[tuple[str, str | None]]:
         array = text.lstrip().startswith("[")
-        tree = scan(text, "comments") if array else scan(text, root="comments")
+        tree = scan(text, "comments", deep=False) if array else scan(text, root="comments", deep=False)
         if tree is None:
             yield text, None
             return
