@@ -148,6 +148,29 @@ def test_file_hashes(spark, tmp_path):
     assert runs.file_md5(spark, str(tmp_path / "missing")).first().md5 == ""
 
 
+def test_files_larger_than_a_binary_row_are_hashed(spark, tmp_path, monkeypatch):
+    import hashlib, random
+    rng = random.Random(3)
+    noise, text = rng.randbytes(300_000), ("word, wort\r\n\n" * 20_000).encode()
+    files = {"noise.bin": noise, "ends.txt": text, "bare.txt": text + b"end", "mark.csv": b"\xef\xbb\xbf" + text, "zero.img": bytes(200_000), "one.json": b"[" + b"7" * 200_000,
+             "high.bin": bytes([200]) * 200_000, "holes.bin": bytes(100_000) + noise, "seps.txt": b"\n" * 150_000, "packed.gz": noise[:90_000], "odd [1] {b} 50%*?.x": noise[:-1],
+             "small.bin": b"abc"}
+    for name, data in files.items():
+        (tmp_path / name).write_bytes(data)
+    monkeypatch.setattr(runs, "WHOLE", 80_000, raising=False)
+    settings = {"spark.sql.sources.binaryFile.maxLength": "100000", "spark.sql.files.maxPartitionBytes": "60000"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = runs.file_md5(spark, str(tmp_path)).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert {os.path.basename(r.path): (r.length, r.md5) for r in got} == {n: (len(d), hashlib.md5(d).hexdigest()) for n, d in files.items()}
+    assert len(got) == len(files)
+
+
 def test_equal_versions_merge_alike_in_any_order(spark, tmp_path):
     schema = "id string, timestamp string, year_month string, _version long, text string"
     found = set()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -122,6 +123,28 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def exactly(path: str) -> str:
+    """A path as a reader takes it, which would find patterns in it."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def packed(spark: SparkSession, path: str) -> bool:
+    """Whether readers unpack a file of this name, so that none but a reader of whole files sees its bytes."""
+    codecs = spark.sparkContext._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration())
+    return codecs.getCodec(_path(spark, path)[0]) is not None
+
+
+def read_bytes(spark: SparkSession, path: str, at: int, count: int) -> bytes:
+    """At most ``count`` bytes of a file from a place on."""
+    hadoop, fs = _path(spark, path)
+    stream = fs.open(hadoop)
+    try:
+        stream.seek(at)
+        return bytes(stream.readNBytes(count))
+    finally:
+        stream.close()
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file that is there whole or not at all; one that is there already is an error."""
     hadoop, fs = _path(spark, path)
