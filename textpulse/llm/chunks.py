@@ -91,7 +91,7 @@ def chunked(docs: DataFrame) -> DataFrame:
         return pa.record_batch([pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(rows), pa.array(firsts, pa.int32()),
                                 pa.array(counts, pa.int32()), pa.array(again, pa.int32())], ["digest", "row", "first", "words", "again"])
 
-    return map_batches(docs.select("row", raw("text")), run, "digest long, row long, first int, words int, again int")
+    return map_batches(docs.select("row", raw("text")), run, "digest long, row long, first int, words int, again int", sliced=True)
 
 
 def _adjoining(found: DataFrame, *same: str) -> DataFrame:
@@ -138,7 +138,7 @@ def _contexts(docs: DataFrame, runs: DataFrame) -> DataFrame:
 
     # The same plan at every size: whether one side is small must not decide what is moved.
     joined = docs.select("row", raw("text").alias("text")).join(wanted.hint("merge"), "row").select("row", "text", "places")
-    return map_batches(joined, run, "row long, at int, after boolean, words array<long>")
+    return map_batches(joined, run, "row long, at int, after boolean, words array<long>", sliced=True)
 
 
 def _equal_prefix(a: str, b: str):
@@ -228,7 +228,7 @@ def _windows(docs: DataFrame, regions: DataFrame, spans: DataFrame, least_words:
 
     # The same plan at every size: whether one side is small must not decide what is moved.
     joined = docs.select("row", raw("text").alias("text")).join(asked.hint("merge"), "row").select("row", "text", "regions", "spans")
-    return map_batches(joined, run, "high long, low long, row long, at int")
+    return map_batches(joined, run, "high long, low long, row long, at int", sliced=True)
 
 
 def window_hashes(words: list[bytes], size: int, seed: int) -> np.ndarray:

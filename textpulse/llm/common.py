@@ -12,6 +12,7 @@ from textpulse.session import new_folder as folder, stage, unstage as discard
 
 __all__ = ["discard", "folder", "map_batches", "numbered", "raw", "stage", "table"]
 ROWS_OF_A_FILE = 40  # bits of a row number that count within a file
+SLICE_ROWS, SLICE_BYTES = 1 << 10, 4 << 20  # of a batch, where a function makes Python objects of it
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,12 +48,27 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return rows.join(F.broadcast(known), "file").select((number + F.col("place")).alias("row"), *where.values()), where
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """All rows of a batch, in order, halved until a part has few rows and bytes, or one row."""
+    if batch.num_rows > 1 and (batch.num_rows > SLICE_ROWS or batch.nbytes > SLICE_BYTES):
+        half = batch.num_rows // 2
+        yield from slices(batch.slice(0, half))
+        yield from slices(batch.slice(half))
+    else:
+        yield batch
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None],
-                schema: str) -> DataFrame:
-    """``function`` over each Arrow batch of ``df``; only one batch is in memory at a time."""
+                schema: str, sliced: bool = False) -> DataFrame:
+    """``function`` over each Arrow batch of ``df``; only one batch is in memory at a time.
+
+    With ``sliced`` it gets a batch in small parts: for functions that take rows one by one and
+    make many Python objects of each.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := function(batch)) is not None:
-                yield out
+            for part in slices(batch) if sliced else (batch,):
+                if part.num_rows and (out := function(part)) is not None:
+                    yield out
 
     return df.mapInArrow(run, schema)

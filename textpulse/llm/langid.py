@@ -17,6 +17,7 @@ CENTROIDS = 4  # clusters per language
 SAMPLE = 2_000  # training documents per language, at most
 LANGUAGES = 1_000  # languages, at most
 ROUNDS = 12  # k-means rounds
+AT_ONCE = 64  # texts whose features are weighted together in training
 EDGES = 2.0 ** np.arange(3, 13)  # length classes of the rejection distance, in bytes
 SLACK = 0.6  # a document is rejected below so much of the least similarity seen in training
 LETTER = regex.compile(r"\p{L}")
@@ -60,6 +61,22 @@ class Model:
         return normalised(np.stack([features(t) for t in texts]), self.idf) @ self.centroids.T
 
 
+def _vectors(texts: list[bytes], idf: np.ndarray) -> np.ndarray:
+    """A row of length one for each text, made few at a time: the result is the only large array."""
+    out = np.empty((len(texts), len(idf)), np.float32)
+    for at in range(0, len(texts), AT_ONCE):
+        out[at:at + AT_ONCE] = normalised(np.stack([features(t, len(idf)) for t in texts[at:at + AT_ONCE]]), idf)
+    return out
+
+
+def _sum(vectors: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The sum of some rows, in order, without a copy of them."""
+    total = np.zeros(vectors.shape[1], vectors.dtype)
+    for row in rows:
+        total += vectors[row]
+    return total
+
+
 def _centroids(vectors: np.ndarray, count: int) -> np.ndarray:
     """Spherical k-means; starts from the vector next to the mean and then the farthest ones."""
     mean = vectors.mean(axis=0)
@@ -69,7 +86,7 @@ def _centroids(vectors: np.ndarray, count: int) -> np.ndarray:
     centres = vectors[chosen]
     for _ in range(ROUNDS):
         nearest = (vectors @ centres.T).argmax(axis=1)
-        sums = np.stack([vectors[nearest == k].sum(axis=0) if (nearest == k).any() else centres[k] for k in range(len(centres))])
+        sums = np.stack([_sum(vectors, np.flatnonzero(nearest == k)) if (nearest == k).any() else centres[k] for k in range(len(centres))])
         centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
     return centres
 
@@ -83,6 +100,19 @@ def _snippets(text: bytes) -> list[bytes]:
     return [text, *(text[:int(edge)] for edge in EDGES if edge < len(text))]
 
 
+def _clustered(texts: list[bytes], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Centroids of a language, and the least similarity of its training texts per length class."""
+    centres = _centroids(_vectors(texts, idf), CENTROIDS)
+    floor = np.ones(len(EDGES) + 1)
+    for text in texts:
+        parts = _snippets(text)
+        near = (normalised(np.stack([features(p) for p in parts]), idf) @ centres.T).max(axis=1)
+        for part, value in zip(parts, near):
+            at = length_class(len(part))
+            floor[at] = min(floor[at], value)
+    return centres, floor
+
+
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on columns text and lang; rows with a null in either take no part.
 
@@ -117,16 +147,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> Model:
     idf = (np.log((1 + max(total, found.max())) / (1 + found)) + 1).astype(np.float32)
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
-        texts = [t.encode() for t in group["text"]]
-        vectors = normalised(np.stack([features(t) for t in texts]), idf)
-        centres = _centroids(vectors, CENTROIDS)
-        floor = np.ones(len(EDGES) + 1)
-        for text in texts:
-            parts = _snippets(text)
-            near = (normalised(np.stack([features(p) for p in parts]), idf) @ centres.T).max(axis=1)
-            for part, value in zip(parts, near):
-                at = length_class(len(part))
-                floor[at] = min(floor[at], value)
+        centres, floor = _clustered([t.encode() for t in group["text"]], idf)
         return pd.DataFrame({"lang": group["lang"].iloc[0], "centroid": [c.tolist() for c in centres], "floor": [floor.tolist()] * len(centres)})
 
     rows = drawn.groupBy("lang").applyInPandas(cluster, "lang string, centroid array<float>, floor array<double>").collect()

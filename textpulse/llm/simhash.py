@@ -41,7 +41,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
         values = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
         return pa.record_batch([batch.column(0), pa.array(values.view(np.int64))], ["doc_id", "fp"])
 
-    return map_batches(docs.select(F.col("doc_id").cast("long"), raw("text")), run, "doc_id long, fp long")
+    return map_batches(docs.select(F.col("doc_id").cast("long"), raw("text")), run, "doc_id long, fp long", sliced=True)
 
 
 def _variants(df: DataFrame, value: Column, width: int, segments: int, name: str) -> DataFrame:
